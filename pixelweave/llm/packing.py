@@ -15,6 +15,7 @@ Extra columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,35 +32,62 @@ WINDOW = 4096
 END_ID = 2
 #: A gap below this is left as padding; a larger one is filled by cutting a piece.
 SMALL_GAP = 16
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 1_000_000
 #: Sequences that are one whole window of one document are numbered from here.
 WHOLE_BASE = 1 << 62
 
 
 class ChunkIds(dict):
-    """Ids of a text by its runs between white space, which the tokenizer drops and never looks across."""
+    """Ids of texts by their runs between white space, which the tokenizer drops and never looks across.
+
+    In a Latin-1 text, where composition changes nothing and letters of either case give the same ids, runs are taken
+    in lower case; points and commas between letters and white space are pieces of their own to the tokenizer, so they
+    become runs too. Unknown words of a batch are encoded in one call.
+    """
+
+    #: A point or comma beside another sign or digit may be part of a longer piece.
+    BESIDE = re.compile(r"[.,](?:(?<=[^\sa-zà-öø-ÿ][.,])|(?=[^\sa-zà-öø-ÿ]))").search
+    WIDE = re.compile("[^\x00-\xff]").search
+    PYTHON_SPACE = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python only
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def runs(self, text: str) -> list[str] | None:
+        if any(c in text for c in self.PYTHON_SPACE):
+            return None
+        if "<|" not in text and (text.isascii() or not self.WIDE(text)):
+            text = text.lower()
+            if not self.BESIDE(text):
+                text = text.replace(".", " . ").replace(",", " , ")
+        return text.split()
 
-    def learn(self, texts: list[str]) -> None:
-        """Encode the runs of a batch that aren't known yet together."""
-        new = list({x for t in texts for x in t.split() if x not in self})
-        if len(self) + len(new) > MEMO_CHUNKS:
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        if len(self) > MEMO_CHUNKS:
             self.clear()
-            new = list({x for t in texts for x in t.split()})
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[chunk] = np.array(found.ids, "<u4").tobytes()
+        split = [self.runs(x) for x in texts]
+        new = set().union(*(x for x in split if x)).difference(self)
+        words = [x for x in new if x.isalpha() and x.islower() and x.isascii()]
+        words += [x for x in new if x.isalpha() and not x.isascii() and not self.WIDE(x) and x == x.lower()]
+        for k in range(0, len(words), 4096):
+            some = words[k : k + 4096]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, at = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
+            edges = (4 * np.searchsorted(at, np.arange(len(some) + 1))).tolist()
+            self.update(zip(some, [ids[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)], strict=True))
+        get = self.__getitem__
+        return [self.whole(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
 
     def __missing__(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.whole(chunk)
+        if len(chunk) < 64:
+            self[chunk] = found
+        return found
 
 
 _chunks: dict[str, ChunkIds] = {}
@@ -89,8 +117,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
         for batch in batches:
             for rows, _, _ in slices(batch):
                 texts = [x or "" for x in rows.column(1).to_pylist()]
-                own.learn(texts)
-                ids = [own.encode(x) + close for x in texts]
+                ids = [x + close for x in own.encode_all(texts)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 rem, ranks, wholes = n % window, np.empty(len(n), np.int64), np.empty(len(n), np.int64)
                 for k, (r, w) in enumerate(zip(rem.tolist(), (n // window).tolist(), strict=True)):
