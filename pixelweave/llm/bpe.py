@@ -6,7 +6,8 @@ tree. A byte may still change only tokens behind positions from which some longe
 all such positions share an ancestor, the tokens up to it are emitted. The open part is bounded by the longest token
 and states and transitions are made when first met. Memory is bounded: full tables start anew.
 
-Two tokens may stand side by side if the plain merge procedure over their joint bytes gives just these two.
+Two tokens may stand side by side if, as both are merged by rank, no pair across their border is due before the pieces
+there have grown on.
 
 Decoding joins token bytes and passes them through an incremental UTF-8 machine, which holds back an unfinished
 character at the end of each piece.
@@ -17,7 +18,10 @@ Nulls are empty texts (no tokens); every row is kept; extra columns are ignored;
 from __future__ import annotations
 
 import base64
+import contextlib
+import gc
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import arrow_batch, slices
 
 MEMO_CHUNKS = 600_000
-MEMO_STATES = 400_000
+MEMO_STATES = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -55,26 +59,59 @@ class Transducer:
         self.longest = max(map(len, ranks))
         self.prefixes = {t[:k] for t in ranks for k in range(1, len(t))}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.sound: dict[bytes, bool] = {}
+        self.spines: dict[bytes, tuple | None] = {}
         self.reset()
 
     def reset(self) -> None:
         self.keys: list[tuple[bytes, bytes]] = [(b"", b"")]
         self.ids = {(b"", b""): 0}
         self.trees: list[tuple[list[bytes], list[int]]] = [([b""], [-1])]
-        self.next: list[dict[int, tuple[int, bytes]]] = [{}]
+        self.moves: dict[int, tuple[int, bytes]] = {}
         self.finals: list[bytes | None] = [None]
 
+    def edges(self, token: bytes) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None:
+        """The first and the last piece of a token while it is merged, from a byte to the whole, each with the rank
+        that forms it; None if its own bytes don't merge to it."""
+        if token not in self.spines:
+            if len(token) == 1:
+                self.spines[token] = [(token, -1)], [(token, -1)]
+            elif merge(token, self.ranks) != [token]:
+                self.spines[token] = None
+            else:
+                # the last merge joins two tokens that are encodings of their own bytes
+                r = self.ranks[token]
+                for k in range(1, len(token)):
+                    a, b = token[:k], token[k:]
+                    if self.ranks.get(a, r) < r and self.ranks.get(b, r) < r and (x := self.edges(a)) and (y := self.edges(b)) and self.apart(x[1], y[0], r):
+                        self.spines[token] = [*x[0], (token, r)], [*y[1], (token, r)]
+                        break
+        return self.spines[token]
+
+    def apart(self, last: list[tuple[bytes, int]], first: list[tuple[bytes, int]], below: int = 1 << 60) -> bool:
+        """Whether no merge of rank under ``below`` joins two neighbours across their border, as both grow by rank."""
+        i = j = 0
+        while True:
+            r = self.ranks.get(last[i][0] + first[j][0], below)
+            a = last[i + 1][1] if i + 1 < len(last) else below
+            b = first[j + 1][1] if j + 1 < len(first) else below
+            if r < a and r <= b and r < below:
+                return False
+            if a >= below and b >= below:
+                return True
+            if a <= b:
+                i += 1
+            else:
+                j += 1
+
     def beside(self, a: bytes, b: bytes) -> bool:
         """Whether b may follow a; each must be an encoding of its own bytes."""
-        if (ok := self.sound.get(b)) is None:
-            ok = self.sound[b] = merge(b, self.ranks) == [b]
-        if not ok or not a:
-            return ok
+        y = self.edges(b)
+        if not y or not a:
+            return bool(y)
         if (found := self.pairs.get((a, b))) is None:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
-            found = self.pairs[a, b] = merge(a + b, self.ranks) == [a, b]
+            found = self.pairs[a, b] = self.apart(self.edges(a)[1], y[0])
         return found
 
     def step(self, state: int, byte: int) -> tuple[int, bytes]:
@@ -109,11 +146,10 @@ class Transducer:
             to = self.ids[key] = len(self.keys)
             self.keys.append(key)
             # Only positions that hang below the settled one can still be a parent.
-            tree = ([key[0], *last[cut + 1 :]], [-1, *(k - cut for k in parent[cut + 1 :])]) if cut else (last, parent)
+            tree = ([key[0], *last[cut + 1 :]], [-1, *[k - cut for k in parent[cut + 1 :]]]) if cut else (last, parent)
             self.trees.append(tree)
-            self.next.append({})
             self.finals.append(None)
-        self.next[state][byte] = found = (to, emitted)
+        self.moves[state << 8 | byte] = found = (to, emitted)
         return found
 
     def final(self, state: int) -> bytes:
@@ -132,21 +168,24 @@ class Transducer:
             return whole.to_bytes(4, "little")
         if len(self.keys) > MEMO_STATES:
             self.reset()
-        state, out, moves = 0, b"", self.next
+        state, out, move = 0, b"", self.moves.get
         for byte in word:
-            state, emitted = moves[state].get(byte) or self.step(state, byte)
+            state, emitted = move(state << 8 | byte) or self.step(state, byte)
             out += emitted
         return out + self.final(state)
 
 
 class Encoder(dict):
-    """Ids of whole texts: splits into matches of the pattern, remembering what runs between single spaces gave."""
+    """Ids of whole texts: splits into matches of the pattern, remembering what runs between certain matches gave."""
+
+    #: A point or comma that isn't between a letter or digit and one or white space.
+    BESIDE = re.compile(r"[.,](?:(?<![^\W_][.,])|(?=[^\w\s]|_))").search
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.machine = Transducer(ranks)
         self.matches = regex.compile(pattern).findall
         self.table = {v: k for k, v in ranks.items()}
-        self.ragged = regex.compile(r"^\s|\s$|\s |\x00| \s").search
+        self.ragged = regex.compile(r"^\s|\s$|\s\s|\x00").search
 
     def fresh(self, chunk: str) -> bytes:
         encode = self.machine.encode
@@ -161,10 +200,13 @@ class Encoder(dict):
         return found
 
     def encode(self, text: str) -> bytes:
-        """A space between two other characters that aren't white space begins a match, so such runs are independent."""
+        """A single space begins a match, a single line break is one, and so is a point or comma behind a word: runs
+        between these give the same ids wherever they stand."""
         if self.ragged(text):
             return self.fresh(text)
-        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0"))) if text else b""
+        if not self.BESIDE(text):
+            text = text.replace(".", "\0.").replace(",", "\0,")
+        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
 
 
 class Utf8Stream:
@@ -204,6 +246,16 @@ def decode_stream(ids: np.ndarray, table: dict[int, bytes], piece: int = 4096) -
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
+@contextlib.contextmanager
+def without_gc() -> Iterator[None]:
+    """The transducer's tables hold no cycles but so many objects that looking for cycles costs a third of the time."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each Python worker."""
     if (path, pattern) not in _encoders:
@@ -219,7 +271,9 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         own = encoder(path, pattern)
         for batch in batches:
             for rows, _, _ in slices(batch):
-                yield arrow_batch(schema, doc_id=rows.column(0), ids=[own.encode(x or "") for x in rows.column(1).to_pylist()])
+                with without_gc():
+                    ids = [own.encode(x or "") for x in rows.column(1).to_pylist()]
+                yield arrow_batch(schema, doc_id=rows.column(0), ids=ids)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -248,8 +302,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for rows, _, _ in slices(batch):
                 n, ids_sha, text_sha = [], [], []
-                for text in rows.column(1).to_pylist():
-                    ids = own.encode(text or "")
+                with without_gc():
+                    encoded = [own.encode(x or "") for x in rows.column(1).to_pylist()]
+                for ids in encoded:
                     back = hashlib.sha256()
                     for piece in decode_stream(np.frombuffer(ids, "<u4"), own.table):
                         back.update(piece.encode())
