@@ -31,8 +31,8 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     """base**k and its inverse for k < n."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        n = max(n, 1 << 16)
-        up, down = np.full(n, base, U), np.full(n, pow(base, -1, 1 << 64), U)
+        size = max(n, 1 << 16)
+        up, down = np.full(size, base, U), np.full(size, pow(base, -1, 1 << 64), U)
         up[0] = down[0] = 1
         have = _powers[base] = np.cumprod(up), np.cumprod(down)
     return have[0][:n], have[1][:n]

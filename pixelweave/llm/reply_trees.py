@@ -63,7 +63,7 @@ def leaf_paths(nodes: DataFrame, depth: int) -> DataFrame:
     paths = leaves.select("conv_id", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("level"))
     for k in range(len(jumps) - 1, -1, -1):
         up = paths.alias("a").join(jumps[k].alias("b"), same & (F.col("a.node") == F.col("b.node"))).select("a.conv_id", "a.leaf", F.col("b.up").alias("node"), (F.col("a.level") + 2**k).alias("level"))
-        paths = paths.unionByName(up)
+        paths = written(paths.unionByName(up), "paths")  # read twice in the next round
     return paths
 
 
@@ -87,7 +87,7 @@ def format_trees(nodes: DataFrame, best: int = 1) -> DataFrame:
         "turns", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
         lambda s, t: F.struct((s["at"] + size(t)).alias("at"), F.when(t["role"] == "assistant", F.concat(s["spans"], F.array(F.struct((s["at"] + F.length(head(t))).alias("start"), (s["at"] + F.length(head(t)) + F.length(t["text"])).alias("end"))))).otherwise(s["spans"]).alias("spans")),
     )
-    return chosen.select("conv_id", "leaf", "branch", "score", formatted.alias("formatted"), walk["spans"].alias("loss"))
+    return written(chosen.select("conv_id", "leaf", "branch", "score", formatted.alias("formatted"), walk["spans"].alias("loss")), "formatted")
 
 
 def read_formatted(df: DataFrame) -> DataFrame:
