@@ -28,7 +28,7 @@ from .jaccard_join import blobs, bucket_bits
 WORD_BITS, WIDE_BITS = 2, 8
 MIN_WORDS = 25
 MAP_BITS = 25
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)
 VALUES_A, VALUES_B = byte_values(0xA11CE), byte_values(0xB0B)
 BASE_B = 0xC2B2AE3D27D4EB4F

@@ -40,7 +40,7 @@ CANDIDATE_BITS = 24
 #: Sets and bytes of one component that one trie takes; larger ones are cut into blocks.
 TRIE_SETS = 20_000
 TRIE_BYTES = 256 << 20
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 META = "doc_id long, n long, digest long, grams binary"
 META_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("grams", pa.binary())])
@@ -61,8 +61,8 @@ def once(sets: list[np.ndarray], seen: set[int]) -> Iterator[tuple[int, np.ndarr
 
 
 def bucket_bits(docs: DataFrame) -> int:
-    """Buckets grow with the input partitions, so that one holds about what half a partition does."""
-    return min(16, max(5, math.ceil(math.log2(2 * max(1, docs.rdd.getNumPartitions())))))
+    """Buckets grow with the input partitions, so that one holds about what a partition does."""
+    return min(16, max(5, math.ceil(math.log2(max(1, docs.rdd.getNumPartitions())))))
 
 
 def blobs(bits: int, keys: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
