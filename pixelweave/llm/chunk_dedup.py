@@ -5,7 +5,7 @@ A gear rolling hash over the last 32 bytes decides where chunks end: after white
 nearby bytes only, so an insertion changes the chunks it touches and no others. Chunks are compared by digest.
 
 A chunk that stands elsewhere too is repeated; a run of repeated chunks with MIN_WORDS words or more is a repeated
-passage. Of each chunk the first place (smallest doc_id, then position) stays, others in such runs are removed.
+passage. Of each chunk the first place in a passage (smallest doc_id, then position) stays, others are removed.
 
 Null texts have no chunks. Rows of one doc_id count as one document each; equal rows have equal places, so a place that
 is first stays in all of them. A null doc_id comes before all others. Texts of any length are taken whole. Extra
@@ -14,6 +14,7 @@ columns are ignored by reports and kept by ``remove_repeats``; an empty table gi
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,70 +64,46 @@ def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def gather_repeats(table: pa.Table) -> pa.Table:
-    """Digest and first place of what occurs twice or more in one bucket."""
-    a, b, doc, start, n = [], [], [], [], []
+    """Digests of one bucket that occur twice or more."""
+    a, many = [], []
     for chunk in table.column("blob").chunks:
         for x in chunk.to_pylist():
-            c = len(x) // 36
+            c = len(x) // 9
             a.append(np.frombuffer(x, U, c))
-            b.append(np.frombuffer(x, U, c, 8 * c))
-            doc.append(np.frombuffer(x, np.int64, c, 16 * c))
-            start.append(np.frombuffer(x, np.int64, c, 24 * c))
-            n.append(np.frombuffer(x, np.uint32, c, 32 * c))
-    a, b, doc, start, n = map(np.concatenate, (a, b, doc, start, n))
+            many.append(np.frombuffer(x, np.uint8, c, 8 * c))
+    a, many = np.concatenate(a), np.concatenate(many)
     order = np.argsort(a, kind="stable")
-    s = a[order]
-    again = n[order] > 1
-    again[1:] |= s[1:] == s[:-1]
-    again[:-1] |= s[1:] == s[:-1]
-    order = order[again]
-    order = order[np.lexsort((start[order], doc[order], b[order], a[order]))]
-    a, b, doc, start, n = (x[order] for x in (a, b, doc, start, n))
-    first = np.ones(len(a), bool)
-    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(first)
-    total = np.add.reduceat(n.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
-    at, total = at[total > 1], total[total > 1]
-    return pa.table({"a": pa.array(a[at].view(np.int64)), "b": pa.array(b[at].view(np.int64)), "first_doc": pa.array(doc[at]), "first_start": pa.array(start[at]), "places": pa.array(total)})
-
-
-REPEATS = "a long, b long, first_doc long, first_start long, places long"
+    a, many = a[order], many[order] > 0
+    many[1:] |= a[1:] == a[:-1]
+    return pa.table({"a": pa.array(np.unique(a[many]).view(np.int64))})
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Digest (a, b), first place and number of places of every chunk that occurs twice or more.
+    """Digest of every chunk that occurs twice or more in all texts.
 
-    Each task first reduces its chunks to one row a digest, so that a chunk that is everywhere costs one a task.
+    Each task first reduces its chunks to one entry a digest, so that a chunk that is everywhere costs one a task.
     """
     bits = bucket_bits(docs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if not held:
-                return
-            a, b, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            order = np.lexsort((start, doc, b, a))
-            a, b, doc, start = a[order], b[order], doc[order], start[order]
-            first = np.ones(len(a), bool)
-            first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            at = np.flatnonzero(first)
-            n = np.diff(np.r_[at, len(a)]).astype(np.uint32)
-            yield from blobs(bits, a[at], [a[at], b[at], doc[at], start[at], n])
+            if held:
+                a, n = np.unique(np.concatenate(held), return_counts=True)
+                held.clear()
+                yield from blobs(bits, a, [a, (n > 1).astype(np.uint8)])
 
         for batch in batches:
-            for rows, data, offs in slices(batch):
+            for _, data, offs in slices(batch):
                 if len(data):
-                    starts, ends, own = chunks(data, offs)
-                    doc = rows.column(0).fill_null(NONE).to_numpy()
-                    held.append((Spans(data, VALUES_A).of(starts, ends), Spans(data, VALUES_B, BASE_B).of(starts, ends), doc[own], starts - offs[own]))
-                if sum(len(x[0]) for x in held) > FLUSH:
+                    starts, ends, _ = chunks(data, offs)
+                    held.append(Spans(data, VALUES_A).of(starts, ends))
+                if sum(map(len, held)) > FLUSH:
                     yield from flush()
         yield from flush()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather_repeats, REPEATS)
+    return docs.select("text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather_repeats, "a long")
 
 
 def digest_bitmap(repeats: DataFrame) -> np.ndarray:
@@ -145,11 +122,12 @@ def digest_bitmap(repeats: DataFrame) -> np.ndarray:
     return out
 
 
-PLACES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ord", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+PLACES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("crc", pa.int64()), ("ord", pa.int32()), ("start", pa.int64()), ("size", pa.int32()), ("words", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 
 def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
-    """Every chunk whose digest may be repeated: row (a number of its text in this scan), place, words, digest."""
+    """Chunks that may be repeated, in runs of MIN_WORDS words or more: row (a number of its text in this scan), place,
+    words, digest. No passage is lost: a run of repeated chunks lies within a run of chunks that may be."""
     from pyspark import TaskContext
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,51 +139,72 @@ def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
                     starts, ends, own = chunks(data, offs)
                     a = Spans(data, VALUES_A).of(starts, ends)
                     slot = (a >> U(64 - MAP_BITS)).astype(np.int64)
-                    hit = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+                    hit = ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
                     first_word = ~WHITE[data]
                     first_word[1:] &= WHITE[data[:-1]]
                     count = np.r_[0, np.cumsum(first_word)]
-                    doc = rows.column(0).take(pa.array(own[hit]))
-                    begun = np.searchsorted(starts, offs[own[hit]])
-                    yield arrow_batch(PLACES, row=row + own[hit], doc_id=doc, ord=(hit - begun).astype(np.int32), start=(starts - offs[own])[hit], end=(ends - offs[own])[hit], words=np.maximum(1, count[ends] - count[starts])[hit].astype(np.int32), a=a[hit].view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[hit], ends[hit]).view(np.int64))
+                    size = np.maximum(1, count[ends] - count[starts])
+                    fresh = np.ones(len(hit), bool)
+                    fresh[1:] = (own[1:] != own[:-1]) | ~hit[:-1] | ~hit[1:]
+                    run = np.cumsum(fresh)
+                    at = np.flatnonzero(hit & (np.bincount(run, size)[run] >= MIN_WORDS))
+                    begun = np.searchsorted(starts, offs[own[at]])
+                    crc = np.array([zlib.crc32(data[x:y]) for x, y in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)], np.int64)
+                    yield arrow_batch(PLACES, row=row + own[at], doc_id=rows.column(0).take(pa.array(own[at])), crc=crc[own[at]], ord=(at - begun).astype(np.int32), start=(starts - offs[own])[at], size=(ends - starts)[at].astype(np.int32), words=size[at].astype(np.int32), a=a[at].view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[at], ends[at]).view(np.int64))
                 row += rows.num_rows
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "row long, doc_id long, ord int, start long, end long, words int, a long, b long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "row long, doc_id long, crc long, ord int, start long, size int, words int, a long, b long")
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """Every repeated chunk within a repeated passage: doc_id, start and end (bytes), digest, first place, removed."""
+    """Every repeated chunk in a repeated passage: row, doc_id, ord, run (its passage), start, size (bytes), words,
+    digest a and b, first place, places, removed."""
     spark = docs.sparkSession
     repeats = written(repeated_chunks(docs), "repeats")
     bitmap = spark.sparkContext.broadcast(digest_bitmap(repeats))
-    places = candidate_places(docs, bitmap).join(repeats, ["a", "b"])
+    places = written(candidate_places(docs, bitmap), "places")
+    at = F.struct(F.coalesce("doc_id", F.lit(NONE)).alias("doc"), "start")
+    firsts = places.groupBy("a", "b").agg(F.min(at).alias("first"), F.count("*").alias("places")).join(repeats, "a", "left_semi")
+    own = places.join(firsts, ["a", "b"])
     # runs of consecutive chunks: position less rank among the repeated ones is constant
-    mine = Window.partitionBy("row").orderBy("ord")
-    runs = places.withColumn("run", F.col("ord") - F.row_number().over(mine))
+    run = F.col("ord") - F.row_number().over(Window.partitionBy("row").orderBy("ord"))
     words = F.sum("words").over(Window.partitionBy("row", "run"))
-    long = runs.withColumn("run_words", words).where(F.col("run_words") >= MIN_WORDS)
-    first = (F.coalesce("doc_id", F.lit(NONE)) == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
-    digest = F.concat(F.lpad(F.lower(F.hex("a")), 16, "0"), F.lpad(F.lower(F.hex("b")), 16, "0"))
-    return long.select("row", "doc_id", F.col("start").alias("start_byte"), F.col("end").alias("end_byte"), "words", "run_words", digest.alias("digest"), F.nullif(F.col("first_doc"), F.lit(NONE)).alias("first_doc_id"), F.col("first_start").alias("first_start_byte"), "places", (~first).alias("removed"))
+    long = own.withColumn("run", run).withColumn("run_words", words).where(F.col("run_words") >= MIN_WORDS)
+    first = (F.coalesce("doc_id", F.lit(NONE)) == F.col("first.doc")) & (F.col("start") == F.col("first.start"))
+    return long.select("row", "doc_id", "crc", "ord", "run", "start", "size", "words", "a", "b", F.nullif(F.col("first.doc"), F.lit(NONE)).alias("first_doc_id"), F.col("first.start").alias("first_start"), "places", (~first).alias("removed"))
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """One row for each repeated passage of each text: doc_id, place (bytes), chunks, words, removed chunks and bytes,
+    the place where its first chunk came first, and in how many places its most frequent chunk stands."""
+    end = F.max(F.col("start") + F.col("size"))
+    p = repeated_places(docs).groupBy("row", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start_byte"), end.alias("end_byte"), F.count("*").alias("n_chunks"), F.sum("words").alias("n_words"), F.count_if("removed").alias("removed_chunks"),
+        F.coalesce(F.sum(F.when(F.col("removed"), F.col("size"))), F.lit(0)).alias("removed_bytes"), F.min_by(F.struct("first_doc_id", "first_start"), "start").alias("first"), F.max("places").alias("places"),
+    )
+    return p.select("doc_id", "start_byte", "end_byte", "n_chunks", "n_words", "removed_chunks", "removed_bytes", F.col("first.first_doc_id").alias("first_doc_id"), F.col("first.first_start").alias("first_start_byte"), "places")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Texts without the chunks that are removed, other columns as they are (n_chars, if there, follows the text).
 
-    Places are found by doc_id; rows with the same doc_id lose the same places only if their texts are equal.
+    Places go to rows by doc_id and CRC of the text; of rows in which both are equal each loses what the first one does.
     """
-    schema = docs.schema
-    gone = repeated_places(docs).where("removed").groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct("start_byte", "end_byte"))).alias("pw_gone"))
-    gone = gone.groupBy(F.col("doc_id").alias("pw_id")).agg(F.min_by("pw_gone", "row").alias("pw_gone"))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["pw_id"]), "left").drop("pw_id")
+    spans = F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end"))))
+    gone = repeated_places(docs).where("removed").groupBy("row").agg(F.first("doc_id").alias("pw_id"), F.first("crc").alias("pw_crc"), spans.alias("pw_gone"))
+    gone = gone.groupBy("pw_id", "pw_crc").agg(F.min_by("pw_gone", "row").alias("pw_gone"))
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["pw_id"]) & (F.crc32(docs["text"]) == gone["pw_crc"]), "left").drop("pw_id", "pw_crc")
     raw = F.encode("text", "UTF-8")
-    step = lambda s, x: F.struct(x["end_byte"].alias("at"), F.concat(s["out"], F.array(F.substr(raw, (s["at"] + 1).cast("int"), (x["start_byte"] - s["at"]).cast("int")))).alias("out"))
-    new = F.aggregate("pw_gone", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<binary>").alias("out")), step, lambda s: F.decode(F.concat(F.array_join(F.transform(s["out"], lambda b: F.decode(b, "UTF-8")), "").cast("binary"), F.substr(raw, (s["at"] + 1).cast("int"))), "UTF-8"))
-    out = joined.withColumn("text", F.when(F.col("pw_gone").isNotNull(), new).otherwise(F.col("text"))).drop("pw_gone")
-    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    piece = lambda a, b: F.decode(F.substr(raw, (a + 1).cast("int"), (b - a).cast("int")), "UTF-8")
+    # what stays lies between the end of one removed chunk and the start of the next
+    edges = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))), F.col("pw_gone"))
+    starts = F.concat(F.transform("pw_gone", lambda x: x["start"]), F.array(F.octet_length("text").cast("long")))
+    new = F.array_join(F.zip_with(edges, starts, lambda e, s: piece(e["end"], s)), "")
+    out = joined.withColumn("text", F.when(F.col("pw_gone").isNotNull() & F.col("text").isNotNull(), new).otherwise(F.col("text"))).drop("pw_gone")
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def op7_chunk_dedup(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
-    return repeated_places(table(spark, sf_dir, "documents")).drop("row")
+    return repeated_passages(table(spark, sf_dir, "documents"))
