@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, slices
+from .common import CACHES, arrow_batch, id_text, keep_only, slices
 
 MEMO_CHUNKS = 800_000
 MEMO_STATES = 700_000
@@ -261,6 +261,8 @@ def without_gc() -> Iterator[None]:
 
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each Python worker."""
+    keep_only("bpe")
+    CACHES["bpe"] = _encoders.clear
     if (path, pattern) not in _encoders:
         _encoders[path, pattern] = Encoder(load_ranks(path), pattern)
     return _encoders[path, pattern]
@@ -278,7 +280,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     ids = [own.encode(x or "") for x in rows.column(1).to_pylist()]
                 yield arrow_batch(schema, doc_id=rows.column(0), ids=ids)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return id_text(docs).mapInArrow(run, "doc_id long, ids binary")
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -314,7 +316,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     text_sha.append(back.hexdigest())
                 yield arrow_batch(DIGESTS, doc_id=rows.column(0), n_tokens=n, ids_sha256=ids_sha, decoded_sha256=text_sha)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:

@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, slices, written
+from .common import arrow_batch, id_text, keep_only, slices, written
 from .hashing import U, WHITE, Spans, byte_values
 from .jaccard_join import blobs, bucket_bits
 
 WORD_BITS, WIDE_BITS = 2, 8
 MIN_WORDS = 25
 MAP_BITS = 25
-FLUSH = 1_000_000
+FLUSH = 300_000
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)
 VALUES_A, VALUES_B = byte_values(0xA11CE), byte_values(0xB0B)
 BASE_B = 0xC2B2AE3D27D4EB4F
@@ -86,6 +86,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     bits = bucket_bits(docs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -103,7 +104,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return docs.select("text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather_repeats, "a long")
+    return id_text(docs, "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather_repeats, "a long")
 
 
 def digest_bitmap(repeats: DataFrame) -> np.ndarray:
@@ -131,6 +132,7 @@ def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
     from pyspark import TaskContext
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         bits = bitmap.value
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -153,7 +155,7 @@ def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
                     yield arrow_batch(PLACES, row=row + own[at], doc_id=rows.column(0).take(pa.array(own[at])), crc=crc[own[at]], ord=(at - begun).astype(np.int32), start=(starts - offs[own])[at], size=(ends - starts)[at].astype(np.int32), words=size[at].astype(np.int32), a=a[at].view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[at], ends[at]).view(np.int64))
                 row += rows.num_rows
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "row long, doc_id long, crc long, ord int, start long, size int, words int, a long, b long")
+    return id_text(docs).mapInArrow(emit, "row long, doc_id long, crc long, ord int, start long, size int, words int, a long, b long")
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:

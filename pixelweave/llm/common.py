@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +45,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def doc_key() -> "F.Column":
-    return F.col("doc_id").cast("long")
+#: Rows of an Arrow batch: texts of tens of kilobytes still make batches of tens of megabytes.
+BATCH_ROWS = 2000
+
+
+def id_text(docs: DataFrame, *columns: str) -> DataFrame:
+    """doc_id and text (or the named ones of them) for a Python function, in batches of bounded rows."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(key, "10000")) > BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    have = {"doc_id": F.col("doc_id").cast("long"), "text": F.col("text")}
+    return docs.select(*(have[c] for c in columns or have))
+
+
+#: What a Python worker keeps between tasks: name -> function that lets it go.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def keep_only(name: str = "") -> None:
+    """At the start of a task: let go what tasks of other operators left in this worker."""
+    for other, clear in list(CACHES.items()):
+        if other != name:
+            clear()
+            del CACHES[other]
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

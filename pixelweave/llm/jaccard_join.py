@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, slices, written
+from .common import arrow_batch, id_text, keep_only, slices, written
 from .components import components
 from .hashing import U, mix, set_digest, shingle_sets
 
@@ -40,7 +40,7 @@ CANDIDATE_BITS = 24
 #: Sets and bytes of one component that one trie takes; larger ones are cut into blocks.
 TRIE_SETS = 20_000
 TRIE_BYTES = 256 << 20
-FLUSH = 1_000_000
+FLUSH = 300_000
 
 META = "doc_id long, n long, digest long, grams binary"
 META_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("grams", pa.binary())])
@@ -84,6 +84,7 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         seen: set[int] = set()
         held: list[np.ndarray] = []
         for batch in batches:
@@ -108,7 +109,7 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
         rows = [(lv, len(s), s.astype(np.uint32).tobytes()) for lv in np.unique(level).tolist() if len(s := slot[level == lv])]
         return pa.table({"level": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int64()), "slots": pa.array([r[2] for r in rows], pa.binary())})
 
-    found = written(docs.select("text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(count, "level int, n long, slots binary"), "gram-levels")
+    found = written(id_text(docs, "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(count, "level int, n long, slots binary"), "gram-levels")
     levels, total, least = np.zeros(1 << LEVEL_BITS, np.uint8), 0, 33
     for r in found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # at most 32 rows
         total += r["n"]
@@ -131,6 +132,7 @@ def candidate_edges(docs: DataFrame, levels, bits: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = levels.value
+        keep_only()
         seen: set[int] = set()
         keys: list[np.ndarray] = []
         digests: list[tuple[int, int, int]] = []
@@ -179,7 +181,7 @@ def candidate_edges(docs: DataFrame, levels, bits: int) -> DataFrame:
         pairs = np.unique(np.stack([np.minimum(head, d), np.maximum(head, d)], axis=1)[head != d], axis=0) if len(k) else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    return docs.select("text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather, "a long, b long").distinct()
+    return id_text(docs, "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather, "a long, b long").distinct()
 
 
 def candidate_bitmap(nodes: DataFrame) -> np.ndarray:
@@ -203,6 +205,7 @@ def described(docs: DataFrame, levels, bitmap) -> DataFrame:
     """doc_id, set size and digest of every row; the ordered set once a task where the digest may be a candidate's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         own, bits = levels.value, bitmap.value
         seen: set[int] = set()
         for batch in batches:
@@ -218,7 +221,7 @@ def described(docs: DataFrame, levels, bitmap) -> DataFrame:
                         grams.append(None)
                 yield arrow_batch(META_SCHEMA, doc_id=rows.column(0), n=[len(s) for s in sets], digest=digests, grams=grams)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, META)
+    return id_text(docs).mapInArrow(run, META)
 
 
 class Trie:

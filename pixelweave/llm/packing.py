@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, slices, written
+from .common import CACHES, arrow_batch, id_text, keep_only, slices, written
 
 WINDOW = 4096
 END_ID = 2
@@ -97,6 +97,8 @@ def chunk_ids(path: str) -> ChunkIds:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    keep_only("packing")
+    CACHES["packing"] = _chunks.clear
     if path not in _chunks:
         _chunks[path] = ChunkIds(path)
     return _chunks[path]
@@ -127,7 +129,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
                 yield arrow_batch(TOKENIZED, doc_id=rows.column(0), part=np.full(len(n), part), row=np.arange(row, row + len(n)), n=n, rem=rem.astype(np.int32), rank=ranks, whole=wholes, ids=ids)
                 row += len(n)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, TOKENIZED_DDL)
+    return id_text(docs).mapInArrow(run, TOKENIZED_DDL)
 
 
 def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, slack: int, depth: int = 6, thirds: int = 8) -> np.ndarray:

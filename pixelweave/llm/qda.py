@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, slices, table, written
+from .common import arrow_batch, id_text, keep_only, slices, table, written
 from .hashing import VALUES, LOWER, U, WHITE, Spans, mix, words
 from .quality_rules import STOP_WORDS
 
@@ -102,11 +102,12 @@ def features(docs: DataFrame) -> DataFrame:
     """doc_id and the array x of NAMES of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             for rows, data, offs in slices(batch):
                 yield arrow_batch(FEATURES, doc_id=rows.column(0), x=pa.array(list(statistics(data, offs)), pa.list_(pa.float64())))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, x array<double>")
+    return id_text(docs).mapInArrow(run, "doc_id long, x array<double>")
 
 
 @dataclass
