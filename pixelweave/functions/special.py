@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def _erfc(x: np.ndarray) -> np.ndarray:
@@ -64,22 +65,22 @@ def hypergeometric_upper(k: int, good: int, bad: int, draws: int) -> float:
     return min(1.0, math.fsum(math.exp(choose(good, x) + choose(bad, draws - x) - whole) for x in range(max(k, draws - bad, 0), min(good, draws) + 1)))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     return pd.Series(normal_two_sided(z.to_numpy(float))).where(z.notna().to_numpy(), None)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     p = student_two_sided(t.to_numpy(float), df.to_numpy(float))
     return pd.Series(p).astype(object).where(~np.isnan(p), None)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series(f_upper(f.to_numpy(float), d1.to_numpy(float), d2.to_numpy(float)))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def hypergeometric_p(k: pd.Series, good: pd.Series, bad: pd.Series, draws: pd.Series) -> pd.Series:
     return pd.Series([hypergeometric_upper(*map(int, r)) for r in zip(k, good, bad, draws, strict=True)])

@@ -110,7 +110,7 @@ def pairwise(v: DataFrame, k: Metric | None = None, weights: list[float] | None
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda o: F.struct(F.greatest("b", o).cast("int").alias("p"), F.least("b", o).cast("int").alias("q")))).alias("pq")
     rows = blocked.select("name", "values", "x", "y", "b", pairs).select("name", "values", "x", "y", "b", "pq.p", "pq.q")
 
-    def tile(key, df: pd.DataFrame) -> pd.DataFrame:
+    def tile(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         p, q = key
         sides = []
         for s in (p, q):
