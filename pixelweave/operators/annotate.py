@@ -7,6 +7,7 @@ candidate once and the exact tolerance is a filter on top.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -116,32 +117,31 @@ def annotation_table(hits: DataFrame, keys: list[str], most: int = MOST_HITS) ->
 # --- neighbours ---------------------------------------------------------------------------------------------------------------
 
 
-def nearest(p: DataFrame, k: int, cell: int = 1) -> DataFrame:
-    """i, j, d of the k nearest other pixels of each pixel, ties by name.
+def nearest(p: DataFrame, k: int, cell: int = 1, by: str | None = None) -> DataFrame:
+    """i, j, d of the k nearest other pixels (of the same ``by``) of each pixel, ties by name.
 
-    Pixels of a cell and a ring of cells around it are candidates; the ring grows for pixels that have fewer than k
+    Pixels of a cell and a ring of cells around it are candidates; the ring doubles for pixels that have fewer than k
     within the distance it surely covers, until all have k or every cell was seen.
     """
-    own = p.select(F.col("pixel_id").alias("i"), F.col("x_coord").cast("double").alias("x"), F.col("y_coord").cast("double").alias("y"))
-    box = own.agg(F.max("x"), F.min("x"), F.max("y"), F.min("y"), F.count("*")).first()  # five numbers
-    n = box[4] or 0
-    if n < 2:
-        return own.select("i", F.col("i").alias("j"), F.lit(0.0).alias("d")).limit(0)
-    k = min(k, n - 1)
-    span = max(box[0] - box[1], box[2] - box[3], 1.0)
-    out, open_, ring = None, own, max(1, round((k / n) ** 0.5 * span / cell / 2) + 1)
+    group = F.col(by) if by else F.lit(0)
+    own = p.select(F.col("pixel_id").alias("i"), F.col("x_coord").cast("double").alias("x"), F.col("y_coord").cast("double").alias("y"), group.alias("g"))
+    box = own.agg(F.max("x"), F.min("x"), F.max("y"), F.min("y")).first()  # four numbers
+    span = max(box[0] - box[1], box[2] - box[3]) if box[0] is not None else 0.0
+    out, open_, ring = None, own, max(1, math.ceil(math.sqrt(k) / 2))
     while True:
         near = F.explode(F.sequence(F.lit(-ring), F.lit(ring)))
-        a = open_.withColumn("dx", near).withColumn("dy", near).select("i", "x", "y", (F.floor(F.col("x") / cell) + F.col("dx")).alias("cx"), (F.floor(F.col("y") / cell) + F.col("dy")).alias("cy"))
-        b = own.select(F.col("i").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
+        a = open_.withColumn("dx", near).withColumn("dy", near).select("i", "x", "y", "g", (F.floor(F.col("x") / cell) + F.col("dx")).alias("cx"), (F.floor(F.col("y") / cell) + F.col("dy")).alias("cy"))
+        b = own.select(F.col("i").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"), "g", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
         d = F.sqrt(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2))
-        ranked = a.join(b, ["cx", "cy"]).where("i <> j").select("i", "j", d.alias("d")).withColumn("rank", F.row_number().over(Window.partitionBy("i").orderBy("d", "j"))).where(F.col("rank") <= k)
-        whole = ring * cell >= span + cell
-        sure = ranked.where((F.col("rank") == k) & ((F.col("d") <= ring * cell) | F.lit(whole))).select("i")
+        ranked = a.join(b, ["g", "cx", "cy"]).where("i <> j").select("i", "j", d.alias("d")).withColumn("rank", F.row_number().over(Window.partitionBy("i").orderBy("d", "j"))).where(F.col("rank") <= k)
+        if ring * cell >= span + cell:
+            found = ranked.drop("rank")
+            return found if out is None else out.unionByName(found)
+        sure = ranked.where((F.col("rank") == k) & (F.col("d") <= ring * cell)).select("i")
         found = ranked.join(sure, "i", "left_semi").drop("rank")
         out = found if out is None else out.unionByName(found)
         open_ = open_.join(sure, "i", "left_anti")
-        if whole or open_.isEmpty():
+        if open_.isEmpty():
             return out
         ring *= 2
 

@@ -13,10 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-V = F.col("intensity")
 EPS = 1e-14
 
 
+def v() -> Column:
+    return F.col("intensity")
+
+
 def by_row() -> Window:
     return Window.partitionBy("feature")
 
@@ -39,8 +42,8 @@ def with_scalar(m: DataFrame, **aggs: Column) -> DataFrame:
 
 def flag_missing(m: DataFrame, ignore_weak: bool = False, weak: float = 1e-5) -> DataFrame:
     """Infinite and NaN values become null; with ignore_weak also magnitudes under ``weak`` (the documented bound)."""
-    bad = F.isnan(V) | (F.abs(V) == float("inf"))
-    return put(m, F.when(bad | ((F.abs(V) < weak) if ignore_weak else F.lit(False)), None).otherwise(V))
+    bad = F.isnan(v()) | (F.abs(v()) == float("inf"))
+    return put(m, F.when(bad | ((F.abs(v()) < weak) if ignore_weak else F.lit(False)), None).otherwise(v()))
 
 
 def filter_present(m: DataFrame, share: float, magnitude: float = 0.0) -> DataFrame:
@@ -48,8 +51,8 @@ def filter_present(m: DataFrame, share: float, magnitude: float = 0.0) -> DataFr
 
     If every cell would count and no magnitude is set, data is taken as imputed and the global minimum is the cutoff.
     """
-    above = lambda c: F.count_if(V > F.greatest(c + EPS, F.lit(0.0)))
-    n = m.agg(F.countDistinct("pixel_id").alias("n_pixels"), F.min("intensity").alias("low"), F.count_if(V > max(magnitude + EPS, 0.0)).alias("n_above"), F.countDistinct("feature").alias("n_features"))
+    above = lambda c: F.count_if(v() > F.greatest(c + EPS, F.lit(0.0)))
+    n = m.agg(F.countDistinct("pixel_id").alias("n_pixels"), F.min("intensity").alias("low"), F.count_if(v() > max(magnitude + EPS, 0.0)).alias("n_above"), F.countDistinct("feature").alias("n_features"))
     whole = (F.col("n_above") == F.col("n_pixels") * F.col("n_features")) & F.lit(magnitude == 0.0) & (F.col("low") != 0)
     cut = n.select("n_pixels", F.when(whole, F.col("low")).otherwise(F.lit(magnitude)).alias("cut"))
     kept = m.crossJoin(F.broadcast(cut)).groupBy("feature", "n_pixels").agg(above(F.col("cut")).alias("n")).where(F.col("n") / F.col("n_pixels") >= share - EPS)
@@ -60,7 +63,7 @@ def row_statistics(m: DataFrame) -> DataFrame:
     """Per feature: raw max, mean and population SD, mean and SD of log2, whether a zero is there, and the count."""
     return m.groupBy("feature").agg(
         F.max("intensity").alias("raw_max"), F.avg("intensity").alias("raw_mean"), F.stddev_pop("intensity").alias("raw_sd"),
-        F.avg(F.log2(F.when(V > 0, V))).alias("log_mean"), F.stddev_pop(F.log2(F.when(V > 0, V))).alias("log_sd"), F.coalesce(F.bool_or(V == 0), F.lit(False)).alias("has_zero"), F.count("intensity").alias("n"),
+        F.avg(F.log2(F.when(v() > 0, v()))).alias("log_mean"), F.stddev_pop(F.log2(F.when(v() > 0, v()))).alias("log_sd"), F.coalesce(F.bool_or(v() == 0), F.lit(False)).alias("has_zero"), F.count("intensity").alias("n"),
     )
 
 
@@ -89,36 +92,36 @@ def filter_statistics(m: DataFrame, raw_max: float = 0, raw_mean: float = 0, raw
 
 
 def log2(m: DataFrame) -> DataFrame:
-    return put(m, F.log2(F.when(V > 0, V)))
+    return put(m, F.log2(F.when(v() > 0, v())))
 
 
 def unlog2(m: DataFrame) -> DataFrame:
     """2**v of every value (values up to 0 are logarithms like others)."""
-    return put(m, F.pow(F.lit(2.0), V))
+    return put(m, F.pow(F.lit(2.0), v()))
 
 
 def display_log(m: DataFrame, kind: str = "log2") -> DataFrame:
-    return put(m, F.log2(V + 1)) if kind == "log2" else m
+    return put(m, F.log2(v() + 1)) if kind == "log2" else m
 
 
 def mean_center(m: DataFrame) -> DataFrame:
-    return put(m, V - F.avg("intensity").over(by_row()))
+    return put(m, v() - F.avg("intensity").over(by_row()))
 
 
 def unit_variance(m: DataFrame) -> DataFrame:
     """Row z-scores by population SD; constant rows stay centered."""
-    d, sd = V - F.avg("intensity").over(by_row()), F.stddev_pop("intensity").over(by_row())
+    d, sd = v() - F.avg("intensity").over(by_row()), F.stddev_pop("intensity").over(by_row())
     return put(m, F.when(sd > 0, d / sd).otherwise(d))
 
 
 def unit_magnitude(m: DataFrame) -> DataFrame:
-    top = F.max(F.abs(V)).over(by_row())
-    return put(m, F.when(top > 0, V / top).otherwise(V))
+    top = F.max(F.abs(v())).over(by_row())
+    return put(m, F.when(top > 0, v() / top).otherwise(v()))
 
 
 def scale_ten_thousand(m: DataFrame) -> DataFrame:
     top = F.max("intensity").over(by_row())
-    return put(m, F.when(top != 0, 10000 * V / top).otherwise(V))
+    return put(m, F.when(top != 0, 10000 * v() / top).otherwise(v()))
 
 
 def stretch(m: DataFrame, share: float) -> DataFrame:
@@ -134,7 +137,7 @@ def stretch(m: DataFrame, share: float) -> DataFrame:
     beyond = F.filter(F.slice("s", place + 1, F.size("s")), lambda x: x != F.col("low"))
     high = F.coalesce(F.get(beyond, F.lit(0)), F.get("s", F.lit(0)))
     factor = rows.select("feature", "low", F.when(high != F.col("low"), 1 / (high - F.col("low"))).otherwise(0.0).alias("factor"))
-    return put(m.join(factor, "feature"), F.col("factor") * (V - F.col("low")))
+    return put(m.join(factor, "feature"), F.col("factor") * (v() - F.col("low")))
 
 
 def column_medians(m: DataFrame) -> DataFrame:
@@ -143,7 +146,7 @@ def column_medians(m: DataFrame) -> DataFrame:
     Where the middle is the column's minimum, which may be noise or imputed, the first larger value is found, and the
     place moves on among the larger ones by half its relative distance from the middle.
     """
-    s = m.where(V.isNotNull()).groupBy("pixel_id").agg(F.sort_array(F.collect_list("intensity")).alias("s"))
+    s = m.where(v().isNotNull()).groupBy("pixel_id").agg(F.sort_array(F.collect_list("intensity")).alias("s"))
     n, half = F.size("s"), F.floor(F.size("s") / 2).cast("int")
     at = lambda k: F.get("s", k)
     even = n % 2 == 0
@@ -161,14 +164,14 @@ def median_normalize(m: DataFrame) -> DataFrame:
     med = column_medians(m)
     target = med.agg(F.exp(F.avg(F.ln(F.when(F.col("median") > 0, F.col("median"))))).alias("target"))
     factor = med.crossJoin(F.broadcast(target)).select("pixel_id", F.when(F.col("median") > 0, F.col("target") / F.col("median")).otherwise(1.0).alias("factor"))
-    return put(m.join(factor, "pixel_id"), V * F.col("factor"))
+    return put(m.join(factor, "pixel_id"), v() * F.col("factor"))
 
 
 # --- imputation and floors ---------------------------------------------------------------------------------------------
 
 
 def empty() -> Column:
-    return V.isNull() | (V == 0)
+    return v().isNull() | (v() == 0)
 
 
 def complete(m: DataFrame) -> DataFrame:
@@ -177,52 +180,53 @@ def complete(m: DataFrame) -> DataFrame:
     return cells.join(m, ["feature", "pixel_id"], "left")
 
 
-POSITIVE = F.when(V > 0, V)
+def positive() -> Column:
+    return F.when(v() > 0, v())
 
 
 def impute_global(m: DataFrame) -> DataFrame:
     """Half the smallest positive value."""
-    return put(with_scalar(m, low=F.min(POSITIVE)), F.when(empty(), 0.5 * F.col("low")).otherwise(V))
+    return put(with_scalar(m, low=F.min(positive())), F.when(empty(), 0.5 * F.col("low")).otherwise(v()))
 
 
 def impute_column(m: DataFrame) -> DataFrame:
     """Half the column's smallest positive value; null in a column without any."""
-    return put(m, F.when(empty(), 0.5 * F.min(POSITIVE).over(by_column())).otherwise(V))
+    return put(m, F.when(empty(), 0.5 * F.min(positive()).over(by_column())).otherwise(v()))
 
 
 def impute_column_global(m: DataFrame) -> DataFrame:
     """Half the geometric mean of the global and the column's smallest positive value (the global one alone if none)."""
-    low = F.coalesce(F.min(POSITIVE).over(by_column()), F.col("low"))
-    return put(with_scalar(m, low=F.min(POSITIVE)), F.when(empty(), 0.5 * F.sqrt(F.col("low") * low)).otherwise(V))
+    low = F.coalesce(F.min(positive()).over(by_column()), F.col("low"))
+    return put(with_scalar(m, low=F.min(positive())), F.when(empty(), 0.5 * F.sqrt(F.col("low") * low)).otherwise(v()))
 
 
 def impute_row_column(m: DataFrame) -> DataFrame:
     """In logarithms: the global minimum averaged with the column's and, where it is below the column's or the upper
     bound (mean + 3 SD of column minima), the row's minimum; the global one alone if neither is there."""
-    low = m.groupBy("pixel_id").agg(F.ln(F.min(POSITIVE)).alias("c"))
+    low = m.groupBy("pixel_id").agg(F.ln(F.min(positive())).alias("c"))
     bound = low.agg((F.avg("c") + 3 * F.stddev_pop("c")).alias("bound"))
-    own = with_scalar(m, low=F.ln(F.min(POSITIVE))).crossJoin(F.broadcast(bound))
-    g, r, c = F.col("low"), F.ln(F.min(POSITIVE).over(by_row())), F.ln(F.min(POSITIVE).over(by_column()))
+    own = with_scalar(m, low=F.ln(F.min(positive()))).crossJoin(F.broadcast(bound))
+    g, r, c = F.col("low"), F.ln(F.min(positive()).over(by_row())), F.ln(F.min(positive()).over(by_column()))
     within = F.when(c.isNull(), r < F.col("bound")).otherwise((r < c) | (r < F.col("bound")))
     other = F.when(r.isNotNull() & within, F.coalesce((r + c) / 2, r)).otherwise(F.coalesce(c, g))
-    return put(own, F.when(empty(), 0.5 * F.exp((g + other) / 2)).otherwise(V))
+    return put(own, F.when(empty(), 0.5 * F.exp((g + other) / 2)).otherwise(v()))
 
 
 def detection_limits(m: DataFrame) -> DataFrame:
     """One row: lower and upper limit, exp(mean -/+ 3 SD) of the logarithms of column minima; lower at least the global
     minimum."""
-    low = m.groupBy("pixel_id").agg(F.ln(F.min(POSITIVE)).alias("c"))
+    low = m.groupBy("pixel_id").agg(F.ln(F.min(positive())).alias("c"))
     g = low.agg(F.exp(F.avg("c") - 3 * F.stddev_pop("c")).alias("lo"), F.exp(F.avg("c") + 3 * F.stddev_pop("c")).alias("upper"), F.exp(F.min("c")).alias("g"))
     return g.select(F.greatest("lo", "g").alias("lower"), "upper")
 
 
 def floor_to(m: DataFrame, value: float = 1.0) -> DataFrame:
-    return put(m, F.greatest(F.coalesce(V, F.lit(value)), F.lit(value)))
+    return put(m, F.greatest(F.coalesce(v(), F.lit(value)), F.lit(value)))
 
 
 def floor_to_limit(m: DataFrame, limits: DataFrame, upper: bool = False) -> DataFrame:
     c = F.col("upper" if upper else "lower")
-    return put(m.crossJoin(F.broadcast(limits)), F.greatest(F.coalesce(V, c), c))
+    return put(m.crossJoin(F.broadcast(limits)), F.greatest(F.coalesce(v(), c), c))
 
 
 # --- the whole order ----------------------------------------------------------------------------------------------------

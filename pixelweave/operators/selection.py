@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-V = F.col("intensity")
+def v() -> Column:
+    return F.col("intensity")
+
 
 
 # --- features ---------------------------------------------------------------------------------------------------------
@@ -32,8 +34,8 @@ def top_mean(m: DataFrame, share: float) -> DataFrame:
 
 def clean_values(m: DataFrame) -> DataFrame:
     """Missing and non-finite values as 0, as before PCA and correlation."""
-    bad = V.isNull() | F.isnan(V) | (F.abs(V) == float("inf"))
-    return m.select("feature", "pixel_id", F.when(bad, 0.0).otherwise(V).alias("intensity"))
+    bad = v().isNull() | F.isnan(v()) | (F.abs(v()) == float("inf"))
+    return m.select("feature", "pixel_id", F.when(bad, 0.0).otherwise(v()).alias("intensity"))
 
 
 # --- pixels ---------------------------------------------------------------------------------------------------------------
@@ -68,7 +70,7 @@ def row_numbers(p: DataFrame) -> DataFrame:
 def display(m: DataFrame, contrast: float) -> DataFrame:
     """v ** (1 / contrast), contrast within 0.3 and 5, then to 0..1 over a feature (0 if constant)."""
     w = Window.partitionBy("feature")
-    y = F.pow(V, F.lit(1 / min(5.0, max(0.3, contrast))))
+    y = F.pow(v(), F.lit(1 / min(5.0, max(0.3, contrast))))
     own = m.withColumn("y", y)
     low, high = F.min("y").over(w), F.max("y").over(w)
     return own.select("feature", "pixel_id", F.when(high > low, (F.col("y") - low) / (high - low)).otherwise(0.0).alias("shown"))
@@ -170,14 +172,14 @@ def volcano(de: DataFrame, cut: float = 1.0, fdr: float = 0.05, top: int = 10) -
 
 def log_row_statistics(m: DataFrame) -> DataFrame:
     """RowMin, RowMean, RowMax, RowStDev of log2 values, population SD (the true maximum, also below 0)."""
-    v = F.log2(F.when(V > 0, V))
-    return m.groupBy("feature").agg(F.min(v).alias("row_min"), F.avg(v).alias("row_mean"), F.max(v).alias("row_max"), F.stddev_pop(v).alias("row_sd"))
+    logs = F.log2(F.when(v() > 0, v()))
+    return m.groupBy("feature").agg(F.min(logs).alias("row_min"), F.avg(logs).alias("row_mean"), F.max(logs).alias("row_max"), F.stddev_pop(logs).alias("row_sd"))
 
 
 def cluster_means(m: DataFrame, p: DataFrame, cluster: str = "hc_orig") -> DataFrame:
     """For each cluster and feature the sum of log2 of positive values over the number of the cluster's pixels."""
     size = p.groupBy(cluster).agg(F.count("*").alias("n"))
-    total = m.join(p.select("pixel_id", cluster), "pixel_id").groupBy(cluster, "feature").agg(F.sum(F.when(V > 0, F.log2(V)).otherwise(0.0)).alias("s"))
+    total = m.join(p.select("pixel_id", cluster), "pixel_id").groupBy(cluster, "feature").agg(F.sum(F.when(v() > 0, F.log2(v())).otherwise(0.0)).alias("s"))
     return total.join(size, cluster).select(F.col(cluster).alias("cluster"), "feature", (F.col("s") / F.col("n")).alias("mean"))
 
 
@@ -188,7 +190,7 @@ def cluster_mean_statistics(means: DataFrame) -> DataFrame:
 def feature_cluster_profile(m: DataFrame, f: DataFrame) -> DataFrame:
     """For each feature cluster (f: feature, cluster) and pixel the geometric mean over all its features, and the median."""
     size = f.groupBy("cluster").agg(F.count("*").alias("n"))
-    own = m.join(f, "feature").groupBy("cluster", "pixel_id").agg(F.sum(F.ln(F.when(V > 0, V))).alias("s"), F.median("intensity").alias("median"))
+    own = m.join(f, "feature").groupBy("cluster", "pixel_id").agg(F.sum(F.ln(F.when(v() > 0, v()))).alias("s"), F.median("intensity").alias("median"))
     return own.join(size, "cluster").select("cluster", "pixel_id", F.exp(F.coalesce("s", F.lit(0.0)) / F.col("n")).alias("geo_mean"), "median")
 
 
@@ -210,11 +212,11 @@ def palette_reversed(p: DataFrame, cluster: str = "hc_orig") -> DataFrame:
 
 def image_scale(m: DataFrame, share: float = 0.99) -> DataFrame:
     """Values as 0..1 between the global minimum and each feature's value at int(share * (n - 1)) of its sorted ones."""
-    s = m.where(V.isNotNull()).groupBy("feature").agg(F.sort_array(F.collect_list("intensity")).alias("s"))
+    s = m.where(v().isNotNull()).groupBy("feature").agg(F.sort_array(F.collect_list("intensity")).alias("s"))
     high = s.select("feature", F.get("s", F.floor(F.lit(share) * (F.size("s") - 1)).cast("int")).alias("high"))
     low = m.agg(F.min("intensity").alias("low"))
     own = m.join(high, "feature").crossJoin(F.broadcast(low))
-    return own.select("feature", "pixel_id", F.when(F.col("high") > F.col("low"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), (V - F.col("low")) / (F.col("high") - F.col("low"))))).otherwise(0.0).alias("level"))
+    return own.select("feature", "pixel_id", F.when(F.col("high") > F.col("low"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), (v() - F.col("low")) / (F.col("high") - F.col("low"))))).otherwise(0.0).alias("level"))
 
 
 def heatmap_scale(means: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def weight_query(s, d):
     names, dist = H.distance_matrix(pairwise(vectors(few(s, d)), block=8))
     w, _ = H.gsc_weights(H.build_tree(names, dist))
     c = H.clustalw_weights(H.build_tree(names, dist))
-    return s.createDataFrame([(n, w[n], c[n]) for n in sorted(w)], "leaf string, gsc double, clustalw double")
+    return s.createDataFrame([(n, float(w[n]), float(c[n])) for n in sorted(w)], "leaf string, gsc double, clustalw double")
 
 
 def pca_shares(s, d):
