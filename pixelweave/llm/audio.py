@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, id_text, slices
+from .common import arrow_batch, id_text, map_batches, slices
 
 UNIT = 64
 FORMATS = {"alaw": 6, "mulaw": 7}
@@ -123,7 +123,7 @@ def store_audio(docs: DataFrame, codec: str = "mulaw", rate: int = 8000) -> Data
                     files.append(wav_file(payload + b"\0" * (max(1, -(-len(payload) // UNIT)) * UNIT - len(payload)), codec, rate))
                 yield arrow_batch(STORED, doc_id=rows.column(0), n_bytes=np.diff(offs), media=files)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return map_batches(id_text(docs), run, "doc_id long, n_bytes long, media binary")
 
 
 READ = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
@@ -173,7 +173,7 @@ def read_audio(stored: DataFrame, pcm: bool = False) -> DataFrame:
                     media_bytes=np.diff(offs), media_sha256=[hashlib.sha256(x).hexdigest() for x in files], feature=features, **({"pcm": more} if pcm else {}),
                 )
 
-    return stored.select("doc_id", "n_bytes", "media").mapInArrow(run, READ_DDL + (", pcm binary" if pcm else ""))
+    return map_batches(stored.select("doc_id", "n_bytes", "media"), run, READ_DDL + (", pcm binary" if pcm else ""))
 
 
 def op1_telephony_audio(spark, sf_dir: str) -> DataFrame:

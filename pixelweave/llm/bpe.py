@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHES, arrow_batch, id_text, keep_only, slices
+from .common import CACHES, arrow_batch, id_text, map_batches, slices
 
 MEMO_CHUNKS = 800_000
 MEMO_STATES = 700_000
@@ -261,7 +261,6 @@ def without_gc() -> Iterator[None]:
 
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each Python worker."""
-    keep_only("bpe")
     CACHES["bpe"] = _encoders.clear
     if (path, pattern) not in _encoders:
         _encoders[path, pattern] = Encoder(load_ranks(path), pattern)
@@ -280,7 +279,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     ids = [own.encode(x or "") for x in rows.column(1).to_pylist()]
                 yield arrow_batch(schema, doc_id=rows.column(0), ids=ids)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, ids binary")
+    return map_batches(id_text(docs), run, "doc_id long, ids binary", "bpe")
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -293,7 +292,7 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for rows, _, _ in slices(batch, "ids"):
                 yield arrow_batch(schema, doc_id=rows.column(0), text=["".join(decode_stream(np.frombuffer(x or b"", "<u4"), table)) for x in rows.column(1).to_pylist()])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, text string", "bpe")
 
 
 DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -316,7 +315,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     text_sha.append(back.hexdigest())
                 yield arrow_batch(DIGESTS, doc_id=rows.column(0), n_tokens=n, ids_sha256=ids_sha, decoded_sha256=text_sha)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(id_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "bpe")
 
 
 def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, id_text, keep_only, slices, written
+from .common import apply_groups, arrow_batch, id_text, map_batches, slices, written
 from .hashing import U, WHITE, Spans, byte_values
 from .jaccard_join import blobs, bucket_bits
 
@@ -86,7 +86,6 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     bits = bucket_bits(docs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only()
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -104,7 +103,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return id_text(docs, "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather_repeats, "a long")
+    return apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", gather_repeats, "a long")
 
 
 def digest_bitmap(repeats: DataFrame) -> np.ndarray:
@@ -118,7 +117,7 @@ def digest_bitmap(repeats: DataFrame) -> np.ndarray:
 
     slots = repeats.select(F.shiftrightunsigned("a", 64 - MAP_BITS).alias("slot")).distinct().select("slot", F.shiftright("slot", low).cast("int").alias("block"))
     out = np.zeros((1 << MAP_BITS) // 8, np.uint8)
-    for r in slots.groupBy("block").applyInArrow(fill, "block int, bits binary").toLocalIterator():
+    for r in apply_groups(slots, "block", fill, "block int, bits binary").toLocalIterator():
         out[r["block"] << (low - 3) : (r["block"] + 1) << (low - 3)] = np.frombuffer(r["bits"], np.uint8)
     return out
 
@@ -132,7 +131,6 @@ def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
     from pyspark import TaskContext
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only()
         bits = bitmap.value
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -155,7 +153,7 @@ def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
                     yield arrow_batch(PLACES, row=row + own[at], doc_id=rows.column(0).take(pa.array(own[at])), crc=crc[own[at]], ord=(at - begun).astype(np.int32), start=(starts - offs[own])[at], size=(ends - starts)[at].astype(np.int32), words=size[at].astype(np.int32), a=a[at].view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[at], ends[at]).view(np.int64))
                 row += rows.num_rows
 
-    return id_text(docs).mapInArrow(emit, "row long, doc_id long, crc long, ord int, start long, size int, words int, a long, b long")
+    return map_batches(id_text(docs), emit, "row long, doc_id long, crc long, ord int, start long, size int, words int, a long, b long")
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -62,14 +65,71 @@ def id_text(docs: DataFrame, *columns: str) -> DataFrame:
 CACHES: dict[str, Callable[[], None]] = {}
 
 
+#: Seconds after which an idle worker lets its caches go; the next task of the same operator comes sooner.
+IDLE_S = 3.0
+_task = 0
+
+
 def keep_only(name: str = "") -> None:
-    """At the start of a task: let go what tasks of other operators left in this worker."""
+    """Let go what tasks of other operators left in this worker."""
     for other, clear in list(CACHES.items()):
         if other != name:
             clear()
             del CACHES[other]
 
 
+def trim() -> None:
+    """Give memory that Arrow and the C library hold for later back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _idle(task: int) -> None:
+    if task == _task:
+        keep_only()
+        trim()
+
+
+@contextlib.contextmanager
+def worker(cache: str = "") -> Iterator[None]:
+    """Around a task in a Python worker: workers live on between tasks, also beside stages without any Python."""
+    global _task
+    _task += 1
+    keep_only(cache)
+    try:
+        yield
+    finally:
+        trim()
+        if CACHES:
+            timer = threading.Timer(IDLE_S, _idle, (_task,))
+            timer.daemon = True
+            timer.start()
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_batches(df: DataFrame, run: Callable[[Batches], Batches], ddl: str, cache: str = "") -> DataFrame:
+    """mapInArrow within ``worker``; cache names what the function keeps between tasks."""
+
+    def own(batches: Batches) -> Batches:
+        with worker(cache):
+            yield from run(batches)
+
+    return df.mapInArrow(own, ddl)
+
+
+def apply_groups(df: DataFrame, key: str, run: Callable[[pa.Table], pa.Table], ddl: str) -> DataFrame:
+    """applyInArrow over groups of a key within ``worker``."""
+
+    def own(table: pa.Table) -> pa.Table:
+        with worker():
+            return run(table)
+
+    return df.groupBy(key).applyInArrow(own, ddl)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch into runs of rows of at most ``limit`` text bytes: (rows, bytes, offsets). Null is empty."""
     if not batch.num_rows:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, id_text, keep_only, slices, written
+from .common import apply_groups, arrow_batch, id_text, map_batches, slices, written
 from .components import components
 from .hashing import U, mix, set_digest, shingle_sets
 
@@ -84,7 +84,6 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only()
         seen: set[int] = set()
         held: list[np.ndarray] = []
         for batch in batches:
@@ -109,7 +108,7 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
         rows = [(lv, len(s), s.astype(np.uint32).tobytes()) for lv in np.unique(level).tolist() if len(s := slot[level == lv])]
         return pa.table({"level": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int64()), "slots": pa.array([r[2] for r in rows], pa.binary())})
 
-    found = written(id_text(docs, "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(count, "level int, n long, slots binary"), "gram-levels")
+    found = written(apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", count, "level int, n long, slots binary"), "gram-levels")
     levels, total, least = np.zeros(1 << LEVEL_BITS, np.uint8), 0, 33
     for r in found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # at most 32 rows
         total += r["n"]
@@ -132,7 +131,6 @@ def candidate_edges(docs: DataFrame, levels, bits: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = levels.value
-        keep_only()
         seen: set[int] = set()
         keys: list[np.ndarray] = []
         digests: list[tuple[int, int, int]] = []
@@ -181,7 +179,7 @@ def candidate_edges(docs: DataFrame, levels, bits: int) -> DataFrame:
         pairs = np.unique(np.stack([np.minimum(head, d), np.maximum(head, d)], axis=1)[head != d], axis=0) if len(k) else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    return id_text(docs, "text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(gather, "a long, b long").distinct()
+    return apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", gather, "a long, b long").distinct()
 
 
 def candidate_bitmap(nodes: DataFrame) -> np.ndarray:
@@ -196,7 +194,7 @@ def candidate_bitmap(nodes: DataFrame) -> np.ndarray:
     slot = F.shiftrightunsigned("node", 64 - CANDIDATE_BITS)
     slots = nodes.select(slot.alias("slot")).distinct().select("slot", F.shiftright("slot", low).cast("int").alias("block"))
     out = np.zeros((1 << CANDIDATE_BITS) // 8, np.uint8)
-    for r in slots.groupBy("block").applyInArrow(fill, "block int, bits binary").toLocalIterator():  # 2 MB in all
+    for r in apply_groups(slots, "block", fill, "block int, bits binary").toLocalIterator():  # 2 MB in all
         out[r["block"] << (low - 3) : (r["block"] + 1) << (low - 3)] = np.frombuffer(r["bits"], np.uint8)
     return out
 
@@ -205,7 +203,6 @@ def described(docs: DataFrame, levels, bitmap) -> DataFrame:
     """doc_id, set size and digest of every row; the ordered set once a task where the digest may be a candidate's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only()
         own, bits = levels.value, bitmap.value
         seen: set[int] = set()
         for batch in batches:
@@ -221,7 +218,7 @@ def described(docs: DataFrame, levels, bitmap) -> DataFrame:
                         grams.append(None)
                 yield arrow_batch(META_SCHEMA, doc_id=rows.column(0), n=[len(s) for s in sets], digest=digests, grams=grams)
 
-    return id_text(docs).mapInArrow(run, META)
+    return map_batches(id_text(docs), run, META)
 
 
 class Trie:
@@ -351,7 +348,7 @@ def verify(rows: DataFrame, groups: int) -> DataFrame:
         return pa.table({"digest": join(digests), "root": join(roots)})
 
     bucket = F.pmod(F.xxhash64("label", "i", "j"), F.lit(groups))
-    return rows.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, LINKED)
+    return apply_groups(rows.withColumn("bucket", bucket), "bucket", run, LINKED)
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:

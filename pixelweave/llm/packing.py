@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CACHES, arrow_batch, id_text, keep_only, slices, written
+from .common import CACHES, arrow_batch, id_text, map_batches, slices, written
 
 WINDOW = 4096
 END_ID = 2
@@ -97,7 +97,6 @@ def chunk_ids(path: str) -> ChunkIds:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    keep_only("packing")
     CACHES["packing"] = _chunks.clear
     if path not in _chunks:
         _chunks[path] = ChunkIds(path)
@@ -129,7 +128,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
                 yield arrow_batch(TOKENIZED, doc_id=rows.column(0), part=np.full(len(n), part), row=np.arange(row, row + len(n)), n=n, rem=rem.astype(np.int32), rank=ranks, whole=wholes, ids=ids)
                 row += len(n)
 
-    return id_text(docs).mapInArrow(run, TOKENIZED_DDL)
+    return map_batches(id_text(docs), run, TOKENIZED_DDL, "packing")
 
 
 def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, slack: int, depth: int = 6, thirds: int = 8) -> np.ndarray:
@@ -297,7 +296,7 @@ def pack(tokenized: DataFrame, window: int = WINDOW, keep_ids: bool = False) ->
                 yield arrow_batch(schema, doc_id=doc.take(pa.array(row)), start=at, length=size, ids_crc32=[zlib.crc32(x) for x in spans], doc_tokens=n[row], sequence_id=seq, offset=off, **more)
 
     joined = tokenized.join(shift, ["part", "rem"], "left").select("ids", "doc_id", "part", "n", "rem", (F.col("rank") + F.coalesce("shift", F.lit(0))).alias("rank"), "whole")
-    return joined.mapInArrow(run, PIECES_DDL + (", ids binary" if keep_ids else ""))
+    return map_batches(joined, run, PIECES_DDL + (", ids binary" if keep_ids else ""))
 
 
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, keep_ids: bool = False) -> DataFrame:

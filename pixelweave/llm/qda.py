@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, id_text, keep_only, slices, table, written
+from .common import arrow_batch, id_text, map_batches, slices, table, written
 from .hashing import VALUES, LOWER, U, WHITE, Spans, mix, words
 from .quality_rules import STOP_WORDS
 
@@ -102,12 +102,11 @@ def features(docs: DataFrame) -> DataFrame:
     """doc_id and the array x of NAMES of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only()
         for batch in batches:
             for rows, data, offs in slices(batch):
                 yield arrow_batch(FEATURES, doc_id=rows.column(0), x=pa.array(list(statistics(data, offs)), pa.list_(pa.float64())))
 
-    return id_text(docs).mapInArrow(run, "doc_id long, x array<double>")
+    return map_batches(id_text(docs), run, "doc_id long, x array<double>")
 
 
 @dataclass
@@ -148,7 +147,7 @@ def fit(feats: DataFrame, labels: DataFrame, pooled: float = POOLED, round_: flo
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], k), pa.int32()), pa.array(np.tile(np.arange(k), 2), pa.int32()), pa.array(total.ravel())], names=["q", "cell", "v"])
 
     sums = np.zeros((2, 1 + d + d * d))
-    for r in rows.mapInArrow(moments, "q int, cell int, v double").groupBy("q", "cell").agg(F.sum("v").alias("v")).collect():  # 2 * (1 + d + d * d) rows
+    for r in map_batches(rows, moments, "q int, cell int, v double").groupBy("q", "cell").agg(F.sum("v").alias("v")).collect():  # 2 * (1 + d + d * d) rows
         sums[r["q"], r["cell"]] = r["v"]
     n = sums[:, 0]
     share = float(n[1] / n.sum()) if n.sum() else 0.5
@@ -181,7 +180,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
             x = batch.column(1).flatten().to_numpy().reshape(-1, len(NAMES))
             yield arrow_batch(SCORES, doc_id=batch.column(0), score=np.round(model.score(x), 6))
 
-    scored = feats.mapInArrow(run, "doc_id long, score double")
+    scored = map_batches(feats, run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
