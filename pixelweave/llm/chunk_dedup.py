@@ -27,7 +27,7 @@ from .hashing import U, WHITE, Spans, byte_values
 from .jaccard_join import blobs, bucket_bits
 
 WORD_BITS, WIDE_BITS = 2, 8
-MIN_WORDS = 25
+MIN_WORDS = 16
 MAP_BITS = 25
 FLUSH = 300_000
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)

@@ -116,7 +116,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
         row = whole = 0
         close = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for rows, _, _ in slices(batch):
+            for rows, _, _ in slices(batch, limit=2 << 20):
                 texts = [x or "" for x in rows.column(1).to_pylist()]
                 ids = [x + close for x in own.encode_all(texts)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
