@@ -34,8 +34,8 @@ from .hashing import U, mix, set_digest, shingle_sets
 SHINGLE = 5
 #: Threshold as a fraction of integers.
 NUM, DEN = 80, 100
-LEVEL_BITS = 22
-MAX_LEVEL_ENTRIES = 1 << 21
+#: The level table has 2**22 to 2**26 slots of a byte, growing with the input, and half as many entries.
+LEVEL_BITS = (22, 26)
 CANDIDATE_BITS = 24
 #: Sets and bytes of one component that one trie takes; larger ones are cut into blocks.
 TRIE_SETS = 20_000
@@ -77,12 +77,14 @@ def blobs(bits: int, keys: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa
 
 
 def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
-    """A table of 2**LEVEL_BITS bytes: for the slot of each repeated shingle, the log2 of its number of sets.
+    """A table of bytes: for the slot of each repeated shingle, the log2 of its number of sets.
 
     Counts are of the shingle's first bits + 32 bits; of all levels the highest are entered, as many as the table can
     tell apart. Any function of the shingle gives right joins; this one keeps frequent shingles out of the prefixes.
     """
 
+    slot_bits = min(LEVEL_BITS[1], max(LEVEL_BITS[0], bits + 19))
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[np.ndarray] = []
@@ -104,18 +106,18 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
         n = np.diff(np.r_[first, len(h)])
         more = n > 1
         level = np.minimum(np.log2(n[more]).astype(np.int32), 31)
-        slot = ((U(bucket) << U(32)) + h[first[more]].astype(U)) >> U(32 + bits - LEVEL_BITS)
+        slot = ((U(bucket) << U(32)) + h[first[more]].astype(U)) >> U(32 + bits - slot_bits)
         rows = [(lv, len(s), s.astype(np.uint32).tobytes()) for lv in np.unique(level).tolist() if len(s := slot[level == lv])]
         return pa.table({"level": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int64()), "slots": pa.array([r[2] for r in rows], pa.binary())})
 
     found = written(apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", count, "level int, n long, slots binary"), "gram-levels")
-    levels, total, least = np.zeros(1 << LEVEL_BITS, np.uint8), 0, 33
+    levels, total, least = np.zeros(1 << slot_bits, np.uint8), 0, 33
     for r in found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # at most 32 rows
         total += r["n"]
-        if total > MAX_LEVEL_ENTRIES:
+        if total > 1 << (slot_bits - 1):
             break
         least = r["level"]
-    for r in found.where(F.col("level") >= least).select("level", "slots").toLocalIterator():  # 4 bytes for each of at most MAX_LEVEL_ENTRIES
+    for r in found.where(F.col("level") >= least).select("level", "slots").toLocalIterator():  # 4 bytes an entry, a partition at a time
         slot = np.frombuffer(r["slots"], np.uint32)
         np.maximum.at(levels, slot, np.uint8(r["level"]))
     return levels
@@ -123,7 +125,8 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
 
 def ordered(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """Shingles as sorted keys of the global order: level, then the upper 58 bits of the hash."""
-    return np.sort((levels[(grams >> U(64 - LEVEL_BITS)).astype(np.int64)].astype(U) << U(58)) | (grams >> U(6)))
+    slot = (grams >> U(65 - len(levels).bit_length())).astype(np.int64)
+    return np.sort((levels[slot].astype(U) << U(58)) | (grams >> U(6)))
 
 
 def candidate_edges(docs: DataFrame, levels, bits: int) -> DataFrame:
@@ -355,7 +358,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row (see the module)."""
     spark: SparkSession = docs.sparkSession
     bits = bucket_bits(docs)
-    levels = spark.sparkContext.broadcast(gram_levels(docs, bits))  # 4 MB, whatever the input
+    levels = spark.sparkContext.broadcast(gram_levels(docs, bits))  # 64 MB at most
     labels = written(components(candidate_edges(docs, levels, bits)), "candidates")
     bitmap = spark.sparkContext.broadcast(candidate_bitmap(labels))  # 2 MB, whatever the input
     meta = written(described(docs, levels, bitmap), "sets")
