@@ -115,10 +115,10 @@ def pairwise(v: DataFrame, k: Metric | None = None, weights: list[float] | None
         sides = []
         for s in (p, q):
             own = df[df.b == s].sort_values("name")
+            if own.empty:
+                return pd.DataFrame({"i": pd.Series([], dtype=str), "j": pd.Series([], dtype=str), "dist": pd.Series([], dtype=float)})
             sides.append((own.name.to_numpy(), np.array([[np.nan if x is None else x for x in r] for r in own["values"]], float).reshape(len(own), -1), own[["x", "y"]].to_numpy(float)))
         (na, a, ca), (nb, b, cb) = sides
-        if not len(na) or not len(nb):
-            return pd.DataFrame({"i": [], "j": [], "dist": []})
         w = np.ones(a.shape[1]) if weights is None else np.asarray(weights, float)
         d = block_distances(a, b, w, k)
         if k.spatial:

@@ -251,10 +251,14 @@ def align_peaks(peaks: DataFrame, ppm: float = 10.0) -> DataFrame:
 # --- sinks -----------------------------------------------------------------------------------------------------------------------------------------
 
 
+def general_text(c: Column, digits: int) -> Column:
+    """Significant digits without zeros at the end of the fraction."""
+    return F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}g", c), r"(\.\d*?)0+($|e)", "$1$2"), r"\.($|e)", "$1")
+
+
 def number_text(c: Column) -> Column:
     """The shorter of 14 significant digits and 6 decimals, blank for missing."""
-    a, b = F.regexp_replace(F.format_string("%.14g", c), r"(\.\d*?)0+($|e)", "$1$2"), F.format_string("%.6f", c)
-    a = F.regexp_replace(a, r"\.($|e)", "$1")
+    a, b = general_text(c, 14), F.format_string("%.6f", c)
     return F.when(c.isNull(), "").when(F.length(a) <= F.length(b), a).otherwise(b)
 
 
@@ -271,7 +275,7 @@ def matrix_lines(m: DataFrame) -> DataFrame:
 
 def triangle_lines(d: DataFrame) -> DataFrame:
     """name and its line of the labelled lower triangle (names in order, 0 last)."""
-    own = d.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", F.format_string("%.13g", "dist").alias("t")))).alias("v"))
+    own = d.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", general_text(F.col("dist"), 13).alias("t")))).alias("v"))
     names = d.select(F.col("i").alias("name")).union(d.select("j")).distinct()
     full = names.join(own, names["name"] == own["i"], "left")
     return full.select("name", F.concat_ws("\t", F.col("name"), F.array_join(F.transform("v", lambda x: x["t"]), "\t"), F.lit("0")).alias("line"))
