@@ -34,8 +34,11 @@ from .hashing import U, mix, set_digest, shingle_sets
 SHINGLE = 5
 #: Threshold as a fraction of integers.
 NUM, DEN = 80, 100
-#: The level table has 2**22 to 2**26 slots of a byte, growing with the input, and half as many entries.
+#: The level table has 2**22 to 2**26 slots of a byte, growing with the input, and half as many entries at most.
 LEVEL_BITS = (22, 26)
+#: Shingles of fewer than 2**LEAST_LEVEL sets aren't told apart from single ones: they are too many for the table once the
+#: input is large, and the join should behave alike at every size.
+LEAST_LEVEL = 2
 CANDIDATE_BITS = 24
 #: Sets and bytes of one component that one trie takes; larger ones are cut into blocks.
 TRIE_SETS = 20_000
@@ -83,7 +86,7 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
     tell apart. Any function of the shingle gives right joins; this one keeps frequent shingles out of the prefixes.
     """
 
-    slot_bits = min(LEVEL_BITS[1], max(LEVEL_BITS[0], bits + 19))
+    slot_bits = min(LEVEL_BITS[1], max(LEVEL_BITS[0], bits + 17))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -112,7 +115,7 @@ def gram_levels(docs: DataFrame, bits: int) -> np.ndarray:
 
     found = written(apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", count, "level int, n long, slots binary"), "gram-levels")
     levels, total, least = np.zeros(1 << slot_bits, np.uint8), 0, 33
-    for r in found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # at most 32 rows
+    for r in found.where(F.col("level") >= LEAST_LEVEL).groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # at most 32 rows
         total += r["n"]
         if total > 1 << (slot_bits - 1):
             break
