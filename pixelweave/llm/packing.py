@@ -32,7 +32,7 @@ WINDOW = 4096
 END_ID = 2
 #: A gap below this is left as padding; a larger one is filled by cutting a piece.
 SMALL_GAP = 16
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 1_000_000
 #: Sequences that are one whole window of one document are numbered from here.
 WHOLE_BASE = 1 << 62
 
@@ -54,6 +54,7 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -68,10 +69,15 @@ class ChunkIds(dict):
         return text.split()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self) > MEMO_CHUNKS:
+        if len(self) > MEMO_CHUNKS // 2:  # two generations: what is still in use moves to the new one
+            self.old = dict(self)
             self.clear()
         split = [self.runs(x) for x in texts]
         new = set().union(*(x for x in split if x)).difference(self)
+        if self.old:
+            known = new.intersection(self.old)
+            self.update(zip(known, map(self.old.__getitem__, known), strict=True))
+            new -= known
         words = [x for x in new if x.isalpha() and x.islower() and x.isascii()]
         words += [x for x in new if x.isalpha() and not x.isascii() and not self.WIDE(x) and x == x.lower()]
         for k in range(0, len(words), 4096):
@@ -116,7 +122,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
         row = whole = 0
         close = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for rows, _, _ in slices(batch, limit=2 << 20):
+            for rows, _, _ in slices(batch, limit=4 << 20):
                 texts = [x or "" for x in rows.column(1).to_pylist()]
                 ids = [x + close for x in own.encode_all(texts)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
