@@ -37,12 +37,17 @@ MEMO_CHUNKS = 1_000_000
 WHOLE_BASE = 1 << 62
 
 
+def id_bytes(vocabulary: int) -> int:
+    """Bytes that an id is stored in."""
+    return 2 if vocabulary <= 1 << 16 else 4
+
+
 class ChunkIds(dict):
     """Ids of texts by their runs between white space, which the tokenizer drops and never looks across.
 
     In a Latin-1 text, where composition changes nothing and letters of either case give the same ids, runs are taken
     in lower case; points and commas between letters and white space are pieces of their own to the tokenizer, so they
-    become runs too. Unknown words of a batch are encoded in one call.
+    become runs too. Unknown words of a batch are encoded together.
     """
 
     #: A point or comma beside another sign or digit may be part of a longer piece.
@@ -55,9 +60,11 @@ class ChunkIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.old: dict[str, bytes] = {}
+        self.unit = id_bytes(self.tokenizer.get_vocab_size())
+        self.bytes = [k.to_bytes(self.unit, "little") for k in range(self.tokenizer.get_vocab_size())]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.unit}").tobytes()
 
     def runs(self, text: str) -> list[str] | None:
         if any(c in text for c in self.PYTHON_SPACE):
@@ -78,13 +85,17 @@ class ChunkIds(dict):
             known = new.intersection(self.old)
             self.update(zip(known, map(self.old.__getitem__, known), strict=True))
             new -= known
-        words = [x for x in new if x.isalpha() and x.islower() and x.isascii()]
-        words += [x for x in new if x.isalpha() and not x.isascii() and not self.WIDE(x) and x == x.lower()]
+        # a lower-case ASCII word is one piece, the same before and after normalization: the merges alone remain
+        own, merged = self.bytes, self.tokenizer.model.tokenize
+        for x in new:
+            if x.isascii() and x.isalpha() and x.islower():
+                self[x] = b"".join([own[t.id] for t in merged(x)])
+        words = [x for x in new if not x.isascii() and x.isalpha() and not self.WIDE(x) and x == x.lower()]
         for k in range(0, len(words), 4096):
             some = words[k : k + 4096]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, at = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
-            edges = (4 * np.searchsorted(at, np.arange(len(some) + 1))).tolist()
+            ids, at = np.array(found.ids, f"<u{self.unit}").tobytes(), np.array(found.word_ids)
+            edges = (self.unit * np.searchsorted(at, np.arange(len(some) + 1))).tolist()
             self.update(zip(some, [ids[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)], strict=True))
         get = self.__getitem__
         return [self.whole(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
@@ -120,12 +131,12 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
         own, part = chunk_ids(path), TaskContext.get().partitionId()
         seen = np.zeros(window, np.int64)
         row = whole = 0
-        close = int(end_id).to_bytes(4, "little")
+        close = int(end_id).to_bytes(own.unit, "little")
         for batch in batches:
             for rows, _, _ in slices(batch, limit=4 << 20):
                 texts = [x or "" for x in rows.column(1).to_pylist()]
                 ids = [x + close for x in own.encode_all(texts)]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+                n = np.array([len(x) // own.unit for x in ids], np.int64)
                 rem, ranks, wholes = n % window, np.empty(len(n), np.int64), np.empty(len(n), np.int64)
                 for k, (r, w) in enumerate(zip(rem.tolist(), (n // window).tolist(), strict=True)):
                     ranks[k], wholes[k] = seen[r], whole
@@ -267,8 +278,8 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(tokenized: DataFrame, window: int = WINDOW, keep_ids: bool = False) -> DataFrame:
-    """Pieces of all tokenized documents (a written table). With ``keep_ids`` each piece carries its ids."""
+def pack(tokenized: DataFrame, unit: int, window: int = WINDOW, keep_ids: bool = False) -> DataFrame:
+    """Pieces of all tokenized documents (a written table; ids of ``unit`` bytes). With ``keep_ids`` each piece carries its ids."""
     counts = tokenized.where("rem > 0").groupBy("part", "rem").agg((F.max("rank") + 1).alias("cnt"))
     counts = written(counts, "piece-counts")
     histogram = np.zeros(window, np.int64)
@@ -295,8 +306,8 @@ def pack(tokenized: DataFrame, window: int = WINDOW, keep_ids: bool = False) ->
                 size = np.concatenate([np.full(len(w_row), window), size])
                 seq = np.concatenate([WHOLE_BASE + (part[w_row] << 36) + whole[w_row] + w_k, seq])
                 off = np.concatenate([np.zeros(len(w_row), np.int64), off])
-                raw = memoryview(data.tobytes())
-                begin = offs[row] + 4 * at
+                raw = memoryview(np.frombuffer(data.tobytes(), f"<u{unit}").astype("<u4").tobytes())
+                begin = offs[row] // unit * 4 + 4 * at
                 spans = [raw[a : a + 4 * m] for a, m in zip(begin.tolist(), size.tolist(), strict=True)]
                 more = {"ids": [bytes(x) for x in spans]} if keep_ids else {}
                 yield arrow_batch(schema, doc_id=doc.take(pa.array(row)), start=at, length=size, ids_crc32=[zlib.crc32(x) for x in spans], doc_tokens=n[row], sequence_id=seq, offset=off, **more)
@@ -306,7 +317,10 @@ def pack(tokenized: DataFrame, window: int = WINDOW, keep_ids: bool = False) ->
 
 
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, keep_ids: bool = False) -> DataFrame:
-    return pack(written(tokenize(docs, path, window), "tokenized"), window, keep_ids)
+    from tokenizers import Tokenizer
+
+    unit = id_bytes(Tokenizer.from_file(path).get_vocab_size())
+    return pack(written(tokenize(docs, path, window), "tokenized"), unit, window, keep_ids)
 
 
 def op4_nnls_packing(spark, sf_dir: str) -> DataFrame:

@@ -4,8 +4,8 @@ The directory is indexed by prefix bits of a hash of doc_id. It starts at the de
 were spread evenly; only buckets over the limit split on another bit, until each fits. Sizes are pre-aggregated by a
 prefix some bits longer than the start, so that a round of splits reads documents once; only what is still too large
 takes another round with longer prefixes. Documents with one doc_id share their hash, so after HASH_BITS the bits go on
-with a hash of the whole row; equal rows then stay together, and only they or a single row above the limit can make a
-shard too large (``over_limit``).
+with a hash of the whole row. Equal rows can't be told apart by bits: where they are too large together, their bucket
+overflows into pages (``bits-page``). So only a single row above the limit makes a shard too large (``over_limit``).
 
 The result carries no text: a document's shard is found by joining (doc_id, hash, size) with the leaves of its start
 prefix. Null texts have no bytes; a null doc_id hashes as the empty string; an empty table gives an empty table.
@@ -85,7 +85,21 @@ def extendible_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     own = keys.withColumn("bits", whole).withColumn("slot", F.substring("bits", 1, start)).join(directory, "slot")
     leaf = F.element_at(F.filter("leaves", lambda x: F.startswith(F.col("bits"), x["bucket"])), 1)
     out = own.select("doc_id", "n_bytes", leaf.alias("leaf"))
-    return out.select("doc_id", "n_bytes", F.col("leaf.bucket").alias("shard"), F.col("leaf.depth").cast("int").alias("depth"), F.col("leaf.bytes").alias("shard_bytes"), F.col("leaf.docs").alias("shard_docs"), (F.col("leaf.bytes") > limit).alias("over_limit"))
+    out = out.select("doc_id", "n_bytes", F.col("leaf.bucket").alias("shard"), F.col("leaf.depth").cast("int").alias("depth"), F.col("leaf.bytes").alias("shard_bytes"), F.col("leaf.docs").alias("shard_docs"), (F.col("leaf.bytes") > limit).alias("over_limit"))
+    full = (F.col("depth") == DEPTH) & F.col("over_limit") & (F.col("n_bytes") <= limit)
+    if tree.where((F.col("depth") == DEPTH) & (F.col("bytes") > limit)).isEmpty():
+        return out
+    return out.where(~full).unionByName(paged(out.where(full), limit))
+
+
+def paged(rows: DataFrame, limit: int) -> DataFrame:
+    """Equal rows of full buckets, counted and dealt into pages under the limit; as many rows as before."""
+    per = F.floor(F.lit(limit) / F.col("n_bytes"))
+    own = rows.groupBy(*rows.columns).agg(F.count("*").alias("pw_copies")).withColumn("pw_per", per)
+    pages = own.withColumn("pw_page", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("pw_copies") - 1) / F.col("pw_per")))))
+    pages = pages.withColumn("shard_docs", F.least("pw_per", F.col("pw_copies") - F.col("pw_page") * F.col("pw_per")))
+    each = pages.withColumn("pw_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("shard_docs"))))
+    return each.select("doc_id", "n_bytes", F.concat("shard", F.lit("-"), F.col("pw_page").cast("string")).alias("shard"), "depth", (F.col("shard_docs") * F.col("n_bytes")).alias("shard_bytes"), "shard_docs", F.lit(False).alias("over_limit"))
 
 
 def op2_extendible_sharding(spark, sf_dir: str) -> DataFrame:

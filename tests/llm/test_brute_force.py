@@ -92,6 +92,16 @@ def test_shards_split_only_what_is_too_large(spark):
     assert all(not r.over_limit for r in got) and len(got) == len(rows)
 
 
+def test_equal_rows_overflow_into_pages(spark):
+    rows = [(1, "a" * 100)] * 50 + [(2, f"c{k}" * 10) for k in range(100)] + [(3, "z" * 900)]
+    got = sharding.extendible_shards(spark.createDataFrame(rows, "doc_id long, text string"), 500).collect()
+    assert len(got) == len(rows) and {r.doc_id for r in got if r.over_limit} == {3}
+    size = {}
+    for r in got:
+        size[r.shard] = size.get(r.shard, 0) + r.n_bytes
+    assert all(size[r.shard] == r.shard_bytes and (r.over_limit or r.shard_bytes <= 500) for r in got)
+
+
 # --- op3 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -132,7 +142,7 @@ def test_run_cache_equals_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
     tok, own = Tokenizer.from_file(path), packing.ChunkIds(path)
     for t in [*odd_texts(3000, "abcdeÉéßITS'   \n.,;:!?)|#12µªº日🙂Σ×"), "<|endoftext|>. a", "<|ENDOFTEXT|>", "a\x1cb \x85c", "ﬁ Å x .'s"]:
-        assert own.encode_all([t])[0] == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+        assert own.encode_all([t])[0] == np.array(tok.encode(t, add_special_tokens=False).ids, f"<u{own.unit}").tobytes(), t
 
 
 @pytest.mark.parametrize("counts", [{700: 1000}, {4095: 5, 1: 3}, {2100: 40, 1996: 3}, {17: 1}, {}])
