@@ -40,10 +40,11 @@ LEVEL_BITS = (22, 26)
 #: input is large, and the join should behave alike at every size.
 LEAST_LEVEL = 2
 CANDIDATE_BITS = 24
-#: Sets and bytes of one component that one trie takes; larger ones are cut into blocks.
+#: Sets of one component that one trie takes; larger components are cut into blocks.
 TRIE_SETS = 20_000
-TRIE_BYTES = 256 << 20
 FLUSH = 300_000
+#: Labels of candidates (16 bytes each) are broadcast to their sets up to this number; beyond, both sides are shuffled.
+BROADCAST_LABELS = 1_000_000
 
 META = "doc_id long, n long, digest long, grams binary"
 META_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("grams", pa.binary())])
@@ -365,7 +366,8 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     labels = written(components(candidate_edges(docs, levels, bits)), "candidates")
     bitmap = spark.sparkContext.broadcast(candidate_bitmap(labels))  # 2 MB, whatever the input
     meta = written(described(docs, levels, bitmap), "sets")
-    sets = meta.where("grams is not null").join(labels, F.col("digest") == F.col("node")).select("label", "digest", "n", "grams")
+    own = F.broadcast(labels) if labels.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS else labels
+    sets = meta.where("grams is not null").join(own, F.col("digest") == F.col("node")).select("label", "digest", "n", "grams")
     large = labels.groupBy("label").count().where(F.col("count") > TRIE_SETS)
     has_large = not large.isEmpty()
     whole = [F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side")]
@@ -381,9 +383,9 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     else:
         linked = linked.unionByName(linked.select(F.col("root").alias("digest"), "root")).distinct()
     smallest = meta.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("low"))
-    own = smallest.join(linked, "digest").select("digest", "root", "low")
-    least = own.groupBy("root").agg(F.min("low").alias("least"))
-    several = own.join(least, "root").select("digest", "least")
+    joined = smallest.join(linked, "digest").select("digest", "root", "low")
+    least = joined.groupBy("root").agg(F.min("low").alias("least"))
+    several = joined.join(least, "root").select("digest", "least")
     classes = smallest.join(several, "digest", "left").select("digest", F.coalesce("least", "low").alias("component_id"))
     alone = meta.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return meta.where("n > 0").join(classes, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
