@@ -43,7 +43,7 @@ CANDIDATE_BITS = 24
 #: Sets of one component that one trie takes; larger components are cut into blocks.
 TRIE_SETS = 20_000
 FLUSH = 300_000
-#: Labels of candidates (16 bytes each) are broadcast to their sets up to this number; beyond, both sides are shuffled.
+#: Labels of candidates (16 bytes each) and ids that go are broadcast up to this number; beyond, both sides are shuffled.
 BROADCAST_LABELS = 1_000_000
 
 META = "doc_id long, n long, digest long, grams binary"
@@ -415,8 +415,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows with equal doc_id and text one stays. Rows without doc_id and documents without words stay.
     """
     found = written(jaccard_classes(docs), "classes")
-    keep = found.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("pw_id")).distinct()
-    kept = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["pw_id"]), "left_semi")
+    gone = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("pw_id")).agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept")).where("not kept").select("pw_id")
+    gone = written(gone, "gone")
+    few = gone.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    kept = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long") == gone["pw_id"], "left_anti")
     again = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("pw_id")).count().where("count > 1").select("pw_id")
     if again.isEmpty():
         return kept
