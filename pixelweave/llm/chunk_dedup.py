@@ -1,11 +1,13 @@
 """Substring deduplication by content-defined chunks.
 
 A gear rolling hash over the last 32 bytes decides where chunks end: after white space where its top bits are zero
-(one in ``2**WORD_BITS`` words), or at any character where more of them are (text without white space). Chunks depend on
-nearby bytes only, so an insertion changes the chunks it touches and no others. Chunks are compared by digest.
+(one in ``2**WORD_BITS`` words), or, far from white space, at any character where more of them are. Chunks depend on
+nearby bytes only, so an insertion changes the chunks it touches and no others.
 
-A chunk that stands elsewhere too is repeated; a run of repeated chunks with MIN_WORDS words or more is a repeated
-passage. Of each chunk the first place in a passage (smallest doc_id, then position) stays, others are removed.
+What is compared, by digest, are windows: the fewest consecutive chunks from each chunk on, or up to each chunk, with
+MIN_WORDS words or more. A window that stands elsewhere too is repeated; a run of chunks in repeated windows is a repeated
+passage. Of each window the first place (smallest doc_id, then position) stays whole: a chunk is removed only if it is in
+repeated windows and all of these stood earlier.
 
 Null texts have no chunks. Rows of one doc_id count as one document each; equal rows have equal places, so a place that
 is first stays in all of them. A null doc_id comes before all others. Texts of any length are taken whole. Extra
@@ -28,7 +30,8 @@ from .jaccard_join import blobs, bucket_bits
 
 WORD_BITS, WIDE_BITS = 2, 8
 MIN_WORDS = 16
-MAP_BITS = 25
+FAR, FAR_ASCII = 32, 256
+MAP_BITS = 26
 FLUSH = 300_000
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)
 VALUES_A, VALUES_B = byte_values(0xA11CE), byte_values(0xB0B)
@@ -53,7 +56,13 @@ def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     follows = (data & 0xC0) == 0x80
     new_char = np.ones(len(data), bool)
     new_char[:-1] = ~follows[1:]
-    cut = (WHITE[data] & (h >> np.uint32(32 - WORD_BITS) == 0)) | (new_char & (h >> np.uint32(32 - WIDE_BITS) == 0))
+    # bytes since white space or the start: no removal shall begin inside a word of spaced text, nor in a long address
+    place = np.arange(len(data))
+    white = np.where(WHITE[data], place, -1)
+    begin = offs[offs < len(data)]
+    white[begin] = np.where(WHITE[data[begin]], begin, begin - 1)
+    far = place - np.maximum.accumulate(white) >= np.where(data < 0x80, FAR_ASCII, FAR)
+    cut = (WHITE[data] & (h >> np.uint32(32 - WORD_BITS) == 0)) | (new_char & far & (h >> np.uint32(32 - WIDE_BITS) == 0))
     at = np.flatnonzero(cut)
     # only where the whole window lies within the text
     own = np.searchsorted(offs, at, "right") - 1
@@ -63,6 +72,30 @@ def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
+def chunk_words(data: np.ndarray, offs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Words that begin in each chunk, at least one."""
+    first_word = ~WHITE[data]
+    first_word[1:] &= WHITE[data[:-1]]
+    edge = offs[offs < len(data)]
+    first_word[edge] = ~WHITE[data[edge]]
+    count = np.r_[0, np.cumsum(first_word)]
+    return np.maximum(1, count[ends] - count[starts])
+
+
+def windows(size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last chunk of every window: from each chunk on the fewest with MIN_WORDS words within its text, then up to
+    each chunk the fewest, where that is none of these; for each of the latter where the window one chunk later stands, or -1."""
+    n, total = len(size), np.r_[0, np.cumsum(size)]
+    k = np.arange(n)
+    last = np.searchsorted(total, total[:-1] + MIN_WORDS) - 1
+    first = np.searchsorted(total, total[1:] - MIN_WORDS, "right") - 1
+    fits = (last < n) & (own[np.minimum(last, n - 1)] == own)
+    ahead = k[fits]
+    more = k[(first >= 0) & (own[first] == own) & (total[:-1] - total[first] >= MIN_WORDS)]
+    at = np.where(fits, np.cumsum(fits) - 1, -1)
+    return np.r_[ahead, first[more]], np.r_[last[ahead], more], at[first[more] + 1]
+
+
 def gather_repeats(table: pa.Table) -> pa.Table:
     """Digests of one bucket that occur twice or more."""
     a, many = [], []
@@ -78,10 +111,10 @@ def gather_repeats(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(np.unique(a[many]).view(np.int64))})
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Digest of every chunk that occurs twice or more in all texts.
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """Digest of every window that occurs twice or more in all texts.
 
-    Each task first reduces its chunks to one entry a digest, so that a chunk that is everywhere costs one a task.
+    Each task first reduces its windows to one entry a digest, so that a window that is everywhere costs one a task.
     """
     bits = bucket_bits(docs)
 
@@ -97,8 +130,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, data, offs in slices(batch):
                 if len(data):
-                    starts, ends, _ = chunks(data, offs)
-                    held.append(Spans(data, VALUES_A).of(starts, ends))
+                    starts, ends, own = chunks(data, offs)
+                    p, q, _ = windows(chunk_words(data, offs, starts, ends), own)
+                    held.append(Spans(data, VALUES_A).of(starts[p], ends[q]))
                 if sum(map(len, held)) > FLUSH:
                     yield from flush()
         yield from flush()
@@ -107,27 +141,27 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def digest_bitmap(repeats: DataFrame) -> np.ndarray:
-    """2**MAP_BITS bits that mark the top bits of the repeated digests: 4 MB, whatever the input."""
-    low = 15
+    """2**MAP_BITS bits that mark the top bits of the repeated digests: 8 MB, whatever the input."""
+    low = 16
 
     def fill(table: pa.Table) -> pa.Table:
         bits = np.zeros(1 << low, bool)
         bits[table.column("slot").to_numpy() & ((1 << low) - 1)] = True
         return pa.table({"block": table.column("block").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    slots = repeats.select(F.shiftrightunsigned("a", 64 - MAP_BITS).alias("slot")).distinct().select("slot", F.shiftright("slot", low).cast("int").alias("block"))
+    slots = repeats.select(F.shiftrightunsigned("a", 64 - MAP_BITS).alias("slot")).select("slot", F.shiftright("slot", low).cast("int").alias("block"))
     out = np.zeros((1 << MAP_BITS) // 8, np.uint8)
     for r in apply_groups(slots, "block", fill, "block int, bits binary").toLocalIterator():
         out[r["block"] << (low - 3) : (r["block"] + 1) << (low - 3)] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
-PLACES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("crc", pa.int64()), ("ord", pa.int32()), ("start", pa.int64()), ("size", pa.int32()), ("words", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+PLACES = pa.schema([(c, pa.int64()) for c in ("row", "doc_id", "crc")] + [(c, pa.int32()) for c in ("ord", "chunks", "word", "words")] + [("start", pa.int64()), ("size", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 
 def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
-    """Chunks that may be repeated, in runs of MIN_WORDS words or more: row (a number of its text in this scan), place,
-    words, digest. No passage is lost: a run of repeated chunks lies within a run of chunks that may be."""
+    """Windows that may be repeated: row (a number of its text in this scan), first chunk, chunks, words before and words,
+    place, digest. A window up to a chunk is needed only where the next one isn't repeated."""
     from pyspark import TaskContext
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,49 +171,60 @@ def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
             for rows, data, offs in slices(batch):
                 if len(data):
                     starts, ends, own = chunks(data, offs)
-                    a = Spans(data, VALUES_A).of(starts, ends)
+                    size = chunk_words(data, offs, starts, ends)
+                    p, q, later = windows(size, own)
+                    a = Spans(data, VALUES_A).of(starts[p], ends[q])
                     slot = (a >> U(64 - MAP_BITS)).astype(np.int64)
                     hit = ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
-                    first_word = ~WHITE[data]
-                    first_word[1:] &= WHITE[data[:-1]]
-                    count = np.r_[0, np.cumsum(first_word)]
-                    size = np.maximum(1, count[ends] - count[starts])
-                    fresh = np.ones(len(hit), bool)
-                    fresh[1:] = (own[1:] != own[:-1]) | ~hit[:-1] | ~hit[1:]
-                    run = np.cumsum(fresh)
-                    at = np.flatnonzero(hit & (np.bincount(run, size)[run] >= MIN_WORDS))
-                    begun = np.searchsorted(starts, offs[own[at]])
+                    n = len(p) - len(later)
+                    hit[n:] &= (later < 0) | ~hit[later]
+                    p, q, a = p[hit], q[hit], a[hit]
+                    begun = np.searchsorted(starts, offs[own[p]])
+                    total = np.r_[0, np.cumsum(size)]
                     crc = np.array([zlib.crc32(data[x:y]) for x, y in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)], np.int64)
-                    yield arrow_batch(PLACES, row=row + own[at], doc_id=rows.column(0).take(pa.array(own[at])), crc=crc[own[at]], ord=(at - begun).astype(np.int32), start=(starts - offs[own])[at], size=(ends - starts)[at].astype(np.int32), words=size[at].astype(np.int32), a=a[at].view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[at], ends[at]).view(np.int64))
+                    yield arrow_batch(
+                        PLACES, row=row + own[p], doc_id=rows.column(0).take(pa.array(own[p])), crc=crc[own[p]], ord=(p - begun).astype(np.int32), chunks=(q - p + 1).astype(np.int32), word=(total[p] - total[begun]).astype(np.int32), words=(total[q + 1] - total[p]).astype(np.int32),
+                        start=(starts - offs[own])[p], size=(ends[q] - starts[p]).astype(np.int32), a=a.view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[p], ends[q]).view(np.int64),
+                    )
                 row += rows.num_rows
 
-    return map_batches(id_text(docs), emit, "row long, doc_id long, crc long, ord int, start long, size int, words int, a long, b long")
+    return map_batches(id_text(docs), emit, "row long, doc_id long, crc long, ord int, chunks int, word int, words int, start long, size int, a long, b long")
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """Every repeated chunk in a repeated passage: row, doc_id, ord, run (its passage), start, size (bytes), words,
-    digest a and b, first place, places, removed."""
+    """Pieces of repeated passages: row, doc_id, crc, ord, run (its passage), start, size (bytes), chunks, words, the first
+    place (its own where it stays), places of its window, removed. A piece goes from the start of a window to that of the next
+    one or to its end, cut where windows end that stay."""
     spark = docs.sparkSession
-    repeats = written(repeated_chunks(docs), "repeats")
-    bitmap = spark.sparkContext.broadcast(digest_bitmap(repeats))
+    bitmap = spark.sparkContext.broadcast(digest_bitmap(written(repeated_windows(docs), "repeats")))
     places = written(candidate_places(docs, bitmap), "places")
-    at = F.struct(F.coalesce("doc_id", F.lit(NONE)).alias("doc"), "start")
-    firsts = places.groupBy("a", "b").agg(F.min(at).alias("first"), F.count("*").alias("places")).join(repeats, "a", "left_semi")
-    own = places.join(firsts, ["a", "b"])
-    # runs of consecutive chunks: position less rank among the repeated ones is constant
-    run = F.col("ord") - F.row_number().over(Window.partitionBy("row").orderBy("ord"))
-    words = F.sum("words").over(Window.partitionBy("row", "run"))
-    long = own.withColumn("run", run).withColumn("run_words", words).where(F.col("run_words") >= MIN_WORDS)
-    first = (F.coalesce("doc_id", F.lit(NONE)) == F.col("first.doc")) & (F.col("start") == F.col("first.start"))
-    return long.select("row", "doc_id", "crc", "ord", "run", "start", "size", "words", "a", "b", F.nullif(F.col("first.doc"), F.lit(NONE)).alias("first_doc_id"), F.col("first.start").alias("first_start"), "places", (~first).alias("removed"))
+    doc = F.coalesce("doc_id", F.lit(NONE))
+    firsts = places.groupBy("a", "b").agg(F.min(F.struct(doc.alias("doc"), "start")).alias("first"), F.count("*").alias("places")).where("places > 1")
+    is_first = (doc == F.col("first.doc")) & (F.col("start") == F.col("first.start"))
+    edge = lambda o, w, s: F.struct(o.alias("ord"), w.alias("word"), s.alias("byte"))
+    begin, end = edge(F.col("ord"), F.col("word"), F.col("start")), edge(F.col("ord") + F.col("chunks"), F.col("word") + F.col("words"), F.col("start") + F.col("size"))
+    found = places.join(firsts, ["a", "b"]).select("row", "doc_id", "crc", "ord", "word", "chunks", "words", "start", "size", "places", F.col("first.doc").alias("to"), (F.col("first.start") - F.col("start")).alias("shift"), is_first.alias("is_first"))
+    # windows of a text in order end in order too: one that begins later never ends before
+    w = Window.partitionBy("row").orderBy("ord", "chunks")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    found = found.select("row", "doc_id", "crc", "places", "to", "shift", begin.alias("begin"), end.alias("full"), F.max(F.when(F.col("is_first"), end)).over(so_far).alias("stays"), F.lead(begin).over(w).alias("next"), F.lag(end).over(w).alias("before"))
+    found = found.withColumn("end", F.least("full", "next")).withColumn("cut", F.least("end", F.greatest("begin", "stays")))
+    # a run begins where no window before reaches
+    fresh = F.when(F.coalesce(F.col("before.byte") < F.col("begin.byte"), F.lit(True)), F.col("begin.ord"))
+    found = found.withColumn("run", F.max(fresh).over(Window.partitionBy("row").orderBy("begin.ord", "full.ord").rowsBetween(Window.unboundedPreceding, 0)))
+    piece = lambda x, y, removed: F.struct(F.col(f"{x}.ord").alias("ord"), F.col(f"{x}.byte").alias("start"), (F.col(f"{y}.byte") - F.col(f"{x}.byte")).cast("int").alias("size"), (F.col(f"{y}.ord") - F.col(f"{x}.ord")).alias("chunks"), (F.col(f"{y}.word") - F.col(f"{x}.word")).alias("words"), F.lit(removed).alias("removed"))
+    own = found.select("row", "doc_id", "crc", "run", "places", "to", "shift", F.explode(F.array(piece("begin", "cut", False), piece("cut", "end", True))).alias("p")).where("p.size > 0")
+    first_doc = F.when(F.col("p.removed"), F.nullif(F.col("to"), F.lit(NONE))).otherwise(F.col("doc_id"))
+    first_start = F.col("p.start") + F.when(F.col("p.removed"), F.col("shift")).otherwise(0)
+    return own.select("row", "doc_id", "crc", "p.ord", "run", "p.start", "p.size", "p.chunks", "p.words", first_doc.alias("first_doc_id"), first_start.alias("first_start"), "places", "p.removed")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row for each repeated passage of each text: doc_id, place (bytes), chunks, words, removed chunks and bytes,
-    the place where its first chunk came first, and in how many places its most frequent chunk stands."""
+    the place where its first chunk came first, and in how many places its most frequent window stands."""
     end = F.max(F.col("start") + F.col("size"))
     p = repeated_places(docs).groupBy("row", "run").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start_byte"), end.alias("end_byte"), F.count("*").alias("n_chunks"), F.sum("words").alias("n_words"), F.count_if("removed").alias("removed_chunks"),
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start_byte"), end.alias("end_byte"), F.sum("chunks").alias("n_chunks"), F.sum("words").alias("n_words"), F.coalesce(F.sum(F.when(F.col("removed"), F.col("chunks"))), F.lit(0)).alias("removed_chunks"),
         F.coalesce(F.sum(F.when(F.col("removed"), F.col("size"))), F.lit(0)).alias("removed_bytes"), F.min_by(F.struct("first_doc_id", "first_start"), "start").alias("first"), F.max("places").alias("places"),
     )
     return p.select("doc_id", "start_byte", "end_byte", "n_chunks", "n_words", "removed_chunks", "removed_bytes", F.col("first.first_doc_id").alias("first_doc_id"), F.col("first.first_start").alias("first_start_byte"), "places")

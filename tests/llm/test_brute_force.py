@@ -278,6 +278,37 @@ def test_repeated_passages(spark):
     assert all(len(after[k].split()) <= len(text[k].split()) - 45 for k in range(2, 9))
 
 
+def test_one_intact_copy_of_each_passage_of_common_words(spark):
+    """Common words make chunks that stand in many unrelated texts; the first copy of a passage must not lose them."""
+    rnd = random.Random(7)
+    common = "the of and to a in that it is was for on as with he be at by had not".split()
+    some = lambda n: " ".join(rnd.choice(common) for _ in range(n))
+    passages = [some(60) for _ in range(30)]
+    # each passage stands twice; all are behind texts of the same words, and texts repeat in part what came in part before
+    rows = [(k, some(150)) for k in range(40)]
+    rows += [(100 + 2 * k + c, f"{some(30)} {p} {some(30)}") for k, p in enumerate(passages) for c in (0, 1)]
+    a, b, c = some(40), some(40), some(40)
+    rows += [(300, f"{some(9)} {a} {b}"), (301, f"{a} {b} {c} {some(9)}"), (302, f"{some(9)} {b} {c}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    after = {r.doc_id: r.text for r in chunk_dedup.remove_repeats(docs).collect()}
+    assert all(after[k] == t for k, t in rows if k < 100 or k == 300)
+    for k, p in enumerate(passages):
+        assert p in after[100 + 2 * k] and len(after[101 + 2 * k].split()) <= 90
+    # each window from a chunk on that stands twice or more still stands whole
+    seen, left = {}, "\0".join(after.values())
+    for k, t in rows:
+        data, offs = np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])
+        starts, ends, own = chunk_dedup.chunks(data, offs)
+        p, q, more = chunk_dedup.windows(chunk_dedup.chunk_words(data, offs, starts, ends), own)
+        for i, j in zip(p[: len(p) - len(more)], q[: len(p) - len(more)], strict=True):
+            seen.setdefault(t[starts[i] : ends[j]], set()).add((k, i))
+    again = [w for w, at in seen.items() if len(at) > 1]
+    assert len(again) > 100 and all(w in left for w in again)
+    for r in chunk_dedup.repeated_places(docs).where("removed").collect():
+        t = dict(rows)[r.doc_id].encode()
+        assert r.start == 0 or t[r.start - 1 : r.start].isspace()
+
+
 def test_gear_hash_and_shift_resistance():
     data = np.random.default_rng(1).integers(97, 110, 4000).astype(np.uint8)
     data[::6] = 32
