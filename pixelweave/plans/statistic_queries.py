@@ -53,13 +53,13 @@ def ora(s, d):
 
 
 def cluster_query(s, d):
-    root, found = H.cluster_features(few(s, d), Metric("pearson"), "upgma", 4)
+    root, found = H.cluster_features(vector_matrix(s, d), Metric("pearson"), "upgma", 4)
     return H.cluster_table(s, root, found)
 
 
 def tree_query(method):
     def run(s, d):
-        names, dist = H.distance_matrix(pairwise(vectors(few(s, d)), block=8))
+        names, dist = H.distance_matrix(pairwise(vectors(vector_matrix(s, d)), block=8))
         root = H.build_tree(names, dist, method)
         H.clean(root)
         H.flip(root)
@@ -69,7 +69,7 @@ def tree_query(method):
 
 
 def weight_query(s, d):
-    names, dist = H.distance_matrix(pairwise(vectors(few(s, d)), block=8))
+    names, dist = H.distance_matrix(pairwise(vectors(vector_matrix(s, d)), block=8))
     w, _ = H.gsc_weights(H.build_tree(names, dist))
     c = H.clustalw_weights(H.build_tree(names, dist))
     return s.createDataFrame([(n, float(w[n]), float(c[n])) for n in sorted(w)], "leaf string, gsc double, clustalw double")
@@ -130,7 +130,7 @@ SELECT feature, round(any_value(n) / (SELECT count(*) FROM e) * sum(a.z * b.z) /
     "a20_network_summary": (network_totals, f"{NET} SELECT (SELECT count(*) FROM n) AS n_nodes, count(*) AS n_edges, count_if(r > 0)::BIGINT AS n_positive, count_if(r < 0)::BIGINT AS n_negative, round(2 * count(*) / (SELECT count(*) FROM n), 6) AS mean_degree, round(2 * count(*) / ((SELECT count(*) FROM n) * ((SELECT count(*) FROM n) - 1)), 6) AS density FROM k"),
     "t25_circle_layout": (lambda s, d: T.circle_layout(network_nodes(s, d)).select("feature", (F.round(F.col("x"), 5) + 0.0).alias("x"), (F.round(F.col("y"), 5) + 0.0).alias("y")), f"{NET}, o AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS k, count(*) OVER () AS c FROM n) SELECT feature, round(cos({2 * math.pi} * k / c), 5) + 0.0 AS x, round(sin({2 * math.pi} * k / c), 5) + 0.0 AS y FROM o"),
     "t26_preferential": (lambda s, d: T.preferential(sales_matrix(s, d), sales_pixels(s)).select("domain", "metabolite", "log2fc"), f"{M}, {PX}, l AS (SELECT k.g AS domain, feature, intensity AS v, hc_orig = k.g AS one FROM m JOIN p USING (pixel_id) CROSS JOIN (SELECT DISTINCT hc_orig AS g FROM p) k) SELECT domain, feature AS metabolite, round(log2((median(v) FILTER (WHERE one) + 1e-6) / (median(v) FILTER (WHERE NOT one) + 1e-6)), 6) AS log2fc FROM l GROUP BY ALL HAVING count_if(one) >= 3 AND count_if(NOT one) >= 3"),
-    "t27_preferential_permuted": (lambda s, d: T.preferential_permuted(sales_matrix(s, d).where(F.regexp_replace("feature", "mz_", "").cast("int") <= 12), sales_pixels(s), 50), None),
+    "t27_preferential_permuted": (lambda s, d: T.preferential_permuted(sales_matrix(s, d), sales_pixels(s), 50), None),
     "t28_occurrence_summary": (lambda s, d: T.occurrence_summary(T.preferential(sales_matrix(s, d), sales_pixels(s)), sales_pixels(s)), None),
     "t29_over_representation": (ora, f"""WITH s AS (SELECT DISTINCT p_brand AS pathway, p_partkey::VARCHAR AS metabolite, p_size <= 10 AS hit FROM part),
 c AS (SELECT pathway, count(*) AS pathway_size, count_if(hit)::BIGINT AS overlap_count, string_agg(metabolite, ';' ORDER BY metabolite) FILTER (WHERE hit) AS overlap_metabolites FROM s GROUP BY pathway HAVING count(*) BETWEEN 2 AND 100000 AND count_if(hit) > 0),

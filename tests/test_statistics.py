@@ -206,3 +206,15 @@ def test_production_run(spark, tmp_path):
     production.write(out, str(tmp_path))
     assert R.read_pipeline_pixels(spark, f"{tmp_path}/pixel_clusters").count() == 200
     assert H.from_newick(spark.read.text(f"{tmp_path}/pixel_tree").first()[0]).size == 200
+
+
+def test_queries_without_sql_take_the_whole_matrix(spark):
+    from pixelweave.model import sales_matrix
+    from pixelweave.plans.registry import queries
+
+    d = "/root/testdata/sf0.001"
+    names = {f"f{k}" for k in range(64)}
+    assert {r.leaf for r in queries()["h1_clusters"](spark, d).collect()} == names == {r.leaf for r in queries()["h11_leaf_weights"](spark, d).collect()}
+    all_features = {r.feature for r in sales_matrix(spark, d).select("feature").distinct().collect()}
+    assert {r.metabolite for r in queries()["t27_preferential_permuted"](spark, d).select("metabolite").collect()} == all_features
+    assert queries()["h2_tree_upgma"](spark, d).count() == 127
