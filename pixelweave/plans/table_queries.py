@@ -26,10 +26,15 @@ def library(s, d):
 LIB_SQL = "lib AS (SELECT p_partkey, p_partkey::VARCHAR AS mol_id, CASE WHEN p_partkey % 2 = 0 THEN 'HMDB' ELSE 'LMAPS' END AS source, p_retailprice AS mass, p_name AS name, 'I' || p_partkey % 50 AS inchi, CASE WHEN p_partkey % 3 = 0 THEN 'K' || p_partkey END AS kegg, CASE WHEN p_partkey % 3 = 0 THEN 150.0 + p_partkey % 40 END AS ccs_db FROM part WHERE p_partkey % 17 <> 0)"
 
 
-def peaks(s, d):
-    """Prices of every tenth part, off by a few ppm, protonated."""
+def all_peaks(s, d):
+    """Prices of all parts, off by a few ppm, protonated."""
     k = F.col("p_partkey")
-    return read(s, d, "part").where(k % 10 == 3).select(k.alias("peak"), (F.col("p_retailprice") * (1 + (k % 41 - 20) * 1e-6) + A.PROTON).alias("mz"), (150.0 + k % 40).alias("ccs"))
+    return read(s, d, "part").select(k.alias("peak"), (F.col("p_retailprice") * (1 + (k % 41 - 20) * 1e-6) + A.PROTON).alias("mz"), (150.0 + k % 40).alias("ccs"))
+
+
+def peaks(s, d):
+    """Every tenth of them, as in PEAK_SQL."""
+    return all_peaks(s, d).where(F.col("peak") % 10 == 3)
 
 
 PEAK_SQL = f"pk AS (SELECT p_partkey AS peak, p_retailprice * (1 + (p_partkey % 41 - 20) * 1e-6) + {A.PROTON!r} AS mz, 150.0 + p_partkey % 40 AS ccs FROM part WHERE p_partkey % 10 = 3)"
@@ -39,13 +44,13 @@ BEST_SQL = f"""t AS (SELECT *, {STEP_SQL} AS tolerance, CASE WHEN coalesce(abs(c
 u AS (SELECT * FROM t WHERE pass IS NOT NULL), b AS (SELECT * FROM u QUALIFY pass * 100 + tolerance = min(pass * 100 + tolerance) OVER (PARTITION BY peak))"""
 
 
-def hits(s, d):
-    found = A.band_join(peaks(s, d), A.with_adducts(library(s, d)))
+def hits(s, d, of=peaks):
+    found = A.band_join(of(s, d), A.with_adducts(library(s, d)))
     return found.withColumn("ppm", A.ppm(F.col("mz"), F.col("mz_db"))).withColumn("has_ccs", F.col("ccs_db").isNotNull())
 
 
-def best(s, d):
-    return A.escalate(hits(s, d), ["peak"])
+def best(s, d, of=peaks):
+    return A.escalate(hits(s, d, of), ["peak"])
 
 
 def matches(s, d):
@@ -66,8 +71,8 @@ def priority_sql() -> str:
     return "kegg IS NULL, name IS NULL, length(name), name, mol_id"
 
 
-def annotated(s, d):
-    own = A.prefer_first_source(best(s, d), ["peak"], "HMDB", "LMAPS", ["inchi", "kegg"])
+def annotated(s, d, of=peaks):
+    own = A.prefer_first_source(best(s, d, of), ["peak"], "HMDB", "LMAPS", ["inchi", "kegg"])
     return A.annotation_table(own, ["peak"])
 
 
@@ -99,7 +104,7 @@ QUERIES = {
     "j17_distance_to_domain": (lambda s, d: A.distance_to_domain(sales_pixels(s), "d0", "min"), f"WITH {PX} SELECT a.pixel_id, round(min(sqrt(pow(a.x_coord - b.x_coord, 2) + pow(a.y_coord - b.y_coord, 2))), 6) AS dist FROM p a JOIN p b ON b.hc_orig = 'd0' WHERE a.hc_orig <> 'd0' GROUP BY a.pixel_id"),
     "a17_polarity": (lambda s, d: A.polarity(best(s, d)), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT count_if(adduct LIKE '%]+')::BIGINT AS n_pos, count_if(adduct LIKE '%]-')::BIGINT AS n_neg, CASE WHEN count_if(adduct LIKE '%]+') >= count_if(adduct LIKE '%]-') THEN '[M+H]+' ELSE '[M-H]-' END AS assumed FROM b"),
     "a19_annotation_table": (lambda s, d: annotated(s, d).select("peak", "n_matches"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, count(*) AS n_matches FROM b x WHERE source = 'HMDB' OR NOT EXISTS (SELECT 1 FROM b y WHERE y.source = 'HMDB' AND y.peak = x.peak AND (y.inchi = x.inchi OR y.kegg = x.kegg)) GROUP BY peak"),
-    "k12_annotated_peaks": (annotated, None),
+    "k12_annotated_peaks": (lambda s, d: annotated(s, d, all_peaks), None),
     "f1_conform_name": (conformed, None),
     "f2_conform_formula": (formulas, None),
     "f3_natural_key": (lambda s, d: s.createDataFrame([("C2",), ("C10",), ("C1a10",), ("C1a9",), ("x",)], "x string").select("x", N.natural_key(F.col("x")).alias("key")), "SELECT x, key FROM (VALUES ('C2', 'C00000000000000000002'), ('C10', 'C00000000000000000010'), ('C1a10', 'C00000000000000000001a00000000000000000010'), ('C1a9', 'C00000000000000000001a00000000000000000009'), ('x', 'x')) AS t(x, key)"),

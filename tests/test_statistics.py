@@ -218,3 +218,22 @@ def test_queries_without_sql_take_the_whole_matrix(spark):
     all_features = {r.feature for r in sales_matrix(spark, d).select("feature").distinct().collect()}
     assert {r.metabolite for r in queries()["t27_preferential_permuted"](spark, d).select("metabolite").collect()} == all_features
     assert queries()["h2_tree_upgma"](spark, d).count() == 127
+
+
+def test_all_parts_are_annotated(spark):
+    """Against all pairs by brute force: a peak is there if a molecule of right mass, of no CCS or of a near one, is."""
+    from pixelweave.operators import annotate as A
+    from pixelweave.plans import table_queries as Q
+    from pixelweave.plans.registry import queries
+
+    d = "/root/testdata/sf0.001"
+    lib, pk = Q.library(spark, d).where("charge = 0").collect(), Q.all_peaks(spark, d).collect()
+    assert len(pk) == spark.read.parquet(f"{d}/part.parquet").count()
+    want = set()
+    for p in pk:
+        for m in lib:
+            fits = m.ccs_db is None or abs(p.ccs - m.ccs_db) / m.ccs_db <= 0.03 + 1e-5
+            if fits and any(1e6 * abs(m.mass + o - p.mz) / (m.mass + o) <= 20 + 1e-5 for o, _ in A.ADDUCTS.values()):
+                want.add(p.peak)
+    got = {r.peak for r in queries()["k12_annotated_peaks"](spark, d).collect()}
+    assert got == want and len({k % 10 for k in got}) > 1
