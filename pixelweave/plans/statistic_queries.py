@@ -118,19 +118,19 @@ SELECT feature, round(any_value(n) / (SELECT count(*) FROM e) * sum(a.z * b.z) /
     "t15_spearman": (lambda s, d: T.spearman(sales_matrix(s, d), A.distance_to_domain(sales_pixels(s), "d0").select("pixel_id", F.round("dist", 6).alias("dist"))), f"{DIST}, u AS (SELECT pixel_id, round(dist, 6) AS dist FROM t), r AS (SELECT feature, {RANKS.format('feature', 'intensity')} AS a, {RANKS.format('feature', 'dist')} AS b FROM m JOIN u USING (pixel_id)) SELECT feature, round(corr(a, b), 6) AS spearman_r FROM r GROUP BY feature"),
     "t17_pca": (pca_shares, None),
     "t17_pca_scores": (lambda s, d: T.pca(vector_matrix(s, d), 3)[0], None),
-    "t18_umap": (lambda s, d: T.umap_layout(vector_matrix(s, d), rounds=30), None),
+    "t18_umap": (lambda s, d: T.umap_layout(vector_matrix(s, d)), None),
     "t19_scatter_fit": (lambda s, d: T.scatter_fit(T.scatter(vector_matrix(s, d), "f0", "f1")), f"{V}, x AS (SELECT pixel_id, max(intensity) FILTER (WHERE feature = 'f0') AS x, max(intensity) FILTER (WHERE feature = 'f1') AS y FROM v GROUP BY pixel_id) SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2, regr_count(y, x)::BIGINT AS n FROM x"),
     "t20_ellipses": (lambda s, d: T.ellipses(T.pca(vector_matrix(s, d), 3)[0], vector_pixels(s, d)), None),
     "t21_distributions": (lambda s, d: T.distributions(few(s, d), vector_pixels(s, d)), f"{V}, {VP} SELECT feature, hc_manual AS label, round(min(intensity), 6) AS low, round(quantile_cont(intensity, 0.25), 6) AS q1, round(median(intensity), 6) AS median, round(quantile_cont(intensity, 0.75), 6) AS q3, round(max(intensity), 6) AS high, count(intensity) AS n FROM v JOIN q USING (pixel_id) WHERE replace(feature, 'f', '')::INT < 12 GROUP BY ALL"),
-    "t22_g_curves": (lambda s, d: T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0], 2), None),
-    "t22_curve_components": (lambda s, d: T.curve_components(T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0], 2))[0], None),
+    "t22_g_curves": (lambda s, d: T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0]), None),
+    "t22_curve_components": (lambda s, d: T.curve_components(T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0]))[0], None),
     "t23_correlations": (lambda s, d: T.correlations(few(s, d), few(s, d).select("feature").distinct()), f"{V}, f AS (SELECT * FROM v WHERE replace(feature, 'f', '')::INT < 12) SELECT a.feature AS a, b.feature AS b, round(corr(a.intensity, b.intensity), 6) AS r FROM f a JOIN f b ON a.pixel_id = b.pixel_id AND a.feature < b.feature GROUP BY ALL"),
     "t23_correlations_spearman": (lambda s, d: T.correlations(few(s, d), few(s, d).select("feature").distinct(), "spearman"), f"{V}, f AS (SELECT feature, pixel_id, {RANKS.format('feature', 'intensity')} AS r FROM v WHERE replace(feature, 'f', '')::INT < 12) SELECT a.feature AS a, b.feature AS b, round(corr(a.r, b.r), 6) AS r FROM f a JOIN f b ON a.pixel_id = b.pixel_id AND a.feature < b.feature GROUP BY ALL"),
     "t24_network": (network_nodes, f"{NET} SELECT feature, degree, round(strength, 6) AS strength FROM n"),
     "a20_network_summary": (network_totals, f"{NET} SELECT (SELECT count(*) FROM n) AS n_nodes, count(*) AS n_edges, count_if(r > 0)::BIGINT AS n_positive, count_if(r < 0)::BIGINT AS n_negative, round(2 * count(*) / (SELECT count(*) FROM n), 6) AS mean_degree, round(2 * count(*) / ((SELECT count(*) FROM n) * ((SELECT count(*) FROM n) - 1)), 6) AS density FROM k"),
     "t25_circle_layout": (lambda s, d: T.circle_layout(network_nodes(s, d)).select("feature", (F.round(F.col("x"), 5) + 0.0).alias("x"), (F.round(F.col("y"), 5) + 0.0).alias("y")), f"{NET}, o AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS k, count(*) OVER () AS c FROM n) SELECT feature, round(cos({2 * math.pi} * k / c), 5) + 0.0 AS x, round(sin({2 * math.pi} * k / c), 5) + 0.0 AS y FROM o"),
     "t26_preferential": (lambda s, d: T.preferential(sales_matrix(s, d), sales_pixels(s)).select("domain", "metabolite", "log2fc"), f"{M}, {PX}, l AS (SELECT k.g AS domain, feature, intensity AS v, hc_orig = k.g AS one FROM m JOIN p USING (pixel_id) CROSS JOIN (SELECT DISTINCT hc_orig AS g FROM p) k) SELECT domain, feature AS metabolite, round(log2((median(v) FILTER (WHERE one) + 1e-6) / (median(v) FILTER (WHERE NOT one) + 1e-6)), 6) AS log2fc FROM l GROUP BY ALL HAVING count_if(one) >= 3 AND count_if(NOT one) >= 3"),
-    "t27_preferential_permuted": (lambda s, d: T.preferential_permuted(sales_matrix(s, d), sales_pixels(s), 50), None),
+    "t27_preferential_permuted": (lambda s, d: T.preferential_permuted(sales_matrix(s, d), sales_pixels(s)), None),
     "t28_occurrence_summary": (lambda s, d: T.occurrence_summary(T.preferential(sales_matrix(s, d), sales_pixels(s)), sales_pixels(s)), None),
     "t29_over_representation": (ora, f"""WITH s AS (SELECT DISTINCT p_brand AS pathway, p_partkey::VARCHAR AS metabolite, p_size <= 10 AS hit FROM part),
 c AS (SELECT pathway, count(*) AS pathway_size, count_if(hit)::BIGINT AS overlap_count, string_agg(metabolite, ';' ORDER BY metabolite) FILTER (WHERE hit) AS overlap_metabolites FROM s GROUP BY pathway HAVING count(*) BETWEEN 2 AND 100000 AND count_if(hit) > 0),

@@ -237,3 +237,10 @@ def test_all_parts_are_annotated(spark):
                 want.add(p.peak)
     got = {r.peak for r in queries()["k12_annotated_peaks"](spark, d).collect()}
     assert got == want and len({k % 10 for k in got}) > 1
+
+
+def test_permuted_query_shuffles_as_often_as_the_operator_does(spark):
+    from pixelweave.plans.registry import queries
+
+    p = [r.raw_p for r in queries()["t27_preferential_permuted"](spark, "/root/testdata/sf0.001").collect()]
+    assert p and all(abs(x * 501 - round(x * 501)) < 1e-3 for x in p) and any(abs(x * 51 - round(x * 51)) > 1e-3 for x in p)
