@@ -1,13 +1,14 @@
 """Substring deduplication by content-defined chunks.
 
 A gear rolling hash over the last 32 bytes decides where chunks end: after white space where its top bits are zero
-(one in ``2**WORD_BITS`` words), or, far from white space, at any character where more of them are. Chunks depend on
-nearby bytes only, so an insertion changes the chunks it touches and no others.
+(one in ``2**WORD_BITS`` words), or, far from white space, at any character where more of them are (one in
+``2**WIDE_BITS``). Chunks depend on nearby bytes only, so an insertion changes the chunks it touches and no others.
 
-What is compared, by digest, are windows: the fewest consecutive chunks from each chunk on, or up to each chunk, with
-MIN_WORDS words or more. A window that stands elsewhere too is repeated; a run of chunks in repeated windows is a repeated
-passage. Of each window the first place (smallest doc_id, then position) stays whole: a chunk is removed only if it is in
-repeated windows and all of these stood earlier.
+What is compared, by digest, are windows: the fewest consecutive chunks from each chunk on that have MIN_WORDS words or
+more; far from white space WIDE_WORD characters are a word. A window that stands elsewhere too is repeated; a run of
+chunks in repeated windows is a repeated passage. Of each window the first place (smallest doc_id, then a digest of the
+text, then position) stays whole: a chunk is removed only if it is in repeated windows and all of these stood earlier.
+A bitmap of digests that may be repeated spares the others a shuffle; the result doesn't depend on it.
 
 Null texts have no chunks. Rows of one doc_id count as one document each; equal rows have equal places, so a place that
 is first stays in all of them. A null doc_id comes before all others. Texts of any length are taken whole. Extra
@@ -16,26 +17,23 @@ columns are ignored by reports and kept by ``remove_repeats``; an empty table gi
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import apply_groups, arrow_batch, id_text, map_batches, slices, written
-from .hashing import U, WHITE, Spans, byte_values
-from .jaccard_join import blobs, bucket_bits
+from .common import apart, apply_groups, arrow_batch, bitmap, discard, filter_bits, id_text, map_batches, marked, slices, written
+from .hashing import U, WHITE, byte_values, span_hashes
+from .jaccard_join import COUNT_BITS, blobs_of, bucket_bits, bucketed, flush_size, from_planes, planes, steps
 
-WORD_BITS, WIDE_BITS = 2, 8
+WORD_BITS, WIDE_BITS = 2, 4
 MIN_WORDS = 16
-FAR, FAR_ASCII = 32, 256
-MAP_BITS = 26
-FLUSH = 300_000
+FAR, FAR_ASCII, WIDE_WORD = 32, 256, 4
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)
-VALUES_A, VALUES_B = byte_values(0xA11CE), byte_values(0xB0B)
-BASE_B = 0xC2B2AE3D27D4EB4F
+SEED_A, SEED_B = 0xA11CE, 0xB0B
 NONE = -(1 << 63)
 
 
@@ -50,18 +48,22 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and document index of the chunks of concatenated texts."""
-    h = gear_hash(data)
-    follows = (data & 0xC0) == 0x80
-    new_char = np.ones(len(data), bool)
-    new_char[:-1] = ~follows[1:]
-    # bytes since white space or the start: no removal shall begin inside a word of spaced text, nor in a long address
+def far_from_white(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Bytes that stand FAR bytes (of ASCII: FAR_ASCII) or more behind white space or the start of their text."""
     place = np.arange(len(data))
     white = np.where(WHITE[data], place, -1)
     begin = offs[offs < len(data)]
     white[begin] = np.where(WHITE[data[begin]], begin, begin - 1)
-    far = place - np.maximum.accumulate(white) >= np.where(data < 0x80, FAR_ASCII, FAR)
+    return place - np.maximum.accumulate(white) >= np.where(data < 0x80, FAR_ASCII, FAR)
+
+
+def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and document index of the chunks of concatenated texts."""
+    h = gear_hash(data)
+    new_char = np.ones(len(data), bool)
+    new_char[:-1] = (data[1:] & 0xC0) != 0x80
+    # no removal shall begin inside a word of spaced text, nor in a long address
+    far = far_from_white(data, offs)
     cut = (WHITE[data] & (h >> np.uint32(32 - WORD_BITS) == 0)) | (new_char & far & (h >> np.uint32(32 - WIDE_BITS) == 0))
     at = np.flatnonzero(cut)
     # only where the whole window lies within the text
@@ -73,150 +75,135 @@ def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def chunk_words(data: np.ndarray, offs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Words that begin in each chunk, at least one."""
+    """Words that begin in each chunk, and one for each WIDE_WORD characters far from white space; at least one."""
     first_word = ~WHITE[data]
     first_word[1:] &= WHITE[data[:-1]]
     edge = offs[offs < len(data)]
     first_word[edge] = ~WHITE[data[edge]]
     count = np.r_[0, np.cumsum(first_word)]
-    return np.maximum(1, count[ends] - count[starts])
+    wide = np.r_[0, np.cumsum(far_from_white(data, offs) & ((data & 0xC0) != 0x80))]
+    return np.maximum(1, count[ends] - count[starts] + (wide[ends] - wide[starts]) // WIDE_WORD)
 
 
-def windows(size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last chunk of every window: from each chunk on the fewest with MIN_WORDS words within its text, then up to
-    each chunk the fewest, where that is none of these; for each of the latter where the window one chunk later stands, or -1."""
+def windows(size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last chunk of every window: from each chunk on the fewest with MIN_WORDS words within its text."""
     n, total = len(size), np.r_[0, np.cumsum(size)]
-    k = np.arange(n)
     last = np.searchsorted(total, total[:-1] + MIN_WORDS) - 1
-    first = np.searchsorted(total, total[1:] - MIN_WORDS, "right") - 1
     fits = (last < n) & (own[np.minimum(last, n - 1)] == own)
-    ahead = k[fits]
-    more = k[(first >= 0) & (own[first] == own) & (total[:-1] - total[first] >= MIN_WORDS)]
-    at = np.where(fits, np.cumsum(fits) - 1, -1)
-    return np.r_[ahead, first[more]], np.r_[last[ahead], more], at[first[more] + 1]
-
-
-def gather_repeats(table: pa.Table) -> pa.Table:
-    """Digests of one bucket that occur twice or more."""
-    a, many = [], []
-    for chunk in table.column("blob").chunks:
-        for x in chunk.to_pylist():
-            c = len(x) // 9
-            a.append(np.frombuffer(x, U, c))
-            many.append(np.frombuffer(x, np.uint8, c, 8 * c))
-    a, many = np.concatenate(a), np.concatenate(many)
-    order = np.argsort(a, kind="stable")
-    a, many = a[order], many[order] > 0
-    many[1:] |= a[1:] == a[:-1]
-    return pa.table({"a": pa.array(np.unique(a[many]).view(np.int64))})
-
-
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """Digest of every window that occurs twice or more in all texts.
-
-    Each task first reduces its windows to one entry a digest, so that a window that is everywhere costs one a task.
-    """
+    return np.flatnonzero(fits), last[fits]
+
+
+def repeated_keys(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The first bits of the digests of all windows that occur twice or more in all texts (one column, key), and how many
+    bits. Each task first reduces its windows to two entries a key at most, so that a window that is everywhere costs two a task."""
     bits = bucket_bits(docs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                a, n = np.unique(np.concatenate(held), return_counts=True)
-                held.clear()
-                yield from blobs(bits, a, [a, (n > 1).astype(np.uint8)])
+            key, n = np.unique(np.concatenate(held) >> U(64 - bits - COUNT_BITS), return_counts=True)
+            held.clear()
+            key = np.repeat(key, np.minimum(n, 2))
+            low = (key & U((1 << COUNT_BITS) - 1)).astype(np.uint32)
+            yield from bucketed(bits, key << U(64 - bits - COUNT_BITS), lambda a, b: planes(steps(low[a:b])))
 
         for batch in batches:
             for _, data, offs in slices(batch):
                 if len(data):
                     starts, ends, own = chunks(data, offs)
-                    p, q, _ = windows(chunk_words(data, offs, starts, ends), own)
-                    held.append(Spans(data, VALUES_A).of(starts[p], ends[q]))
-                if sum(map(len, held)) > FLUSH:
+                    p, q = windows(chunk_words(data, offs, starts, ends), own)
+                    held.append(span_hashes(data, starts[p], ends[q], SEED_A))
+                if sum(map(len, held)) > flush_size(bits):
                     yield from flush()
-        yield from flush()
-
-    return apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", gather_repeats, "a long")
+        if held:
+            yield from flush()
 
+    def gather(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        low = np.sort(np.concatenate([np.cumsum(from_planes(x, len(x) // 4), dtype=np.uint32) for x in blobs_of(table)]))
+        again = np.unique(low[1:][low[1:] == low[:-1]]).astype(np.int64)
+        return pa.table({"key": pa.array((bucket << COUNT_BITS) + again, pa.int64())})
 
-def digest_bitmap(repeats: DataFrame) -> np.ndarray:
-    """2**MAP_BITS bits that mark the top bits of the repeated digests: 8 MB, whatever the input."""
-    low = 16
+    return apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", gather, "key long"), bits + COUNT_BITS
 
-    def fill(table: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << low, bool)
-        bits[table.column("slot").to_numpy() & ((1 << low) - 1)] = True
-        return pa.table({"block": table.column("block").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    slots = repeats.select(F.shiftrightunsigned("a", 64 - MAP_BITS).alias("slot")).select("slot", F.shiftright("slot", low).cast("int").alias("block"))
-    out = np.zeros((1 << MAP_BITS) // 8, np.uint8)
-    for r in apply_groups(slots, "block", fill, "block int, bits binary").toLocalIterator():
-        out[r["block"] << (low - 3) : (r["block"] + 1) << (low - 3)] = np.frombuffer(r["bits"], np.uint8)
+def repeat_bitmap(docs: DataFrame) -> np.ndarray:
+    """Marks the first bits of the digests that may be repeated: 16 slots a digest, 64 MB at most."""
+    found, bits = repeated_keys(docs)
+    found = written(found, "repeats")
+    own = filter_bits(found.count())
+    out = bitmap(found.select(F.shiftright("key", bits - own).alias("slot")), own)
+    discard(found)
     return out
 
 
-PLACES = pa.schema([(c, pa.int64()) for c in ("row", "doc_id", "crc")] + [(c, pa.int32()) for c in ("ord", "chunks", "word", "words")] + [("start", pa.int64()), ("size", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+PLACES = pa.schema([(c, pa.int64()) for c in ("row", "doc_id", "text64")] + [(c, pa.int32()) for c in ("ord", "chunks", "word", "words")] + [("start", pa.int64()), ("size", pa.int32()), ("a", pa.int64()), ("b", pa.int32())])
+
+
+def text64(text: Column) -> Column:
+    """The first half of a text's MD5 as a signed number."""
+    return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("long")
 
 
-def candidate_places(docs: DataFrame, bitmap) -> DataFrame:
+def candidate_places(docs: DataFrame, marks) -> DataFrame:
     """Windows that may be repeated: row (a number of its text in this scan), first chunk, chunks, words before and words,
-    place, digest. A window up to a chunk is needed only where the next one isn't repeated."""
+    place, digests."""
     from pyspark import TaskContext
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
+        bits = marks.value
+        shift = U(64 - (len(bits).bit_length() + 2))
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for rows, data, offs in slices(batch):
                 if len(data):
                     starts, ends, own = chunks(data, offs)
                     size = chunk_words(data, offs, starts, ends)
-                    p, q, later = windows(size, own)
-                    a = Spans(data, VALUES_A).of(starts[p], ends[q])
-                    slot = (a >> U(64 - MAP_BITS)).astype(np.int64)
-                    hit = ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
-                    n = len(p) - len(later)
-                    hit[n:] &= (later < 0) | ~hit[later]
+                    p, q = windows(size, own)
+                    a = span_hashes(data, starts[p], ends[q], SEED_A)
+                    hit = marked(bits, (a >> shift).astype(np.int64))
                     p, q, a = p[hit], q[hit], a[hit]
                     begun = np.searchsorted(starts, offs[own[p]])
                     total = np.r_[0, np.cumsum(size)]
-                    crc = np.array([zlib.crc32(data[x:y]) for x, y in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)], np.int64)
+                    some, raw = np.zeros(len(offs) - 1, np.int64), data.tobytes()
+                    for k in np.unique(own[p]).tolist():
+                        some[k] = int.from_bytes(hashlib.md5(raw[offs[k] : offs[k + 1]]).digest()[:8], "big", signed=True)
                     yield arrow_batch(
-                        PLACES, row=row + own[p], doc_id=rows.column(0).take(pa.array(own[p])), crc=crc[own[p]], ord=(p - begun).astype(np.int32), chunks=(q - p + 1).astype(np.int32), word=(total[p] - total[begun]).astype(np.int32), words=(total[q + 1] - total[p]).astype(np.int32),
-                        start=(starts - offs[own])[p], size=(ends[q] - starts[p]).astype(np.int32), a=a.view(np.int64), b=Spans(data, VALUES_B, BASE_B).of(starts[p], ends[q]).view(np.int64),
+                        PLACES, row=row + own[p], doc_id=rows.column(0).take(pa.array(own[p])), text64=some[own[p]], ord=(p - begun).astype(np.int32), chunks=(q - p + 1).astype(np.int32), word=(total[p] - total[begun]).astype(np.int32), words=(total[q + 1] - total[p]).astype(np.int32),
+                        start=(starts - offs[own])[p], size=(ends[q] - starts[p]).astype(np.int32), a=a.view(np.int64), b=(span_hashes(data, starts[p], ends[q], SEED_B) >> U(32)).astype(np.uint32).view(np.int32),
                     )
                 row += rows.num_rows
 
-    return map_batches(id_text(docs), emit, "row long, doc_id long, crc long, ord int, chunks int, word int, words int, start long, size int, a long, b long")
+    return map_batches(id_text(docs), emit, "row long, doc_id long, text64 long, ord int, chunks int, word int, words int, start long, size int, a long, b int")
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """Pieces of repeated passages: row, doc_id, crc, ord, run (its passage), start, size (bytes), chunks, words, the first
+    """Pieces of repeated passages: row, doc_id, text64, ord, run (its passage), start, size (bytes), chunks, words, the first
     place (its own where it stays), places of its window, removed. A piece goes from the start of a window to that of the next
     one or to its end, cut where windows end that stay."""
-    spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(digest_bitmap(written(repeated_windows(docs), "repeats")))
-    places = written(candidate_places(docs, bitmap), "places")
-    doc = F.coalesce("doc_id", F.lit(NONE))
-    firsts = places.groupBy("a", "b").agg(F.min(F.struct(doc.alias("doc"), "start")).alias("first"), F.count("*").alias("places")).where("places > 1")
-    is_first = (doc == F.col("first.doc")) & (F.col("start") == F.col("first.start"))
+    marks = docs.sparkSession.sparkContext.broadcast(repeat_bitmap(docs))  # 64 MB at most
+    places = written(candidate_places(docs, marks), "places")
+    marks.unpersist()
+    place = F.struct(F.coalesce("doc_id", F.lit(NONE)).alias("doc"), "text64", "start")
+    firsts = places.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1")
+    is_first = place == F.col("first")
     edge = lambda o, w, s: F.struct(o.alias("ord"), w.alias("word"), s.alias("byte"))
     begin, end = edge(F.col("ord"), F.col("word"), F.col("start")), edge(F.col("ord") + F.col("chunks"), F.col("word") + F.col("words"), F.col("start") + F.col("size"))
-    found = places.join(firsts, ["a", "b"]).select("row", "doc_id", "crc", "ord", "word", "chunks", "words", "start", "size", "places", F.col("first.doc").alias("to"), (F.col("first.start") - F.col("start")).alias("shift"), is_first.alias("is_first"))
+    found = places.join(firsts, ["a", "b"]).select("row", "doc_id", "text64", "ord", "word", "chunks", "words", "start", "size", "places", F.col("first.doc").alias("to"), (F.col("first.start") - F.col("start")).alias("shift"), is_first.alias("is_first"))
     # windows of a text in order end in order too: one that begins later never ends before
     w = Window.partitionBy("row").orderBy("ord", "chunks")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    found = found.select("row", "doc_id", "crc", "places", "to", "shift", begin.alias("begin"), end.alias("full"), F.max(F.when(F.col("is_first"), end)).over(so_far).alias("stays"), F.lead(begin).over(w).alias("next"), F.lag(end).over(w).alias("before"))
+    found = found.select("row", "doc_id", "text64", "places", "to", "shift", begin.alias("begin"), end.alias("full"), F.max(F.when(F.col("is_first"), end)).over(so_far).alias("stays"), F.lead(begin).over(w).alias("next"), F.lag(end).over(w).alias("before"))
     found = found.withColumn("end", F.least("full", "next")).withColumn("cut", F.least("end", F.greatest("begin", "stays")))
     # a run begins where no window before reaches
     fresh = F.when(F.coalesce(F.col("before.byte") < F.col("begin.byte"), F.lit(True)), F.col("begin.ord"))
     found = found.withColumn("run", F.max(fresh).over(Window.partitionBy("row").orderBy("begin.ord", "full.ord").rowsBetween(Window.unboundedPreceding, 0)))
     piece = lambda x, y, removed: F.struct(F.col(f"{x}.ord").alias("ord"), F.col(f"{x}.byte").alias("start"), (F.col(f"{y}.byte") - F.col(f"{x}.byte")).cast("int").alias("size"), (F.col(f"{y}.ord") - F.col(f"{x}.ord")).alias("chunks"), (F.col(f"{y}.word") - F.col(f"{x}.word")).alias("words"), F.lit(removed).alias("removed"))
-    own = found.select("row", "doc_id", "crc", "run", "places", "to", "shift", F.explode(F.array(piece("begin", "cut", False), piece("cut", "end", True))).alias("p")).where("p.size > 0")
+    own = found.select("row", "doc_id", "text64", "run", "places", "to", "shift", F.explode(F.array(piece("begin", "cut", False), piece("cut", "end", True))).alias("p")).where("p.size > 0")
     first_doc = F.when(F.col("p.removed"), F.nullif(F.col("to"), F.lit(NONE))).otherwise(F.col("doc_id"))
     first_start = F.col("p.start") + F.when(F.col("p.removed"), F.col("shift")).otherwise(0)
-    return own.select("row", "doc_id", "crc", "p.ord", "run", "p.start", "p.size", "p.chunks", "p.words", first_doc.alias("first_doc_id"), first_start.alias("first_start"), "places", "p.removed")
+    return own.select("row", "doc_id", "text64", "p.ord", "run", "p.start", "p.size", "p.chunks", "p.words", first_doc.alias("first_doc_id"), first_start.alias("first_start"), "places", "p.removed")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -233,12 +220,17 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Texts without the chunks that are removed, other columns as they are (n_chars, if there, follows the text).
 
-    Places go to rows by doc_id and CRC of the text; of rows in which both are equal each loses what the first one does.
+    Places go to rows by doc_id and 64 bits of the text's MD5; of rows in which both are equal each loses what the first
+    one does. Only rows that may lose something are shuffled.
     """
     spans = F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end"))))
-    gone = repeated_places(docs).where("removed").groupBy("row").agg(F.first("doc_id").alias("pw_id"), F.first("crc").alias("pw_crc"), spans.alias("pw_gone"))
-    gone = gone.groupBy("pw_id", "pw_crc").agg(F.min_by("pw_gone", "row").alias("pw_gone"))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["pw_id"]) & (F.crc32(docs["text"]) == gone["pw_crc"]), "left").drop("pw_id", "pw_crc")
+    gone = repeated_places(docs).where("removed").groupBy("row").agg(F.first("doc_id").alias("pw_id"), F.first("text64").alias("pw_text"), spans.alias("pw_gone"))
+    gone = gone.groupBy("pw_id", "pw_text").agg(F.min_by("pw_gone", "row").alias("pw_gone"))
+    key = lambda d, t: F.xxhash64(F.coalesce(d, F.lit(NONE)), t)
+    gone = written(gone.withColumn("pw_key", key(F.col("pw_id"), F.col("pw_text"))), "gone")
+    own = docs["doc_id"].cast("long")
+    maybe, sure = apart(docs, key(own, text64(docs["text"])), gone, "pw_key")
+    joined = maybe.join(gone.drop("pw_key"), maybe["doc_id"].cast("long").eqNullSafe(gone["pw_id"]) & (text64(maybe["text"]) == gone["pw_text"]), "left").drop("pw_id", "pw_text")
     raw = F.encode("text", "UTF-8")
     piece = lambda a, b: F.decode(F.substr(raw, (a + 1).cast("int"), (b - a).cast("int")), "UTF-8")
     # what stays lies between the end of one removed chunk and the start of the next
@@ -246,7 +238,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     starts = F.concat(F.transform("pw_gone", lambda x: x["start"]), F.array(F.octet_length("text").cast("long")))
     new = F.array_join(F.zip_with(edges, starts, lambda e, s: piece(e["end"], s)), "")
     out = joined.withColumn("text", F.when(F.col("pw_gone").isNotNull() & F.col("text").isNotNull(), new).otherwise(F.col("text"))).drop("pw_gone")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return sure.unionByName(out)
 
 
 def op7_chunk_dedup(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import math
 import shutil
 import tempfile
 import threading
@@ -14,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step handles at once; one longer document is a step of its own.
@@ -29,11 +30,14 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session that names none, as in
+    tests, gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         app = spark.sparkContext.applicationId
         if app not in _own:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             _own[app] = tempfile.mkdtemp(prefix="pixelweave-")
             atexit.register(shutil.rmtree, _own[app], True)
         found = _own[app]
@@ -43,9 +47,63 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table in the shared folder and read it: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/pixelweave/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/pixelweave/{spark.sparkContext.applicationId}"
+    if folder not in _own:
+        _own[folder] = folder
+        atexit.register(_remove, spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._pw_path = path
+    return back
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # at exit the session may be gone
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more; what is left goes when the application ends."""
+    for df in tables:
+        _remove(df.sparkSession, df._pw_path)
+
+
+def filter_bits(n: int, most: int = 29) -> int:
+    """log2 of the slots of a bitmap for n keys: about 16 a key, 64 MB at most."""
+    return min(most, max(16, math.ceil(math.log2(max(1, n))) + 4))
+
+
+def bitmap_blocks(slots: DataFrame) -> DataFrame:
+    """block and bits (4 kB) of the bitmap in which the bits numbered by the one column of ``slots`` (from 0) are set."""
+    slot = F.col(slots.columns[0]) + 1
+    return slots.groupBy(F.bitmap_bucket_number(slot).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+
+
+def bitmap(slots: DataFrame, bits: int) -> np.ndarray:
+    """That bitmap as an array of 2**bits / 8 bytes: bit k & 7 of byte k >> 3 is that of slot k."""
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in bitmap_blocks(slots).toLocalIterator():  # bounded by the size of the bitmap
+        out[(r["block"] - 1) << 12 : r["block"] << 12] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def marked(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return ((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def apart(docs: DataFrame, key: Column, keys: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be among ``keys`` (column ``name``, long) and rows whose key surely isn't, without a shuffle: a
+    bitmap of hashed keys is broadcast, whose size is bounded. A null key isn't among any."""
+    bits = filter_bits(keys.count())
+    slot = lambda x: F.pmod(F.xxhash64(x), F.lit(1 << bits))
+    blocks = F.broadcast(bitmap_blocks(keys.select(slot(F.col(name)).alias("slot"))).withColumnsRenamed({"block": "pw_block", "bits": "pw_bits"}))
+    at = F.bitmap_bit_position(slot(key) + 1)
+    byte = F.conv(F.hex(F.substr("pw_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False)) & key.isNotNull()
+    tested = docs.join(blocks, F.bitmap_bucket_number(slot(key) + 1) == F.col("pw_block"), "left").withColumn("pw_hit", hit).drop("pw_block", "pw_bits")
+    return tested.where("pw_hit").drop("pw_hit"), tested.where("not pw_hit").drop("pw_hit")
 
 
 #: Rows of an Arrow batch: texts of tens of kilobytes still make batches of tens of megabytes.

@@ -1,11 +1,21 @@
-"""Vectorised hashes of byte spans: prefix sums of a polynomial modulo 2**64 give the hash of any span in one step."""
+"""Vectorised 64-bit hashes of byte spans, words and shingles.
+
+A span is read eight bytes a step; each step mixes them into what the steps before gave, so that no algebra of the bytes
+(as in polynomials modulo a power of two) makes different spans meet. All results hold up to collisions of 64 bits.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-BASE = 0x9E3779B97F4A7C15 | 1
+BASE = 0x9E3779B97F4A7C15
 U = np.uint64
+#: Spans above this go through BLAKE2b whole: steps over few spans cost more there.
+LONG_SPAN = 512
+#: Masks of the first k bytes of a step.
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,30 +34,25 @@ def byte_values(seed: int) -> np.ndarray:
     return mix((np.arange(1, 257, dtype=U) * U(BASE)) ^ U(seed))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
-    """base**k and its inverse for k < n."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        up, down = np.full(size, base, U), np.full(size, pow(base, -1, 1 << 64), U)
-        up[0] = down[0] = 1
-        have = _powers[base] = np.cumprod(up), np.cumprod(down)
-    return have[0][:n], have[1][:n]
-
-
-class Spans:
-    """Hashes of spans [a, b) of one byte array."""
-
-    def __init__(self, data: np.ndarray, values: np.ndarray, base: int = BASE):
-        up, self.down = powers(len(data) + 1, base)
-        self.sums = np.zeros(len(data) + 1, U)
-        np.cumsum(values[data] * up[:-1], out=self.sums[1:])
-
-    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mix((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype(U) * U(0xD6E8FEB86659FD93))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hashes of spans [start, end) of one byte array."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    steps = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    size = (ends - starts).astype(np.int64)
+    out = mix(size.astype(U) * U(BASE) + U(seed))
+    wide = np.flatnonzero(size > LONG_SPAN)
+    if len(wide):
+        raw, key = padded.data, (seed + 1).to_bytes(8, "little")
+        out[wide] = [int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8, key=key).digest(), "little") for a, b in zip(starts[wide].tolist(), ends[wide].tolist(), strict=True)]
+        k = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    else:
+        k = np.flatnonzero(size > 0)
+    at, left = starts[k], size[k]
+    while len(k):
+        out[k] = mix(out[k] ^ (steps[at] & MASKS[np.minimum(left, 8)]))
+        more = left > 8
+        k, at, left = k[more], at[more] + 8, left[more] - 8
+    return out
 
 
 WHITE = np.zeros(256, bool)
@@ -69,17 +74,16 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(starts, offs)
 
 
-VALUES = byte_values(0x5DEECE66D)
-STEPS = mix(np.arange(101, 106, dtype=U))
+STEPS = mix(np.arange(101, 106, dtype=U)) | U(1)
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = 5) -> list[np.ndarray]:
     """For each document the distinct hashes of its k-word shingles, A-Z lowered; with fewer words, of all of them."""
     starts, ends, at = words(data, offs)
-    one = Spans(data, VALUES[LOWER]).of(starts, ends)
+    one = span_hashes(LOWER[data], starts, ends)
     grams = np.zeros(max(0, len(one) - k + 1), U)
     for j in range(k):
-        grams += one[j : j + len(grams)] * (STEPS[j] | U(1))
+        grams += one[j : j + len(grams)] * STEPS[j]
     grams = mix(grams)
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -95,9 +99,9 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = 5) -> list[np.ndar
     return out
 
 
-def set_digest(grams: np.ndarray) -> int:
+def set_digest(grams: np.ndarray, salt: int = 0xA0761D6478BD642F) -> int:
     """One value for equal sets: signed 64 bits, never 0 but for the empty set."""
     if not len(grams):
         return 0
-    d = mix(np.array([mix(grams ^ U(0xA0761D6478BD642F)).sum(dtype=U) + U(len(grams))]))
+    d = mix(np.array([mix(grams ^ U(salt)).sum(dtype=U) + U(len(grams))]))
     return int(d.view(np.int64)[0]) or 1

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batch, id_text, map_batches, slices, table, written
-from .hashing import VALUES, LOWER, U, WHITE, Spans, mix, words
+from .hashing import LOWER, U, WHITE, mix, span_hashes, words
 from .quality_rules import STOP_WORDS
 
 THRESHOLD = 0.7
@@ -42,7 +42,7 @@ for _k, _chars in enumerate([b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$
 def _stop_hashes() -> np.ndarray:
     text = [w.encode() for w in sorted({w for ws in STOP_WORDS.values() for w in ws})]
     ends = np.cumsum([len(w) for w in text])
-    return np.sort(Spans(np.frombuffer(b"".join(text), np.uint8), VALUES).of(ends - [len(w) for w in text], ends))
+    return np.sort(span_hashes(np.frombuffer(b"".join(text), np.uint8), ends - [len(w) for w in text], ends))
 
 
 STOP_HASHES = _stop_hashes()
@@ -73,7 +73,7 @@ def statistics(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     some = np.maximum(count, 1)
     mean = sums(length) / some
     spread = np.sqrt(np.maximum(sums(length * length) / some - mean * mean, 0))
-    one = Spans(data, VALUES[LOWER]).of(starts, ends)
+    one = span_hashes(LOWER[data], starts, ends)
     found = np.minimum(np.searchsorted(STOP_HASHES, one), len(STOP_HASHES) - 1)
     stop = sums((STOP_HASHES[found] == one).astype(float)) / some
     share_words, top = distinct_share(one, at)
@@ -86,7 +86,7 @@ def statistics(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
             share_grams[k] = len(np.unique(grams[a:b])) / (b - a)
     line_at = np.unique(np.r_[offs, np.flatnonzero(data == 10) + 1])
     line_at = line_at[line_at <= len(data)]
-    line = Spans(data, VALUES).of(line_at[:-1], line_at[1:])
+    line = span_hashes(data, line_at[:-1], line_at[1:])
     share_lines, _ = distinct_share(line, np.searchsorted(line_at[:-1], offs))
     joint = np.bincount(doc * 64 + (data >> 2), minlength=64 * docs).reshape(docs, 64) / size[:, None]
     entropy = -np.where(joint > 0, joint * np.log2(np.where(joint > 0, joint, 1)), 0).sum(axis=1)

@@ -243,19 +243,87 @@ def test_jaccard_against_all_pairs(spark):
     assert got == plain_components(rows)
 
 
+def classes_of(spark, rows, parts=3):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_classes(docs).collect()}
+
+
 def test_jaccard_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "TRIE_SETS", 40)
-    monkeypatch.setattr(jaccard_join.blocked, "__defaults__", (20,))
-    rows = near_copies(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
-    assert got == plain_components(rows)
+    """Near copies, and a chain of texts of which only neighbours are alike, in blocks that are too small for them."""
+    monkeypatch.setattr(jaccard_join, "TRIE_SETS", 30)
+    monkeypatch.setattr(jaccard_join, "LEAST_GROUP", 4)
+    words = [f"c{k}" for k in range(400)]
+    rows = near_copies(5) + [(5000 + k, " ".join(words[2 * k : 2 * k + 60])) for k in range(150)]
+    assert classes_of(spark, rows) == plain_components(rows)
+
+
+def test_jaccard_of_stars_and_full_bitmaps(spark, monkeypatch):
+    rows = near_copies(6)
+    want = plain_components(rows)
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    assert classes_of(spark, rows) == want
+    monkeypatch.setattr(jaccard_join, "SMALL", 8)
+    monkeypatch.setattr(jaccard_join, "digest_bitmap", lambda nodes: np.full(1 << 12, 255, np.uint8))
+    assert classes_of(spark, rows) == want
+
+
+def thue_morse(bits, first):
+    t = first
+    for _ in range(bits):
+        t += t.translate(str.maketrans("ab", "ba"))
+    return t
+
+
+def test_words_of_one_polynomial_hash_differ(spark):
+    """Thue-Morse words and their complements meet under every polynomial modulo a power of two."""
+    rows = [(k, thue_morse(b, f)) for k, (b, f) in enumerate((b, f) for b in (8, 10, 11, 12) for f in "ab")]
+    assert classes_of(spark, rows) == {k: (1, k) for k, _ in rows}
+
+
+def test_candidates_against_all_pairs():
+    """Every pair that links shares a candidate component, and small segments give no pair out of reach."""
+    rnd = np.random.default_rng(4)
+    for small in (2, 8):
+        sets = []
+        for _ in range(60):
+            base = rnd.integers(0, 400, rnd.integers(1, 40))
+            sets += [np.unique(np.r_[base, rnd.integers(0, 400, k)]) for k in range(4)]
+        key, digest, n, finds = [], [], [], []
+        for d, s in enumerate(sets):
+            p, q = jaccard_join.prefixes(len(s))
+            key.append(s[:p]), digest.append(np.full(p, d)), n.append(np.full(p, len(s))), finds.append(np.arange(p) < q)
+        before, jaccard_join.SMALL = jaccard_join.SMALL, small
+        a, b, sure = jaccard_join.candidates(*map(np.concatenate, (key, digest, n, finds)))
+        jaccard_join.SMALL = before
+        assert small == 2 or not sure.all()
+        low = np.arange(len(sets))
+        for x, y in zip(a, b, strict=True):
+            low[low == low[y]] = low[x]
+        for x in range(len(sets)):
+            for y in range(x):
+                i = len(np.intersect1d(sets[x], sets[y]))
+                if 100 * i >= 80 * (len(sets[x]) + len(sets[y]) - i):
+                    assert low[x] == low[y]
+
+
+def test_sketches_never_differ_more_than_sets():
+    rnd = np.random.default_rng(5)
+    for n, m in ((5, 90), (100, 130), (700, 900), (3000, 200), (90_000, 80_000)):
+        x = np.unique(rnd.integers(0, 1 << 63, n, np.uint64) * np.uint64(2))
+        y = np.unique(np.r_[x[: min(n, m) // 2], rnd.integers(0, 1 << 63, m, np.uint64)])
+        apart = len(np.setxor1d(x, y))
+        got = jaccard_join.differing([jaccard_join.sketch(x)], [jaccard_join.sketch(y)])[0]
+        assert 0 < got <= apart
+        assert jaccard_join.differing([jaccard_join.sketch(x)], [jaccard_join.sketch(x)])[0] == 0
 
 
 def test_span_hashes_depend_on_bytes_only():
-    data = np.frombuffer(b"abcabcab" * 5, np.uint8)
-    s = hashing.Spans(data, hashing.VALUES)
-    h = s.of(np.array([0, 3, 8, 1]), np.array([3, 6, 11, 3]))
-    assert h[0] == h[1] == h[2] != h[3]
+    data = np.frombuffer(b"abcabcab" * 500, np.uint8)
+    h = hashing.span_hashes(data, np.array([0, 3, 8, 1, 0, 8, 3999, 4000]), np.array([3, 6, 11, 3, 700, 708, 4000, 4000]))
+    assert h[0] == h[1] == h[2] != h[3] and h[4] == h[5] and len(set(h.tolist())) == 5
+    spans = [bytes(data[:k]) + b"\0" * j for k in range(20) for j in range(3)]
+    flat, ends = np.frombuffer(b"".join(spans), np.uint8), np.cumsum([len(x) for x in spans])
+    assert len(set(hashing.span_hashes(flat, ends - [len(x) for x in spans], ends).tolist())) == len(set(spans))
 
 
 # --- op7 ---------------------------------------------------------------------------------------------------------------
@@ -299,8 +367,8 @@ def test_one_intact_copy_of_each_passage_of_common_words(spark):
     for k, t in rows:
         data, offs = np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])
         starts, ends, own = chunk_dedup.chunks(data, offs)
-        p, q, more = chunk_dedup.windows(chunk_dedup.chunk_words(data, offs, starts, ends), own)
-        for i, j in zip(p[: len(p) - len(more)], q[: len(p) - len(more)], strict=True):
+        p, q = chunk_dedup.windows(chunk_dedup.chunk_words(data, offs, starts, ends), own)
+        for i, j in zip(p, q, strict=True):
             seen.setdefault(t[starts[i] : ends[j]], set()).add((k, i))
     again = [w for w, at in seen.items() if len(at) > 1]
     assert len(again) > 100 and all(w in left for w in again)
@@ -309,6 +377,87 @@ def test_one_intact_copy_of_each_passage_of_common_words(spark):
         assert r.start == 0 or t[r.start - 1 : r.start].isspace()
 
 
+def plain_removals(rows):
+    """Texts after removal, by a dictionary of the windows' bytes. rows: doc_id, text."""
+    low, places = -(1 << 63), {}
+    found = []
+    for d, t in rows:
+        raw = (t or "").encode()
+        data, offs = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+        key = (low if d is None else d, int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True))
+        own = []
+        if raw:
+            starts, ends, of = chunk_dedup.chunks(data, offs)
+            for p, q in zip(*chunk_dedup.windows(chunk_dedup.chunk_words(data, offs, starts, ends), of), strict=True):
+                a, b = int(starts[p]), int(ends[q])
+                places.setdefault(raw[a:b], []).append((*key, a))
+                own.append((a, b))
+        found.append((key, raw, own))
+    out = []
+    for key, raw, own in found:
+        again, stays = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
+        for a, b in own:
+            at = places[raw[a:b]]
+            again[a:b] |= len(at) > 1
+            stays[a:b] |= len(at) > 1 and min(at) == (*key, a)
+        out.append(bytes(np.frombuffer(raw, np.uint8)[~(again & ~stays)]).decode())
+    return out
+
+
+def passages_of_common_words(seed=9):
+    rnd = random.Random(seed)
+    common = "the of and to a in that it is was for on as with he be at by had not".split()
+    some = lambda n: " ".join(rnd.choice(common) for _ in range(n))
+    shared = [some(rnd.randint(30, 90)) for _ in range(12)]
+    rows = [(k, " ".join(x for _ in range(4) for x in (some(rnd.randint(1, 40)), rnd.choice(shared)))) for k in range(60)]
+    # the same texts again under other ids and without, one id for different texts, a passage at the same byte of two
+    # texts with one id or none, and scripts without white space
+    rows += [(200, rows[0][1]), (200, rows[0][1]), (None, rows[1][1]), (None, rows[2][1]), (201, rows[3][1]), (201, rows[4][1])]
+    same = some(160)
+    rows += [(i, f"{same} {some(n)}") for i in (None, 300) for n in (50, 51)] + [(None, "a " + some(300))]
+    wide = "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(900))
+    rows += [(400 + k, "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(300)) + wide[100 * k : 100 * k + 400]) for k in range(4)]
+    return rows + [(500, None), (501, ""), (502, " \n")]
+
+
+@pytest.mark.parametrize("bits", [None, 0, 255])
+def test_removals_against_plain_ones(spark, monkeypatch, bits):
+    """Equal rows, however full the bitmap is; 0 marks nothing but what is repeated, in the least number of slots."""
+    if bits == 255:
+        monkeypatch.setattr(chunk_dedup, "repeat_bitmap", lambda docs: np.full(1 << 13, 255, np.uint8))
+    elif bits == 0:
+        monkeypatch.setattr(chunk_dedup, "filter_bits", lambda n: 16)
+    rows = passages_of_common_words()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in chunk_dedup.remove_repeats(docs).collect())
+    want = sorted((-1 if d is None else d, t) for (d, _), t in zip(rows, plain_removals(rows), strict=True))
+    assert got == want
+    short = {d: len(t) for d, t in got}
+    assert all(short[400 + k] < 520 for k in (1, 2, 3))  # of 700 characters 300 are repeated, most of these go
+
+
+def test_texts_that_share_a_checksum_without_id(spark):
+    """Of rows without id only those that hold a repeated passage lose text, even where a third has the CRC of the second."""
+    rnd = random.Random(3)
+    some = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passage = some(80)
+    first, second, third = f"{some(30)} {passage}", f"{some(40)} {passage}", some(120)
+    # four bytes behind a text give it any CRC: search them among letters for the other one's
+    table = {}
+    for k in range(26**4):
+        tail = "".join(chr(97 + k // 26**j % 26) for j in range(4))
+        table[zlib.crc32(tail.encode(), zlib.crc32((second + " ").encode()))] = tail
+    for k in range(26**4):
+        tail = "".join(chr(97 + k // 26**j % 26) for j in range(4))
+        if (have := table.get(zlib.crc32(tail.encode(), zlib.crc32((third + " ").encode())))) is not None:
+            second, third = f"{second} {have}", f"{third} {tail}"
+            break
+    assert zlib.crc32(second.encode()) == zlib.crc32(third.encode())
+    docs = spark.createDataFrame([(None, first), (None, second), (None, third)], "doc_id long, text string")
+    after = [r.text for r in chunk_dedup.remove_repeats(docs).collect()]
+    assert third in after and sum(map(len, after)) < len(first) + len(second) + len(third) - 300
+
+
 def test_gear_hash_and_shift_resistance():
     data = np.random.default_rng(1).integers(97, 110, 4000).astype(np.uint8)
     data[::6] = 32
