@@ -4,13 +4,15 @@ Encoding. A state is (last settled token, bytes that are still open). Every pref
 of its own encoding, found among those that may stand after the last token of the shorter prefix; these prefixes form a
 tree. A byte may still change only tokens behind positions from which some longer vocabulary entry could begin, so once
 all such positions share an ancestor, the tokens up to it are emitted. The open part is bounded by the longest token
-and states and transitions are made when first met. Memory is bounded: full tables start anew.
+and states and transitions are made when first met. Memory is bounded: full tables start anew with the present state,
+also within a word, so that time grows with the length of a word however long it is.
 
 Two tokens may stand side by side if, as both are merged by rank, no pair across their border is due before the pieces
 there have grown on.
 
-Decoding joins token bytes and passes them through an incremental UTF-8 machine, which holds back an unfinished
-character at the end of each piece.
+Decoding joins token bytes and passes them through an incremental UTF-8 machine: a table of states and bytes runs from
+an unfinished character at the end of a piece over the first bytes of the next one; what lies between whole characters
+is decoded at once.
 
 Nulls are empty texts (no tokens); every row is kept; extra columns are ignored; an empty table gives an empty table.
 """
@@ -60,14 +62,25 @@ class Transducer:
         self.prefixes = {t[:k] for t in ranks for k in range(1, len(t))}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.spines: dict[bytes, tuple | None] = {}
+        self.keys: list[tuple[bytes, bytes]] = []
+        self.ids: dict[tuple[bytes, bytes], int] = {}
+        self.trees: list[tuple[list[bytes], list[int]]] = []
+        self.moves: dict[int, tuple[int, bytes]] = {}
+        self.finals: list[bytes | None] = []
         self.reset()
 
     def reset(self) -> None:
-        self.keys: list[tuple[bytes, bytes]] = [(b"", b"")]
-        self.ids = {(b"", b""): 0}
-        self.trees: list[tuple[list[bytes], list[int]]] = [([b""], [-1])]
-        self.moves: dict[int, tuple[int, bytes]] = {}
-        self.finals: list[bytes | None] = [None]
+        """Nothing but the first state."""
+        for x in (self.keys, self.ids, self.trees, self.moves, self.finals):
+            x.clear()
+        self.state((b"", b""), ([b""], [-1]))
+
+    def state(self, key: tuple[bytes, bytes], tree: tuple[list[bytes], list[int]]) -> int:
+        to = self.ids[key] = len(self.keys)
+        self.keys.append(key)
+        self.trees.append(tree)
+        self.finals.append(None)
+        return to
 
     def edges(self, token: bytes) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None:
         """The first and the last piece of a token while it is merged, from a byte to the whole, each with the rank
@@ -142,13 +155,14 @@ class Transducer:
             emitted = self.ranks[last[k]].to_bytes(4, "little") + emitted
             k = parent[k]
         key = (last[cut] if cut else before, opened[cut:])
-        if (to := self.ids.get(key)) is None:
-            to = self.ids[key] = len(self.keys)
-            self.keys.append(key)
+        to = self.ids.get(key)
+        if to is None:
             # Only positions that hang below the settled one can still be a parent.
             tree = ([key[0], *last[cut + 1 :]], [-1, *[k - cut for k in parent[cut + 1 :]]]) if cut else (last, parent)
-            self.trees.append(tree)
-            self.finals.append(None)
+            if len(self.keys) > MEMO_STATES:
+                self.reset()
+                return self.state(key, tree), emitted
+            to = self.state(key, tree)
         self.moves[state << 8 | byte] = found = (to, emitted)
         return found
 
@@ -166,13 +180,11 @@ class Transducer:
         """Ids of one match as little-endian unsigned 32-bit integers."""
         if (whole := self.ranks.get(word)) is not None:
             return whole.to_bytes(4, "little")
-        if len(self.keys) > MEMO_STATES:
-            self.reset()
-        state, out, move = 0, b"", self.moves.get
+        state, out, move = 0, bytearray(), self.moves.get
         for byte in word:
             state, emitted = move(state << 8 | byte) or self.step(state, byte)
             out += emitted
-        return out + self.final(state)
+        return bytes(out) + self.final(state)
 
 
 class Encoder(dict):
@@ -212,30 +224,58 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
 
 
+def utf8_states() -> list[list[int]]:
+    """states[state][byte]: the next state, -1 where the byte can't follow. State 0 stands between characters, 1 to 3 await
+    as many bytes; after four first bytes the second one has a smaller range (shortest forms, no surrogates, the last plane)."""
+    states = [[-1] * 256 for _ in range(8)]
+    allow = lambda state, first, last, to: states[state].__setitem__(slice(first, last + 1), [to] * (last + 1 - first))
+    allow(0, 0x00, 0x7F, 0)
+    for left, first, last in ((1, 0xC2, 0xDF), (2, 0xE0, 0xEF), (3, 0xF0, 0xF4)):
+        allow(0, first, last, left)
+        allow(left, 0x80, 0xBF, left - 1)
+    for state, byte, first, last, to in ((4, 0xE0, 0xA0, 0xBF, 1), (5, 0xED, 0x80, 0x9F, 1), (6, 0xF0, 0x90, 0xBF, 2), (7, 0xF4, 0x80, 0x8F, 2)):
+        states[0][byte] = state
+        allow(state, first, last, to)
+    return states
+
+
 class Utf8Stream:
-    """Incremental UTF-8: ``feed`` returns the characters that are complete, ``finish`` what was left open."""
+    """Incremental UTF-8: ``feed`` returns the characters that are complete, ``finish`` what was left open. Bytes that can't
+    be part of a character give U+FFFD as the codec does."""
 
-    #: Bytes that follow a first byte; 0 for all others.
-    FOLLOW = bytes(1 if 0xC2 <= b <= 0xDF else 2 if 0xE0 <= b <= 0xEF else 3 if 0xF0 <= b <= 0xF4 else 0 for b in range(256))
+    STATES = utf8_states()
 
     def __init__(self) -> None:
-        self.open = b""
+        self.state, self.open = 0, b""
 
     def feed(self, piece: bytes) -> str:
-        data = self.open + piece
-        cut = len(data)
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if byte & 0xC0 != 0x80:
-                if self.FOLLOW[byte] >= back:
-                    cut -= back
+        states, out, at = self.STATES, [], 0
+        while self.state and at < len(piece):
+            to = states[self.state][piece[at]]
+            if to >= 0:
+                self.open += piece[at : at + 1]
+                at += 1
+            if to <= 0:
+                out.append(self.open.decode() if to == 0 else "\ufffd")
+                to, self.open = 0, b""
+            self.state = to
+        cut = len(piece)
+        for first in range(cut - 1, max(at, cut - 3) - 1, -1):
+            if piece[first] & 0xC0 != 0x80:  # the last byte that may begin a character
+                to = 0
+                for byte in piece[first:]:
+                    to = states[to][byte]
+                    if to <= 0:
+                        break
+                else:
+                    self.state, self.open, cut = to, piece[first:], first
                 break
-        self.open = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        out.append(piece[at:cut].decode("utf-8", "replace"))
+        return "".join(out)
 
     def finish(self) -> str:
-        left, self.open = self.open, b""
-        return left.decode("utf-8", "replace")
+        left, self.state, self.open = self.open, 0, b""
+        return "\ufffd" if left else ""
 
 
 def decode_stream(ids: np.ndarray, table: dict[int, bytes], piece: int = 4096) -> Iterator[str]:

@@ -29,7 +29,7 @@ from .common import apart, apply_groups, arrow_batch, bitmap, discard, filter_bi
 from .hashing import U, WHITE, byte_values, span_hashes
 from .jaccard_join import COUNT_BITS, blobs_of, bucket_bits, bucketed, flush_size, from_planes, planes, steps
 
-WORD_BITS, WIDE_BITS = 2, 4
+WORD_BITS, WIDE_BITS = 2, 3
 MIN_WORDS = 16
 FAR, FAR_ASCII, WIDE_WORD = 32, 256, 4
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)

@@ -2,9 +2,13 @@
 
 Each kind has a pattern whose matches are found leftmost and without overlap: splitting at the pattern gives what stands
 between matches, so positions are running sums of lengths in code points. Validators confirm matches (parts of an IP,
-Luhn, digits of a phone number, mod 97); words near a match raise its score. The base kinds stay whatever their
-score; the added kinds (iban, ssn) need the least score. Patterns begin only where a run of their characters begins and
-repeat groups possessively, so that time is linear and no match recurses, however long the text.
+Luhn, digits of a phone number, mod 97); words near a match, as far as the next match of its kind, raise its score. The
+base kinds stay whatever their score; the added kinds (iban, ssn) need the least score.
+
+Texts of any length are taken whole. Patterns begin only where a run of their characters begins and repeat groups
+possessively, so that no match recurses and a text is read a bounded number of times. Running sums go over blocks of
+BLOCK matches, then over the blocks, and pieces are cut by their bytes, so that time grows with the text and with the
+matches; only one number a block of matches is appended to an array that grows.
 
 Null and empty texts have no spans. Repeated rows are kept; extra columns are ignored by reports and kept by masking;
 an empty table gives an empty table.
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 
 LEAST_SCORE = 0.6
 CONTEXT_CHARS = 40
+#: Matches whose running sums are built as one array.
+BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -36,7 +42,7 @@ KINDS = [
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", r"(?i)\bip\b|address|host|server", 0.6),
     Kind("card", r"[0-9](?:[ -]?[0-9])++", "", r"(?i)card|visa|pay|credit", 0.8),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", r"(?i)phone|tel|call|mobile", 0.7),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", "", r"(?i)iban|account|bank|transfer", 0.7, False),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])", "", r"(?i)iban|account|bank|transfer", 0.7, False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", r"(?i)ssn|social|security|tax", 0.4, False),
 ]
 
@@ -71,30 +77,55 @@ def confirmed(kind: str, m: Column) -> Column:
     if kind == "phone":
         return F.length(digits(m)).between(9, 15)
     if kind == "iban":
-        return mod97(m)
+        return bind(F.replace(m, F.lit(" "), F.lit("")), lambda x: F.length(x).between(15, 34) & mod97(x))
     return F.lit(True)
 
 
-SPAN = "struct<start:int,end:int,kind:string,score:double>"
+def running(xs: Column, zero: Column, add) -> Column:
+    """For an array, the state before each element: ``zero``, then ``add`` of the state and each element's state. ``add``
+    must be associative."""
+
+    def before(block: Column, first: Column) -> Column:
+        none = F.array().cast("array<struct<a:int,b:int>>")
+        step = lambda s, x: F.struct(add(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+        return F.aggregate(block, F.struct(first.alias("at"), none.alias("out")), step)["out"]
+
+    def whole(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, zero, add))
+        return F.flatten(F.zip_with(blocks, before(totals, zero), before))
+
+    count = F.greatest(F.lit(1), F.ceil(F.size(xs) / BLOCK)).cast("int")
+    return bind(F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice(xs, k * BLOCK + 1, F.lit(BLOCK))), whole)
+
+
+def pair(a: Column, b: Column) -> Column:
+    return F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"))
+
+
+#: Places in code points, and in bytes.
+SPAN = "struct<start:int,end:int,kind:string,score:double,from:int,to:int>"
 
 
 def spans_of(text: Column, kind: Kind) -> Column:
-    """Array of confirmed spans of one kind: start, end (exclusive, code points), kind, score."""
+    """Array of confirmed spans of one kind: start, end (exclusive, code points), kind, score, from, to (bytes)."""
     none = F.array().cast(f"array<{SPAN}>")
     lit = F.lit(kind.pattern)
 
     def located(matches: Column) -> Column:
         def place(pieces: Column) -> Column:
-            start = F.aggregate(
-                F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("m"))),
-                F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out")),
-                lambda s, x: F.struct(
-                    (s["at"] + x["gap"] + x["size"]).alias("at"),
-                    F.when(confirmed(kind.name, x["m"]), F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["size"]).alias("end"), x["m"].alias("m"))))).otherwise(s["out"]).alias("out"),
-                ),
-            )
-            near = lambda x: F.substr(text, F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)) + 1, x["end"] - x["start"] + 2 * CONTEXT_CHARS)
-            return F.transform(start["out"], lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), F.least(F.lit(1.0), F.lit(kind.score) + F.when(near(x).rlike(kind.context), 0.3).otherwise(0.0)).alias("score")))
+            size = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: pair(F.length(p) + F.length(m), F.octet_length(p) + F.octet_length(m)))
+            at = bind(size, lambda x: running(x, pair(F.lit(0), F.lit(0)), lambda s, y: pair(s["a"] + y["a"], s["b"] + y["b"])))
+
+            def span(z: Column) -> Column:
+                p, m, after, at = z["p"], z["m"], z["after"], z["at"]
+                start, begin = at["a"] + F.length(p), at["b"] + F.octet_length(p)
+                near = F.concat_ws("", F.right(p, F.lit(CONTEXT_CHARS)), m, F.left(after, F.lit(CONTEXT_CHARS)))
+                score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near.rlike(kind.context), 0.3).otherwise(0.0))
+                return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), F.lit(kind.name).alias("kind"), score.alias("score"), begin.alias("from"), (begin + F.octet_length(m)).alias("to"))
+
+            whole = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("p"), matches.alias("m"), F.slice(pieces, 2, F.size(matches)).alias("after"), at.alias("at"))
+            named = F.transform(whole, lambda z: F.struct(z["p"].alias("p"), z["m"].alias("m"), z["after"].alias("after"), z["at"].alias("at")))
+            return F.transform(F.filter(named, lambda z: confirmed(kind.name, z["m"])), span)
 
         return F.when(F.size(matches) == 0, none).otherwise(bind(F.split(text, kind.pattern, -1), place))
 
@@ -114,26 +145,40 @@ def joined(spans: list[Column]) -> Column:
 
 
 def pii_report(docs: DataFrame) -> DataFrame:
+    """doc_id, numbers of base spans, digest of these, all spans, and their scores in the same order."""
     own = with_spans(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", "pw_spans")
     of = {k.name: F.col("pw_spans")[k.name] for k in KINDS}
+    scores = F.array_join(F.flatten(F.array(*(F.transform(x, lambda y: F.format_number(y["score"], 1)) for x in of.values()))), ",")
     return own.select(
         "doc_id", *(F.size(of[k.name]).cast("long").alias(f"n_{k.name}") for k in KINDS if k.base),
-        F.sha2(joined([of[k.name] for k in KINDS if k.base]), 256).alias("base_sha256"), joined(list(of.values())).alias("spans"),
+        F.sha2(joined([of[k.name] for k in KINDS if k.base]), 256).alias("base_sha256"), joined(list(of.values())).alias("spans"), scores.alias("scores"),
     )
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """Text with its spans (sorted: from, -to, kind) replaced. A span that begins before an earlier one's end names nothing,
+    but its text goes too."""
+
+    def cut(raw: Column, own: Column, reach: Column) -> Column:
+        piece = lambda a, b: F.substr(raw, a + 1, b - a).cast("string")
+        both = F.zip_with(own, reach, lambda x, r: F.struct(x["from"].alias("from"), x["kind"].alias("kind"), r["a"].alias("reach")))
+        put = F.transform(F.filter(both, lambda x: x["from"] >= x["reach"]), lambda x: F.concat(piece(x["reach"], x["from"]), F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        end = F.aggregate(own, F.lit(0), lambda s, x: F.greatest(s, -x["back"]))
+        return F.concat(F.array_join(put, ""), piece(end, F.length(raw)))
+
+    ends = F.transform(spans, lambda x: pair(-x["back"], F.lit(0)))
+    reach = bind(ends, lambda x: running(x, pair(F.lit(0), F.lit(0)), lambda s, y: pair(F.greatest(s["a"], y["a"]), F.lit(0))))
+    return bind(text.cast("binary"), lambda raw: bind(reach, lambda r: cut(raw, spans, r)))
+
+
 def mask(docs: DataFrame) -> DataFrame:
     """Texts with each span replaced by its kind in brackets; of overlapping spans the first, then the longest, names it.
 
     Columns stay as they are; n_chars follows the text where there is such a column. Null texts stay null.
     """
-    every = F.sort_array(F.flatten(F.array(*(F.transform(F.col("pw_spans")[k.name], lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))) for k in KINDS))))
-    text = F.col("text")
-    step = lambda s, x: F.when(
-        x["start"] >= s["at"], F.struct((-x["back"]).alias("at"), F.concat(s["out"], F.array(F.substr(text, s["at"] + 1, x["start"] - s["at"]), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))).alias("out"))
-    ).otherwise(F.struct(F.greatest(s["at"], -x["back"]).alias("at"), s["out"].alias("out")))
-    new = F.aggregate("pw_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1)))
-    own = with_spans(docs).withColumn("pw_all", every).withColumn("text", F.when(F.size("pw_all") > 0, new).otherwise(text)).drop("pw_all", "pw_spans")
+    every = F.sort_array(F.flatten(F.array(*(F.transform(F.col("pw_spans")[k.name], lambda x: F.struct(x["from"].alias("from"), (-x["to"]).alias("back"), x["kind"].alias("kind"))) for k in KINDS))))
+    new = F.when(F.size("pw_all") > 0, masked(F.col("text"), F.col("pw_all"))).otherwise(F.col("text"))
+    own = with_spans(docs).withColumn("pw_all", every).withColumn("text", new).drop("pw_all", "pw_spans")
     return own.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else own
 
 
