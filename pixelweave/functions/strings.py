@@ -17,10 +17,6 @@ SPELLING = [
     ("sulph", "sulf"), (r"sulfid\b", "sulfide"), (r"\bl-(" + L_LATER + ")", "$1"), ("thane", "thyl"), (r"mono(\S)", "$1"), (r"\(\+/-\)", "(+-)"),
     (r"(?<!\w)(d|l|dl)-*\((\+|-|\+-)\)(?!\w)", "$1"), (r"(?<!\w)\((\+|-|\+-)\)-*(d|l|dl)(?!\w)", "$2"),
 ]
-SIGNS = [
-    (r"[(\[{]-|-[)\]}]", "MINUS"), (r"[^,+\w]", "-"), ("-+", "-"), ("^-|-$", ""), ("([,+])-", "$1"), ("-([,+])", "$1"), ("([a-z])-", "$1"), ("-([a-z])", "$1"), (",+", ","), (r"\++", "+"), ("MINUS", "-"), ("-+", "-"),
-]
-
 #: Characters with a plain equivalent; what NFKD can't split.
 ASCII_FROM = "αβγδεζηθικλμνξοπρστυφχψωßøłđ‐‑‒–—−′’“”×·"
 ASCII_TO = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu", "nu", "xi", "omicron", "pi", "rho", "sigma", "tau", "upsilon", "phi", "chi", "psi", "omega", "ss", "o", "l", "d", "-", "-", "-", "-", "-", "-", "'", "'", '"', '"', "x", "."]
@@ -41,6 +37,19 @@ def to_ascii(x: Column) -> Column:
     return F.regexp_replace(x, r"[^\x00-\x7F]", "")
 
 
+def hyphens(x: Column) -> Column:
+    """Hyphens only as signs (beside a bracket) and between digits; other marks but commas and plus signs go, and of these
+    and of signs one of a row stays. A name is cut at its signs, so that the parts between need no look at them."""
+    other = r"[^,+\w]"
+
+    def clean(part: Column) -> Column:
+        kept = F.regexp_replace(part, rf"(?<![0-9]){other}++|{other}++(?![0-9])", "")
+        return F.regexp_replace(F.regexp_replace(kept, other, "-"), r"([,+])\1+", "$1")
+
+    parts = F.split(x, r"[(\[{]-|-[)\]}]", -1)
+    return F.regexp_replace(F.array_join(F.transform(parts, clean), "-"), "--+", "-")
+
+
 def conform_name(name: Column) -> Column:
     """A name in the form in which synonyms meet: lower case, plain characters, folded Greek letters and numbers,
     acids as -ate, no L- of amino acids, hyphens only between digits, and the half of a name that is twice the same."""
@@ -50,7 +59,7 @@ def conform_name(name: Column) -> Column:
     x = _chain(x, [(rf"\b{a}\b", b) for a, b in DIGIT_LETTERS.items()])
     x = _chain(x, ACIDS)
     x = F.regexp_replace(x, r"\bl-(" + "|".join([*L_NAMES, "aspartic acid", "glutamic acid"]) + ")", "$1")
-    x = _chain(x, SPELLING + SIGNS)
+    x = hyphens(_chain(x, SPELLING))
     half = (F.length(x) / 2).cast("int")
     twice = (F.length(x) % 2 == 0) & (F.length(x) > 0) & (F.substr(x, F.lit(1), half) == F.substr(x, half + 1, half))
     return F.when(twice, F.substr(x, F.lit(1), half)).otherwise(x)
