@@ -1,9 +1,14 @@
 """Telephony audio columns: G.711 expansion by lookup tables, IMA ADPCM blocks decoded across blocks, resampled PCM.
 
 * ``store_audio`` puts bytes into a mu-law or A-law WAV file, one byte a sample, so that any payload is kept as it is.
-* ``read_audio`` reads those files, expands the samples, resamples 8 kHz to 16 kHz PCM and computes features.
+  Without a given law the payload's CRC decides, so that equal payloads have equal files.
+* ``read_audio`` reads those files, expands the samples, resamples 8 kHz to 16 kHz PCM, which is a column of its result,
+  and computes features.
 * ``decode_adpcm`` decodes blocks of an IMA ADPCM stream, all blocks at once, one nibble position a step.
 
+Files and PCM are written to the shared folder as tables; the query's rows come from what is read there. Texts of any
+length are one file, up to the 4 GB of the format.
+
 Nulls and empty texts give one unit of 64 zero bytes. Equal payloads give equal rows, whatever stands beside them.
 Extra columns are ignored; repeated rows are kept; an empty table gives an empty table.
 """
@@ -20,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, id_text, map_batches, slices
+from .common import arrow_batch, discard, id_text, map_batches, slices, written
 
 UNIT = 64
 FORMATS = {"alaw": 6, "mulaw": 7}
+LAWS = ("mulaw", "alaw")
 
 # Step sizes and index changes of the IMA ADPCM format.
 IMA_STEPS = np.array([7, 8, 9, 10, 11, 12, 13, 14, 16, 17, 19, 21, 23, 25, 28, 31, 34, 37, 41, 45, 50, 55, 60, 66, 73, 80, 88, 97, 107, 118, 130, 143, 157, 173, 190, 209, 230, 253, 279, 307, 337, 371, 408, 449, 494, 544, 598, 658, 724, 796, 876, 963, 1060, 1166, 1282, 1411, 1552, 1707, 1878, 2066, 2272, 2499, 2749, 3024, 3327, 3660, 4026, 4428, 4871, 5358, 5894, 6484, 7132, 7845, 8630, 9493, 10442, 11487, 12635, 13899, 15289, 16818, 18500, 20350, 22385, 24623, 27086, 29794, 32767], np.int32)
@@ -110,7 +116,7 @@ def resample_double(pcm: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 STORED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
 
-def store_audio(docs: DataFrame, codec: str = "mulaw", rate: int = 8000) -> DataFrame:
+def store_audio(docs: DataFrame, codec: str | None = None, rate: int = 8000) -> DataFrame:
     """doc_id, n_bytes and media: each text's bytes, padded to a multiple of 64, as samples of a WAV file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,24 +126,23 @@ def store_audio(docs: DataFrame, codec: str = "mulaw", rate: int = 8000) -> Data
                 files = []
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
                     payload = raw[a:b]
-                    files.append(wav_file(payload + b"\0" * (max(1, -(-len(payload) // UNIT)) * UNIT - len(payload)), codec, rate))
+                    payload += b"\0" * (max(1, -(-len(payload) // UNIT)) * UNIT - len(payload))
+                    files.append(wav_file(payload, codec or LAWS[zlib.crc32(payload) & 1], rate))
                 yield arrow_batch(STORED, doc_id=rows.column(0), n_bytes=np.diff(offs), media=files)
 
     return map_batches(id_text(docs), run, "doc_id long, n_bytes long, media binary")
 
 
-READ = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
-READ_DDL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+READ = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("pcm", pa.binary())])
+READ_DDL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm binary"
 
 
-def read_audio(stored: DataFrame, pcm: bool = False) -> DataFrame:
-    """Read stored files back: digests of payload and file, and the feature string; with ``pcm`` also the 16 kHz PCM.
+def read_audio(stored: DataFrame) -> DataFrame:
+    """Read stored files back: digests of payload and file, the feature string and the 16 kHz PCM.
 
-    Features are RMS of the expanded samples, their zero crossings, RMS and peak of the payload taken as ADPCM blocks
+    Features are the law, RMS of the expanded samples, their zero crossings, RMS and peak of the payload taken as ADPCM blocks
     of 64 bytes, and length and CRC of the resampled PCM.
     """
-    schema = READ.append(pa.field("pcm", pa.binary())) if pcm else READ
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in slices(batch, "media"):
@@ -165,18 +170,25 @@ def read_audio(stored: DataFrame, pcm: bool = False) -> DataFrame:
                 for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
                     out = double[4 * a : 4 * b]
                     n = b - a
-                    features.append(f"rms={np.sqrt(power[k] / n):.3f};zc={crossings[k]};adpcm_rms={np.sqrt(a_power[k] / (n // UNIT * 121)):.3f};adpcm_peak={a_peak[k]};pcm16k={2 * n}:{zlib.crc32(out)}")
-                    if pcm:
-                        more.append(out)
+                    features.append(f"law={found[k][0]};rms={np.sqrt(power[k] / n):.3f};zc={crossings[k]};adpcm_rms={np.sqrt(a_power[k] / (n // UNIT * 121)):.3f};adpcm_peak={a_peak[k]};pcm16k={2 * n}:{zlib.crc32(out)}")
+                    more.append(out)
                 yield arrow_batch(
-                    schema, doc_id=rows.column(0), n_bytes=rows.column(1), payload_bytes=sizes, payload_sha256=[hashlib.sha256(x).hexdigest() for x in parts], tail_crc32=[zlib.crc32(x[-UNIT:]) for x in parts],
-                    media_bytes=np.diff(offs), media_sha256=[hashlib.sha256(x).hexdigest() for x in files], feature=features, **({"pcm": more} if pcm else {}),
+                    READ, doc_id=rows.column(0), n_bytes=rows.column(1), payload_bytes=sizes, payload_sha256=[hashlib.sha256(x).hexdigest() for x in parts], tail_crc32=[zlib.crc32(x[-UNIT:]) for x in parts],
+                    media_bytes=np.diff(offs), media_sha256=[hashlib.sha256(x).hexdigest() for x in files], feature=features, pcm=more,
                 )
 
-    return map_batches(stored.select("doc_id", "n_bytes", "media"), run, READ_DDL + (", pcm binary" if pcm else ""))
+    return map_batches(stored.select("doc_id", "n_bytes", "media"), run, READ_DDL)
+
+
+def telephony_audio(docs: DataFrame) -> DataFrame:
+    """Rows of ``read_audio`` by way of both stored forms, with length and digest of the stored PCM in its place."""
+    files = written(store_audio(docs), "audio-files", "zstd")
+    pcm = written(read_audio(files), "audio-pcm", "zstd")
+    discard(files)
+    return pcm.select("*", F.octet_length("pcm").cast("long").alias("pcm_bytes"), F.sha2("pcm", 256).alias("pcm_sha256")).drop("pcm")
 
 
 def op1_telephony_audio(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
-    return read_audio(store_audio(table(spark, sf_dir, "documents")))
+    return telephony_audio(table(spark, sf_dir, "documents"))

@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a table in the shared folder and read it: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/pixelweave/{spark.sparkContext.applicationId}"
@@ -52,7 +52,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
         _own[folder] = folder
         atexit.register(_remove, spark, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     back = spark.read.schema(df.schema).parquet(path)
     back._pw_path = path
     return back

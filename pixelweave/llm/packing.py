@@ -3,11 +3,15 @@
 Whole windows are cut from long documents first. What remains of each document is one piece shorter than a window;
 only the histogram of these lengths (fewer than ``window`` bins) reaches the driver. There ``plan`` enumerates
 combinations of at most eight lengths that fill a window, solves repeat counts against the histogram by non-negative
-least squares, rounds them down, and packs what is left greedily, cutting a piece where nothing else fills a gap.
+least squares and rounds them, does so again with the residual histogram while that places more, and packs what is left
+greedily, cutting a piece where nothing else fills a gap.
 
 The plan maps (length, rank of the piece among those of that length) to (sequence, offset) by ranges of ranks, so its
 size depends on the number of lengths and not on the number of documents. Ranks come from counts for each task of the
-tokenizing stage and a running total over tasks.
+tokenizing stage and a running total over tasks; both sides of their join are shuffled, at every size, as these counts
+grow with the tasks.
+
+A text of any length is tokenized whole.
 
 Null texts are empty and still carry the closing id. Rows with equal or null doc_id are packed as rows of their own.
 Extra columns are ignored; an empty table gives an empty table.
@@ -33,6 +37,8 @@ END_ID = 2
 #: A gap below this is left as padding; a larger one is filled by cutting a piece.
 SMALL_GAP = 16
 MEMO_CHUNKS = 1_000_000
+#: Times that the counts that are left are solved anew.
+ROUNDS = 16
 #: Sequences that are one whole window of one document are numbered from here.
 WHOLE_BASE = 1 << 62
 
@@ -148,11 +154,12 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
     return map_batches(id_text(docs), run, TOKENIZED_DDL, "packing")
 
 
-def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, slack: int, depth: int = 6, thirds: int = 8) -> np.ndarray:
+def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, slack: int, depth: int = 6, thirds: int = 8, mixed: int = 6) -> np.ndarray:
     """Rows of at most depth + 2 lengths (0: none) whose sum is at most the window and short of it by ``slack`` at most.
 
     Each length one to ``depth`` times, alone or with one of the most frequent lengths, and the nearest complement of
-    what they leave: at most depth * (1 + thirds) combinations a length.
+    what they leave; and each length with one to depth + 1 others, each near an equal share of what is left, in ``mixed``
+    variants, the last one again the nearest complement. A bounded number for each length.
     """
     out = []
     common = lengths[np.argsort(-counts, kind="stable")[:thirds]]
@@ -164,7 +171,20 @@ def combinations(lengths: np.ndarray, counts: np.ndarray, window: int, slack: in
             rows = np.zeros((len(lengths), depth + 2), np.int64)
             rows[:, :times], rows[:, depth], rows[:, depth + 1] = lengths[:, None], second, last
             out.append(rows[(left >= 0) & (rows.sum(axis=1) >= window - slack)])
-    return np.unique(np.concatenate(out), axis=0)
+    for parts in range(2, depth + 3):
+        for variant in range(mixed):
+            rows = np.zeros((len(lengths), depth + 2), np.int64)
+            rows[:, 0] = lengths
+            left = window - lengths
+            for k in range(1, parts):
+                share = left if k == parts - 1 else left // (parts - k)
+                at = np.searchsorted(lengths, share, "right") - 1
+                if k < parts - 1:  # others beside the nearest one: rows differ, and so do the lengths within one
+                    at = at - (variant * (2 * k - 1)) % max(1, len(lengths))
+                rows[:, k] = np.where((left > 0) & (at >= 0), lengths[np.maximum(at, 0)], 0)
+                left = left - rows[:, k]
+            out.append(rows[(left >= 0) & (left <= slack)])
+    return np.unique(np.sort(np.concatenate(out), axis=1)[:, ::-1], axis=0)
 
 
 def solve_counts(combos: np.ndarray, histogram: np.ndarray, rounds: int = 400) -> np.ndarray:
@@ -217,23 +237,31 @@ def plan(histogram: np.ndarray, window: int = WINDOW, slack: int = 8, small_gap:
             offset += cut or length
         sequences += times
 
-    lengths = np.flatnonzero(left)
-    lengths = lengths[lengths > 0]
-    if len(lengths):
-        combos = combinations(lengths, left[lengths], window, slack)
-        counts = solve_counts(combos, left)
-        first = combos.max(axis=1)
-        best = np.zeros(window)
-        np.maximum.at(best, first, counts)
-        combos = combos[counts >= best[first]]  # one combination a length: rounding down then loses little
-        counts = solve_counts(combos, left)
+    for turn in range(ROUNDS):
+        lengths = np.flatnonzero(left)
+        lengths = lengths[lengths > 0]
+        combos = combinations(lengths, left[lengths], window, slack) if len(lengths) else np.zeros((0, 1), np.int64)
+        if not len(combos):
+            break
+        counts = solve_counts(combos, left, 60)
+        first = combos[:, 0]
+        # of each longest length the combinations with most repeats: rounding then loses little
+        order = np.lexsort((-counts, first))
+        rank = np.arange(len(order)) - np.searchsorted(first[order], first[order])
+        combos = combos[order[rank < (1 if turn == 0 else 4)]]
+        counts = solve_counts(combos, left, 200)
+        before = sequences
         for k in np.argsort(-counts, kind="stable"):
-            if counts[k] < 1:
+            # first rounded down, so that large counts are shared as solved; what is left is solved anew and rounded up
+            want = int(counts[k]) if turn == 0 else max(1, round(counts[k]))
+            if not want:
                 break
             pattern = [(int(x), 0) for x in combos[k] if x]
-            times = min([int(counts[k]), *(int(left[x]) // sum(y == x for y, _ in pattern) for x, _ in pattern)])
+            times = min([want, *(int(left[x]) // sum(y == x for y, _ in pattern) for x, _ in pattern)])
             if times:
                 place(pattern, times)
+        if turn and sequences == before:
+            break
     by_solution = sequences
     while left[1:].any():
         there = np.flatnonzero(left[1:]) + 1
@@ -312,7 +340,7 @@ def pack(tokenized: DataFrame, unit: int, window: int = WINDOW, keep_ids: bool =
                 more = {"ids": [bytes(x) for x in spans]} if keep_ids else {}
                 yield arrow_batch(schema, doc_id=doc.take(pa.array(row)), start=at, length=size, ids_crc32=[zlib.crc32(x) for x in spans], doc_tokens=n[row], sequence_id=seq, offset=off, **more)
 
-    joined = tokenized.join(shift, ["part", "rem"], "left").select("ids", "doc_id", "part", "n", "rem", (F.col("rank") + F.coalesce("shift", F.lit(0))).alias("rank"), "whole")
+    joined = tokenized.join(shift.hint("shuffle_hash"), ["part", "rem"], "left").select("ids", "doc_id", "part", "n", "rem", (F.col("rank") + F.coalesce("shift", F.lit(0))).alias("rank"), "whole")
     return map_batches(joined, run, PIECES_DDL + (", ids binary" if keep_ids else ""))
 
 

@@ -1,14 +1,17 @@
 """Quality classifier: regularised quadratic discriminant over transformed document statistics.
 
 ``features`` reads every text once and turns it into NAMES (numpy over whole Arrow batches): logarithms of counts,
-square roots of shares. ``fit`` sums moments of the labelled training rows by class in Spark; the driver gets one row a
-class and cell of the moments, shrinks each class covariance towards the pooled one and that towards a multiple of the identity, and keeps their
-Cholesky factors. ``score`` is the logistic of the difference of the two log densities (Mahalanobis distances by
-triangular solves with the factors, log determinants) and the log ratio of the priors.
-
-Null texts are empty and have a score like any other. Labels that are null or neither 0 nor 1 are left out; equal label
-rows count once. Without two rows of each class every score is the share of class 1 among the labels, 0.5 without any.
-Repeated documents are scored one by one; extra columns are ignored; an empty table gives an empty table.
+square roots of shares. ``fit`` sums moments of the labelled training rows by class and fold in Spark; the driver gets
+one row a class, fold and cell of the moments. Each class covariance is shrunk towards the pooled one and that towards
+its diagonal; how far is chosen from GRID by the likelihood of each fold under the moments of the others, which needs
+moments only. The Cholesky factors of the shrunk covariances are kept. ``score`` is the logistic of the difference of
+the two log densities (Mahalanobis distances by forward substitution with the factors, log determinants) and the log
+ratio of the priors.
+
+Null texts are empty and have a score like any other; texts of any length are read whole. Labels that are null or
+neither 0 nor 1 are left out; equal label rows count once. Without two rows of each class every score is the share of
+class 1 among the labels, 0.5 without any. Repeated documents are scored one by one; extra columns are ignored; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from .hashing import LOWER, U, WHITE, mix, span_hashes, words
 from .quality_rules import STOP_WORDS
 
 THRESHOLD = 0.7
-#: Weight of the pooled covariance, and of the identity, in each class covariance.
-POOLED, ROUND = 0.1, 0.05
+#: Weights of the pooled covariance, and of the diagonal, in each class covariance, of which the likeliest are taken.
+GRID = [(p, r) for p in (0.02, 0.05, 0.1, 0.2, 0.4, 0.8) for r in (0.005, 0.01, 0.05, 0.1, 0.3)]
+FOLDS = 3
 
 NAMES = [
     "log_bytes", "log_words", "mean_word", "spread_word", "upper", "digit", "symbol", "bar", "exclaim", "point", "comma", "break", "other",
@@ -109,62 +113,105 @@ def features(docs: DataFrame) -> DataFrame:
     return map_batches(id_text(docs), run, "doc_id long, x array<double>")
 
 
+def substitute(factor: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Rows y with factor @ y = z for a lower triangular factor and each row z."""
+    y = np.empty_like(z)
+    for k in range(len(factor)):
+        y[:, k] = (z[:, k] - y[:, :k] @ factor[k, :k]) / factor[k, k]
+    return y
+
+
 @dataclass
 class Discriminant:
-    """Means, inverse Cholesky factors and constants of class 0 and 1; none: every score is ``share``."""
+    """Means, lower Cholesky factors and constants of class 0 and 1; none: every score is ``share``."""
 
     mean: list[np.ndarray] | None
-    inverse: list[np.ndarray] | None
+    factor: list[np.ndarray] | None
     constant: list[float] | None
     share: float
+    weights: tuple[float, float] | None = None
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.mean is None:
             return np.full(len(x), self.share)
-        log = [c - 0.5 * (((x - m) @ i.T) ** 2).sum(axis=1) for m, i, c in zip(self.mean, self.inverse, self.constant, strict=True)]
+        log = [c - 0.5 * (substitute(f, x - m) ** 2).sum(axis=1) for m, f, c in zip(self.mean, self.factor, self.constant, strict=True)]
         return 1 / (1 + np.exp(-np.clip(log[1] - log[0], -30, 30)))
 
 
+def moments_of(sums: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Number, mean and covariance from (n, sums, sums of products)."""
+    d = len(NAMES)
+    mean = sums[1 : 1 + d] / sums[0]
+    return sums[0], mean, sums[1 + d :].reshape(d, d) / sums[0] - np.outer(mean, mean)
+
+
+def shrunk(cov: np.ndarray, both: np.ndarray, pooled: float, diagonal: float) -> np.ndarray:
+    """Lower Cholesky factor of the regularised covariance."""
+    s = (1 - pooled) * cov + pooled * both
+    return np.linalg.cholesky((1 - diagonal) * s + diagonal * np.diag(np.maximum(np.diag(both), 1e-12)) + 1e-9 * np.eye(len(s)))
+
+
+def solved(sums: np.ndarray, pooled: float, diagonal: float) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
+    """Means, factors and constants from the moments of class 0 and 1."""
+    (n0, m0, c0), (n1, m1, c1) = map(moments_of, sums)
+    both = (n0 * c0 + n1 * c1) / (n0 + n1)
+    factors = [shrunk(c, both, pooled, diagonal) for c in (c0, c1)]
+    return [m0, m1], factors, [float(np.log(n / (n0 + n1)) - np.log(np.diag(f)).sum()) for n, f in zip((n0, n1), factors, strict=True)]
+
+
+def chosen(sums: np.ndarray) -> tuple[float, float]:
+    """Of GRID the weights under which each fold's rows are likeliest, given the other folds. sums: class, fold, moments."""
+    folds = [k for k in range(FOLDS) if (sums[:, k, 0] > 0).all() and (sums.sum(axis=1)[:, 0] - sums[:, k, 0] >= 2).all()]
+    if not folds:
+        return 0.1, 0.05
+
+    def likelihood(weights: tuple[float, float]) -> float:
+        total = 0.0
+        for k in folds:
+            means, factors, _ = solved(sums.sum(axis=1) - sums[:, k], *weights)
+            for own, m, f in zip(sums[:, k], means, factors, strict=True):
+                n, mean, cov = moments_of(own)
+                # the mean squared distance is the trace of the products of differences under the inverse
+                about = cov + np.outer(mean - m, mean - m)
+                distance = np.trace(substitute(f, substitute(f, about).T))
+                total -= n * (0.5 * distance + np.log(np.diag(f)).sum())
+        return total
+
+    return max(GRID, key=likelihood)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(feats: DataFrame, labels: DataFrame, pooled: float = POOLED, round_: float = ROUND) -> Discriminant:
-    """From rows of labels (doc_id, quality) that aren't held out."""
+def fit(feats: DataFrame, labels: DataFrame, weights: tuple[float, float] | None = None) -> Discriminant:
+    """From rows of labels (doc_id, quality) that aren't held out; weights are chosen where none are given."""
     own = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("q")).where(~held_out(F.col("doc_id"))).distinct()
-    rows = feats.join(own, "doc_id").select("q", "x")
+    rows = feats.join(own, "doc_id").select("q", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"), "x")
     d = len(NAMES)
+    cells = 1 + d + d * d
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 + d + d * d))
+        total = np.zeros((2, FOLDS, cells))
         for batch in batches:
-            q = batch.column(0).to_numpy()
-            x = batch.column(1).flatten().to_numpy().reshape(-1, d)
+            q, fold = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            x = batch.column(2).flatten().to_numpy().reshape(-1, d)
             for c in (0, 1):
-                own = x[q == c]
-                total[c] += np.r_[len(own), own.sum(axis=0), (own.T @ own).ravel()]
-        k = total.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], k), pa.int32()), pa.array(np.tile(np.arange(k), 2), pa.int32()), pa.array(total.ravel())], names=["q", "cell", "v"])
-
-    sums = np.zeros((2, 1 + d + d * d))
-    for r in map_batches(rows, moments, "q int, cell int, v double").groupBy("q", "cell").agg(F.sum("v").alias("v")).collect():  # 2 * (1 + d + d * d) rows
-        sums[r["q"], r["cell"]] = r["v"]
-    n = sums[:, 0]
+                for k in range(FOLDS):
+                    some = x[(q == c) & (fold == k)]
+                    total[c, k] += np.r_[len(some), some.sum(axis=0), (some.T @ some).ravel()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())], names=["cell", "v"])
+
+    sums = np.zeros(2 * FOLDS * cells)
+    for r in map_batches(rows, moments, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect():  # as many rows as cells
+        sums[r["cell"]] = r["v"]
+    sums = sums.reshape(2, FOLDS, cells)
+    n = sums[:, :, 0].sum(axis=1)
     share = float(n[1] / n.sum()) if n.sum() else 0.5
     if n.min() < 2:
         return Discriminant(None, None, None, share)
-    mean = [sums[c, 1 : 1 + d] / n[c] for c in (0, 1)]
-    cov = [sums[c, 1 + d :].reshape(d, d) / n[c] - np.outer(mean[c], mean[c]) for c in (0, 1)]
-    both = (n[0] * cov[0] + n[1] * cov[1]) / n.sum()
-    inverse, constant = [], []
-    scale = np.sqrt(np.maximum(np.diag(both), 1e-12))  # the identity stands for equal shares of each statistic's spread
-    for c in (0, 1):
-        s = (1 - pooled) * cov[c] + pooled * both
-        s = (1 - round_) * s + round_ * np.diag(scale * scale) + 1e-9 * np.eye(d)
-        factor = np.linalg.cholesky(s)
-        inverse.append(np.linalg.solve(factor, np.eye(d)))
-        constant.append(float(np.log(n[c] / n.sum()) - np.log(np.diag(factor)).sum()))
-    return Discriminant(mean, inverse, constant, share)
+    weights = weights or chosen(sums)
+    return Discriminant(*solved(sums.sum(axis=1), *weights), share, weights)
 
 
 SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])

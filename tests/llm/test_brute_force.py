@@ -33,7 +33,7 @@ def odd_texts(n, alphabet, seed=1, most=60):
 
 
 def test_audio_round_trip(spark, texts):
-    for codec in ("mulaw", "alaw"):
+    for codec in ("mulaw", "alaw", None):
         got = {r.doc_id: r for r in audio.read_audio(audio.store_audio(spark.read.parquet(f"{SF}/documents.parquet"), codec)).collect()}
         for k, t in texts.items():
             raw = (t or "").encode()
@@ -41,6 +41,44 @@ def test_audio_round_trip(spark, texts):
             assert (got[k].n_bytes, got[k].payload_bytes, got[k].payload_sha256, got[k].tail_crc32) == (len(raw), len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-64:]))
 
 
+def plain_audio(payload):
+    """Feature string and PCM, sample by sample."""
+    law = audio.LAWS[zlib.crc32(payload) & 1]
+    x = [int(audio.EXPAND[law][b]) for b in payload]
+    crossings = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:]))
+    adpcm = []
+    for k in range(0, len(payload), 64):
+        b = payload[k : k + 64]
+        value, index = int.from_bytes(b[:2], "little", signed=True), min(b[2], 88)
+        adpcm.append(value)
+        for byte in b[4:]:
+            for nib in (byte & 15, byte >> 4):
+                step = int(audio.IMA_STEPS[index])
+                d = (step >> 3) + (step if nib & 4 else 0) + (step >> 1 if nib & 2 else 0) + (step >> 2 if nib & 1 else 0)
+                value = max(-32768, min(32767, value - d if nib & 8 else value + d))
+                index = max(0, min(88, index + int(audio.IMA_INDEX[nib])))
+                adpcm.append(value)
+    pcm = []
+    for k, v in enumerate(x):
+        at = lambda j: x[min(max(j, 0), len(x) - 1)]
+        pcm += [v, max(-32768, min(32767, (9 * (v + at(k + 1)) - at(k - 1) - at(min(k + 1, len(x) - 1) + 1) + 8) >> 4))]
+    pcm = np.array(pcm, "<i2").tobytes()
+    rms = lambda y: (sum(v * v for v in y) / len(y)) ** 0.5
+    return f"law={law};rms={rms(x):.3f};zc={crossings};adpcm_rms={rms(adpcm):.3f};adpcm_peak={max(map(abs, adpcm))};pcm16k={2 * len(x)}:{zlib.crc32(pcm)}", pcm
+
+
+def test_audio_features_and_stored_pcm(spark, texts):
+    some = {k: t for k, t in texts.items() if len(t or "") < 4000}
+    docs = spark.createDataFrame(list(some.items()), "doc_id long, text string").repartition(3)
+    laws = set()
+    for r in audio.telephony_audio(docs).collect():
+        raw = (some[r.doc_id] or "").encode()
+        feature, pcm = plain_audio(raw + b"\0" * (max(1, -(-len(raw) // 64)) * 64 - len(raw)))
+        assert (r.feature, r.pcm_bytes, r.pcm_sha256) == (feature, len(pcm), hashlib.sha256(pcm).hexdigest())
+        laws.add(r.feature.split(";")[0])
+    assert len(some) > 100 and len(laws) == 2
+
+
 def test_g711_tables():
     assert audio.EXPAND["mulaw"][0xFF] == 0 and audio.EXPAND["mulaw"][0x00] == -32124 and audio.EXPAND["mulaw"][0x80] == 32124
     assert audio.EXPAND["alaw"][0xD5] == 8 and audio.EXPAND["alaw"][0x55] == -8 and audio.EXPAND["alaw"][0xAA] == 32256
@@ -117,12 +155,81 @@ def test_discriminant_equals_log_densities():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(50, 3))
     means, covs, prior = [rng.normal(size=3) for _ in "ab"], [np.diag([1, 2, 3.0]), np.diag([2, 1, 0.5])], [0.3, 0.7]
-    inverse = [np.linalg.inv(np.linalg.cholesky(c)) for c in covs]
-    m = qda.Discriminant(means, inverse, [np.log(p) - 0.5 * np.log(np.linalg.det(c)) for p, c in zip(prior, covs, strict=True)], 0.5)
+    m = qda.Discriminant(means, [np.linalg.cholesky(c) for c in covs], [np.log(p) - 0.5 * np.log(np.linalg.det(c)) for p, c in zip(prior, covs, strict=True)], 0.5)
     dens = [p * np.exp(-0.5 * np.einsum("ij,jk,ik->i", x - u, np.linalg.inv(c), x - u)) / np.sqrt(np.linalg.det(c)) for p, u, c in zip(prior, means, covs, strict=True)]
     assert np.allclose(m.score(x), dens[1] / (dens[0] + dens[1]))
 
 
+def plain_statistics(t):
+    """NAMES of one text, by counting."""
+    raw = (t or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    low = [re.sub(rb"[A-Z]", lambda m: m[0].lower(), w) for w in words]
+    n, count = max(1, len(raw)), max(1, len(words))
+    length = [len(w) for w in words]
+    mean = sum(length) / count
+    spread = max(0, sum(x * x for x in length) / count - mean * mean) ** 0.5
+    shares = [sum(b in chars for b in raw) / n for chars in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>", b"|", b"!", b".", b",", b"\n", b"\"'()-/:;=?@[\\]^_`{}~+")]
+    stop = {w.encode() for ws in quality_rules.STOP_WORDS.values() for w in ws}
+    distinct = lambda xs: len(set(xs)) / len(xs) if xs else 1
+    lines = [x for x in re.split(rb"(?<=\n)", raw) if x]
+    top = max((low.count(w) for w in set(low)), default=0) / count
+    joint = [sum(b >> 2 == k for b in raw) / n for k in range(64)]
+    entropy = -sum(p * np.log2(p) for p in joint if p)
+    return [
+        np.log1p(len(raw)), np.log1p(len(words)), np.log1p(mean), np.log1p(spread), *np.sqrt(shares), np.sqrt(sum(w in stop for w in low) / count), np.sqrt(distinct(low)), np.sqrt(distinct(lines)),
+        np.sqrt(distinct(list(zip(low, low[1:], low[2:])))), entropy, np.sqrt(sum(x > 15 for x in length) / count), np.sqrt(top),
+    ]
+
+
+def test_statistics_against_counting(texts):
+    some = [t or "" for t in texts.values() if len(t or "") < 3000][:60] + odd_texts(60, "aB the \n|.,é日#9!") + ["", " \n", "x" * 700]
+    data = np.frombuffer("".join(some).encode(), np.uint8)
+    got = qda.statistics(data, np.r_[0, np.cumsum([len(t.encode()) for t in some])])
+    for t, row in zip(some, got, strict=True):
+        assert np.allclose(row, plain_statistics(t), atol=1e-9), t
+
+
+def test_moments_and_weights(spark):
+    """Scores follow from the labelled rows that aren't held out, by the plain formulas, and from no other label."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    feats = qda.features(docs).cache()
+    m = qda.fit(feats, labels)
+    rows = {r.doc_id: r.x for r in feats.collect()}
+    train = [(r.doc_id, r.quality) for r in labels.collect() if r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.doc_id in rows]
+    x, q = np.array([rows[k] for k, _ in train]), np.array([c for _, c in train])
+    cov = [np.cov(x[q == c].T, bias=True) for c in (0, 1)]
+    both = (np.sum(q == 0) * cov[0] + np.sum(q == 1) * cov[1]) / len(q)
+    p, r = m.weights
+    assert m.weights in qda.GRID
+    for c in (0, 1):
+        s = (1 - r) * ((1 - p) * cov[c] + p * both) + r * np.diag(np.maximum(np.diag(both), 1e-12)) + 1e-9 * np.eye(len(both))
+        assert np.allclose(m.mean[c], x[q == c].mean(axis=0)) and np.allclose(m.factor[c] @ m.factor[c].T, s, atol=1e-6)
+        assert np.isclose(m.constant[c], np.log(np.mean(q == c)) - 0.5 * np.linalg.slogdet(s)[1], atol=1e-4)
+    other = labels.withColumn("quality", F.when(qda.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert qda.fit(feats, other).constant == pytest.approx(m.constant)
+    feats.unpersist()
+
+
+def test_chosen_weights_are_the_likeliest():
+    """The likelihood from moments equals that of the rows."""
+    rng, d = np.random.default_rng(2), len(qda.NAMES)
+    x = [[rng.normal(c, 1 + c, (40 + 10 * k, d)) for k in range(qda.FOLDS)] for c in (0, 1)]
+    sums = np.array([[np.r_[len(y), y.sum(axis=0), (y.T @ y).ravel()] for y in rows] for rows in x])
+
+    def likelihood(w):
+        total = 0
+        for k in range(qda.FOLDS):
+            means, factors, _ = qda.solved(sums.sum(axis=1) - sums[:, k], *w)
+            for c in (0, 1):
+                y = np.linalg.solve(factors[c], (x[c][k] - means[c]).T)
+                total -= 0.5 * (y * y).sum() + len(x[c][k]) * np.log(np.diag(factors[c])).sum()
+        return total
+
+    assert qda.chosen(sums) == max(qda.GRID, key=likelihood)
+
+
 # --- op4 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -168,6 +275,18 @@ def test_plan_places_each_piece_once(counts):
         assert len(cells) <= lengths.sum() // 4096 + 2 + lengths.sum() // 4096 // 50
 
 
+@pytest.mark.parametrize(("sf", "share"), [("0.001", 0.75), ("0.01", 0.95)])
+def test_most_sequences_come_from_the_solution(spark, sf, share):
+    """Also with few documents, whose lengths are nearly all different."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    h = np.zeros(4096, np.int64)
+    for r in packing.tokenize(spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet"), path).groupBy("rem").count().collect():
+        h[r["rem"]] = r["count"] if r["rem"] else 0
+    p = packing.plan(h)
+    assert p.by_solution >= share * p.sequences
+    assert (h * np.arange(4096)).sum() > 0.99 * 4096 * p.sequences
+
+
 def test_least_squares_is_near_optimal():
     combos = np.array([[3, 1], [2, 2], [1, 0]])
     h = np.array([0, 10.0, 8.0, 6.0])

@@ -27,7 +27,7 @@ def labels(spark):
 
 
 ROWWISE = {
-    "audio": lambda d, l: audio.read_audio(audio.store_audio(d)),
+    "audio": lambda d, l: audio.telephony_audio(d),
     "sharding": lambda d, l: sharding.extendible_shards(d, 1000),
     "qda": lambda d, l: qda.quality_scores(d, l),
     "jaccard": lambda d, l: jaccard_join.jaccard_classes(d),
