@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import math
-import shutil
-import tempfile
 import threading
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import discard, written
+
+__all__ = ["discard", "written"]
+
 #: Text bytes that one numpy step handles at once; one longer document is a step of its own.
 SLICE_BYTES = 1 << 20
 
@@ -26,50 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session that names none, as in
-    tests, gets one of its own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            _own[app] = tempfile.mkdtemp(prefix="pixelweave-")
-            atexit.register(shutil.rmtree, _own[app], True)
-        found = _own[app]
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write a table in the shared folder and read it: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    folder = f"{shared_dir(spark)}/pixelweave/{spark.sparkContext.applicationId}"
-    if folder not in _own:
-        _own[folder] = folder
-        atexit.register(_remove, spark, folder)
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._pw_path = path
-    return back
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):  # at exit the session may be gone
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Remove written tables that nothing reads any more; what is left goes when the application ends."""
-    for df in tables:
-        _remove(df.sparkSession, df._pw_path)
-
-
 def filter_bits(n: int, most: int = 29) -> int:
     """log2 of the slots of a bitmap for n keys: about 16 a key, 64 MB at most."""
     return min(most, max(16, math.ceil(math.log2(max(1, n))) + 4))
@@ -84,7 +40,7 @@ def bitmap_blocks(slots: DataFrame) -> DataFrame:
 def bitmap(slots: DataFrame, bits: int) -> np.ndarray:
     """That bitmap as an array of 2**bits / 8 bytes: bit k & 7 of byte k >> 3 is that of slot k."""
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in bitmap_blocks(slots).toLocalIterator():  # bounded by the size of the bitmap
+    for r in bitmap_blocks(slots).collect():  # 64 MB at most
         out[(r["block"] - 1) << 12 : r["block"] << 12] = np.frombuffer(r["bits"], np.uint8)
     return out
 
