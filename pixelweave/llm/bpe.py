@@ -36,6 +36,7 @@ from .common import CACHES, arrow_batch, id_text, map_batches, slices
 
 MEMO_CHUNKS = 800_000
 MEMO_STATES = 700_000
+BYTES = [bytes((k,)) for k in range(256)]
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,19 +131,20 @@ class Transducer:
     def step(self, state: int, byte: int) -> tuple[int, bytes]:
         """A new transition: where it leads and the ids that it emits."""
         before, opened = self.keys[state]
-        opened += bytes((byte,))
+        opened += BYTES[byte]
         last, parent = self.trees[state]
-        n = len(opened)
-        for j in range(max(0, n - self.longest), n):
-            token = opened[j:]
-            if token in self.ranks and self.beside(last[j], token):
+        n, ranks = len(opened), self.ranks
+        ends = [opened[j:] for j in range(max(0, n - self.longest), n)]
+        begin = n - len(ends)
+        for j, token in enumerate(ends, begin):
+            if token in ranks and self.beside(last[j], token):
                 last, parent = [*last, token], [*parent, j]
                 break
         else:
             raise ValueError("a byte is missing from the vocabulary")
         cut, prefixes = n, self.prefixes
-        for j in range(max(0, n - self.longest + 1), n):
-            if opened[j:] in prefixes:
+        for j, token in enumerate(ends, begin):
+            if token in prefixes:
                 while j != cut:
                     if j > cut:
                         j = parent[j]
@@ -152,9 +154,9 @@ class Transducer:
                     break
         emitted, k = b"", cut
         while k > 0:
-            emitted = self.ranks[last[k]].to_bytes(4, "little") + emitted
+            emitted = ranks[last[k]].to_bytes(4, "little") + emitted
             k = parent[k]
-        key = (last[cut] if cut else before, opened[cut:])
+        key = (last[cut], opened[cut:]) if cut else (before, opened)
         to = self.ids.get(key)
         if to is None:
             # Only positions that hang below the settled one can still be a parent.
@@ -162,7 +164,10 @@ class Transducer:
             if len(self.keys) > MEMO_STATES:
                 self.reset()
                 return self.state(key, tree), emitted
-            to = self.state(key, tree)
+            to = self.ids[key] = len(self.keys)
+            self.keys.append(key)
+            self.trees.append(tree)
+            self.finals.append(None)
         self.moves[state << 8 | byte] = found = (to, emitted)
         return found
 
@@ -180,11 +185,13 @@ class Transducer:
         """Ids of one match as little-endian unsigned 32-bit integers."""
         if (whole := self.ranks.get(word)) is not None:
             return whole.to_bytes(4, "little")
-        state, out, move = 0, bytearray(), self.moves.get
+        # appending to bytes costs least for short words, and the square of the length for long ones
+        state, out, move = 0, b"" if len(word) < 256 else bytearray(), self.moves.get
         for byte in word:
             state, emitted = move(state << 8 | byte) or self.step(state, byte)
             out += emitted
-        return bytes(out) + self.final(state)
+        out += self.final(state)
+        return bytes(out)
 
 
 class Encoder(dict):

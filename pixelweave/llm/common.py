@@ -14,9 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import discard, written
-
-__all__ = ["discard", "written"]
+from ..shared import discard, written  # noqa: F401 (taken from here by the operators)
 
 #: Text bytes that one numpy step handles at once; one longer document is a step of its own.
 SLICE_BYTES = 1 << 20
