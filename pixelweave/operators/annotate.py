@@ -10,10 +10,13 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import conform_name, to_number
+from ..shared import written
 
 # Masses of proton and electron (CODATA 2022), adduct offsets and charges.
 PROTON, ELECTRON = 1.0072764665789, 0.0005485799090441
@@ -114,33 +117,57 @@ def annotation_table(hits: DataFrame, keys: list[str], most: int = MOST_HITS) ->
     return own.select(*keys, "n_matches", *(text(c) for c in fields))
 
 
+#: Headers of an annotated table, with the field of ``annotation_table`` or of the hits that each shows.
+ANNOTATED = ["Adduct", "CCS", "PPM tolerence", "CCS matched", "Number of matches", "Formula", "Name", "InChI", "HMDB", "KEGG", "PubChemCID", "LipidMaps", "m/z database", "PPM error", "Source"]
+
+
+def annotated_peaks(table: DataFrame, hits: DataFrame, keys: list[str], most: int = MOST_HITS) -> DataFrame:
+    """Every row of a peak table, its own columns kept, with the fifteen columns of ANNOTATED before them; rows without a
+    hit have 0 matches and nothing else. Hits as ``escalate`` leaves them. An own column with such a name gets (own)."""
+    table = table.withColumnsRenamed({c: f"{c} (own)" for c in table.columns if c.lower() in {a.lower() for a in ANNOTATED}})
+    own = annotation_table(hits, keys, most)
+    joined = lambda c: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), " | ")
+    more = hits.groupBy(*keys).agg(
+        joined("adduct").alias("Adduct"), joined("ccs_db").alias("CCS"), F.min("tolerance").alias("PPM tolerence"), F.bool_or("ccs_matched").alias("CCS matched"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("source") == "LMAPS", F.col("mol_id")))), " | ").alias("LipidMaps"),
+        F.min_by("mz_db", F.struct("ppm", "mol_id")).alias("m/z database"), F.min("ppm").alias("PPM error"), joined("source").alias("Source"),
+    )
+    names = {"n_matches": "Number of matches", "formula": "Formula", "name": "Name", "inchi": "InChI", "hmdb": "HMDB", "kegg": "KEGG", "cid": "PubChemCID"}
+    found = own.withColumnsRenamed(names).join(more, keys)
+    out = table.join(found, keys, "left").withColumn("Number of matches", F.coalesce("Number of matches", F.lit(0)))
+    return out.select(*(F.col(f"`{c}`") for c in ANNOTATED), *(F.col(f"`{c}`") for c in table.columns))
+
+
 # --- neighbours ---------------------------------------------------------------------------------------------------------------
 
 
-def nearest(p: DataFrame, k: int, cell: int = 1, by: str | None = None) -> DataFrame:
-    """i, j, d of the k nearest other pixels (of the same ``by``) of each pixel, ties by name.
+def nearest(p: DataFrame, k: int, cell: int = 1, by: str | None = None, to: DataFrame | None = None) -> DataFrame:
+    """i, j, d of the k nearest other pixels (of the same ``by``) of each pixel, ties by name; with ``to`` of its pixels.
 
     Pixels of a cell and a ring of cells around it are candidates; the ring doubles for pixels that have fewer than k
-    within the distance it surely covers, until all have k or every cell was seen.
+    within the distance it surely covers, until all have k or every cell was seen. What is still open is written, so
+    that no ring looks again at those before it.
     """
     group = F.col(by) if by else F.lit(0)
-    own = p.select(F.col("pixel_id").alias("i"), F.col("x_coord").cast("double").alias("x"), F.col("y_coord").cast("double").alias("y"), group.alias("g"))
-    box = own.agg(F.max("x"), F.min("x"), F.max("y"), F.min("y")).first()  # four numbers
+    of = lambda q: q.select(F.col("pixel_id").alias("i"), F.col("x_coord").cast("double").alias("x"), F.col("y_coord").cast("double").alias("y"), group.alias("g"))
+    own = written(of(p), "pixels")
+    others = written(of(to), "pixels") if to is not None else own
+    box = own.unionByName(others).agg(F.max("x"), F.min("x"), F.max("y"), F.min("y")).first()  # four numbers
     span = max(box[0] - box[1], box[2] - box[3]) if box[0] is not None else 0.0
     out, open_, ring = None, own, max(1, math.ceil(math.sqrt(k) / 2))
     while True:
         near = F.explode(F.sequence(F.lit(-ring), F.lit(ring)))
         a = open_.withColumn("dx", near).withColumn("dy", near).select("i", "x", "y", "g", (F.floor(F.col("x") / cell) + F.col("dx")).alias("cx"), (F.floor(F.col("y") / cell) + F.col("dy")).alias("cy"))
-        b = own.select(F.col("i").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"), "g", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
+        b = others.select(F.col("i").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"), "g", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
         d = F.sqrt(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2))
         ranked = a.join(b, ["g", "cx", "cy"]).where("i <> j").select("i", "j", d.alias("d")).withColumn("rank", F.row_number().over(Window.partitionBy("i").orderBy("d", "j"))).where(F.col("rank") <= k)
+        ranked = written(ranked, "ring")
         if ring * cell >= span + cell:
             found = ranked.drop("rank")
             return found if out is None else out.unionByName(found)
         sure = ranked.where((F.col("rank") == k) & (F.col("d") <= ring * cell)).select("i")
         found = ranked.join(sure, "i", "left_semi").drop("rank")
         out = found if out is None else out.unionByName(found)
-        open_ = open_.join(sure, "i", "left_anti")
+        open_ = written(open_.join(sure, "i", "left_anti"), "open")
         if open_.isEmpty():
             return out
         ring *= 2
@@ -154,9 +181,31 @@ def inverse_distance_weights(p: DataFrame) -> DataFrame:
     return d.crossJoin(F.broadcast(d.agg(F.max("d").alias("far")))).select("i", "j", F.when(F.col("d") > 0, F.col("far") / F.col("d")).alias("w"))
 
 
+#: Pixels inside a domain (16 bytes each) that are sent to every task for mean distances; more are joined.
+MOST_INSIDE = 1_000_000
+
+
 def distance_to_domain(p: DataFrame, reference: str, how: str = "avg", column: str = "hc_manual") -> DataFrame:
-    """Mean or smallest distance of the pixels outside a domain to those inside."""
-    ref = p.where(F.col(column) == reference).select(F.col("x_coord").alias("x2"), F.col("y_coord").alias("y2"))
-    d = F.sqrt(F.pow(F.col("x_coord") - F.col("x2"), 2) + F.pow(F.col("y_coord") - F.col("y2"), 2))
-    each = p.where(F.col(column) != reference).crossJoin(ref)
-    return each.groupBy("pixel_id").agg((F.avg(d) if how == "avg" else F.min(d)).alias("dist"))
+    """Mean or smallest distance of the pixels outside a domain to those inside.
+
+    The smallest one comes from rings of cells. A mean needs every pair by definition; each outside pixel is one row of
+    an array computation over the inside ones.
+    """
+    inside, outside = p.where(F.col(column) == reference), p.where(F.col(column) != reference)
+    if how == "min":
+        return nearest(outside, 1, cell=2, to=inside).select(F.col("i").alias("pixel_id"), F.col("d").alias("dist"))
+    ref = inside.select(F.col("x_coord").cast("double").alias("x2"), F.col("y_coord").cast("double").alias("y2"))
+    if ref.limit(MOST_INSIDE + 1).count() > MOST_INSIDE:
+        d = F.sqrt(F.pow(F.col("x_coord") - F.col("x2"), 2) + F.pow(F.col("y_coord") - F.col("y2"), 2))
+        return outside.crossJoin(ref).groupBy("pixel_id").agg(F.avg(d).alias("dist"))
+    e = ref.toArrow()
+    sent = p.sparkSession.sparkContext.broadcast((e.column(0).to_numpy(), e.column(1).to_numpy()))
+
+    def run(batches):
+        x2, y2 = sent.value
+        for df in batches:
+            if len(x2):
+                dist = [float(np.sqrt((x - x2) ** 2 + (y - y2) ** 2).mean()) for x, y in zip(df.x, df.y, strict=True)]
+                yield pd.DataFrame({"pixel_id": df.pixel_id, "dist": dist})
+
+    return outside.select("pixel_id", F.col("x_coord").cast("double").alias("x"), F.col("y_coord").cast("double").alias("y")).mapInPandas(run, "pixel_id string, dist double")

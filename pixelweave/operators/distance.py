@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 256
@@ -32,11 +32,26 @@ class Metric:
     power: float = 1.0
 
 
+def dense(m: DataFrame, value: Column, missing: Column) -> DataFrame:
+    """feature and the array of ``value`` over the sorted pixels, ``missing`` where there is none.
+
+    Pixels are numbered once and joined, so that a row is sorted by number and its gaps are filled: time grows with the
+    row, not with its square.
+    """
+    order = m.select("pixel_id").distinct().agg(F.sort_array(F.collect_set("pixel_id")).alias("cols"))
+    numbered = order.select(F.posexplode("cols").alias("pos", "pixel_id"))
+    own = m.select("feature", "pixel_id", value.alias("value")).join(numbered, "pixel_id")
+    rows = own.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("cells")).crossJoin(F.broadcast(order.select(F.size("cols").alias("n"))))
+    # before each cell as many missing ones as numbers are left out, and behind the last one
+    before = F.transform("cells", lambda _, k: F.when(k == 0, -1).otherwise(F.get("cells", k - 1)["pos"]))
+    filled = F.zip_with("cells", before, lambda c, b: F.concat(F.array_repeat(missing, c["pos"] - b - 1), F.array(c["value"])))
+    rest = F.array_repeat(missing, F.col("n") - 1 - F.element_at("cells", -1)["pos"])
+    return rows.select("feature", F.concat(F.flatten(filled), rest).alias("values"))
+
+
 def vectors(m: DataFrame) -> DataFrame:
     """name and values over the sorted pixels, null where missing."""
-    order = m.select("pixel_id").distinct().agg(F.sort_array(F.collect_set("pixel_id")).alias("cols"))
-    own = m.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("pixel_id", "intensity"))).alias("v"))
-    return own.crossJoin(F.broadcast(order)).select(F.col("feature").alias("name"), F.transform("cols", lambda c: F.try_element_at("v", c)).alias("values"))
+    return dense(m, F.col("intensity"), F.lit(None).cast("double")).withColumnRenamed("feature", "name")
 
 
 def _moments(a, b, ma, mb, w):
@@ -99,6 +114,21 @@ def pairwise(v: DataFrame, k: Metric | None = None, weights: list[float] | None
     Pairs without a common column get twice the largest distance.
     """
     k = k or Metric()
+    found = _tiles(v, k, weights, coords, block, 0)
+    most = found.agg((2 * F.max("dist")).alias("pw_far"))
+    out = found.crossJoin(F.broadcast(most)).select("i", "j", F.coalesce("dist", "pw_far").alias("dist"))
+    return raise_distances(out, k.power)
+
+
+def nearest_rows(v: DataFrame, n: int, k: Metric | None = None, block: int = BLOCK) -> DataFrame:
+    """i, j, dist of the n rows j nearest to each row i, ties by name. A tile keeps n of each of its rows, so that what is
+    shuffled grows with rows times tiles, not with pairs."""
+    near = Window.partitionBy("i").orderBy("dist", "j")
+    return _tiles(v, k or Metric(), None, None, block, n).where("dist is not null").withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= n).drop("rank")
+
+
+def _tiles(v: DataFrame, k: Metric, weights: list[float] | None, coords: DataFrame | None, block: int, keep: int) -> DataFrame:
+    """i, j, dist (null: no common column) of the pairs of every two blocks, or with ``keep`` of each row's nearest there."""
     spark = v.sparkSession
     n = v.count()
     parts = max(1, math.ceil(n / block))
@@ -124,15 +154,19 @@ def pairwise(v: DataFrame, k: Metric | None = None, weights: list[float] | None
         if k.spatial:
             far = np.sqrt(((ca[:, None] - cb[None]) ** 2).sum(axis=2))
             d = np.where(np.isfinite(far), d ** (1 + 0.5**far), d)
+        if keep:
+            out = []
+            for names, others, dist in ((na, nb, d), *(() if p == q else ((nb, na, d.T),))):
+                dist = np.where(names[:, None] == others[None, :], np.nan, dist)
+                order = np.argsort(dist, axis=1, kind="stable")[:, :keep]  # others are in order of name
+                out.append(pd.DataFrame({"i": np.repeat(names, order.shape[1]), "j": others[order].ravel(), "dist": np.take_along_axis(dist, order, axis=1).ravel()}))
+            return pd.concat(out)
         ii, jj = np.nonzero(na[:, None] > nb[None, :]) if p == q else np.nonzero(np.ones(d.shape, bool))
         hi = np.where(na[ii] > nb[jj], na[ii], nb[jj])
         lo = np.where(na[ii] > nb[jj], nb[jj], na[ii])
         return pd.DataFrame({"i": hi, "j": lo, "dist": d[ii, jj]})
 
-    found = rows.groupBy("p", "q").applyInPandas(tile, "i string, j string, dist double").withColumn("dist", F.nanvl("dist", F.lit(None).cast("double")))
-    most = found.agg((2 * F.max("dist")).alias("pw_far"))
-    out = found.crossJoin(F.broadcast(most)).select("i", "j", F.coalesce("dist", "pw_far").alias("dist"))
-    return raise_distances(out, k.power)
+    return rows.groupBy("p", "q").applyInPandas(tile, "i string, j string, dist double").withColumn("dist", F.nanvl("dist", F.lit(None).cast("double")))
 
 
 def raise_distances(d: DataFrame, power: float) -> DataFrame:

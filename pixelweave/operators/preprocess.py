@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import written
+
 EPS = 1e-14
 
 
@@ -263,27 +265,34 @@ class Config:
 
 
 def preprocess(m: DataFrame, c: Config) -> DataFrame:
-    """Apply a pass in its fixed order: each step's statistics come from what the ones before it have kept."""
+    """Apply a pass in its fixed order: each step's statistics come from what the ones before it have kept.
+
+    A step that reads the matrix more than once writes what it has read first, so that no step before it runs again.
+    """
     from ..model import transpose
 
     m = transpose(m) if c.transpose_first else m
     m = flag_missing(m, c.ignore_weak)
     if c.impute or c.floor_value is not None or c.floor_lod or c.floor_lod_upper:
-        m = complete(m)
-    limits = detection_limits(m) if c.floor_lod or c.floor_lod_upper else None
+        m = complete(settled(m))
+    statistics = c.raw_max or c.raw_mean or c.raw_sd or c.log_mean or c.log_sd
+    limits = None
+    if c.floor_lod or c.floor_lod_upper:
+        m = settled(m)
+        limits = settled(detection_limits(m))
     if c.present:
-        m = filter_present(m, *c.present)
+        m = filter_present(settled(m), *c.present)
     if c.impute and not c.impute_later:
-        m = IMPUTE[c.impute](m)
+        m = IMPUTE[c.impute](settled(m))
     if c.floor_value is not None:
         m = floor_to(m, c.floor_value)
-    if c.raw_max or c.raw_mean or c.raw_sd or c.log_mean or c.log_sd:
-        m = filter_statistics(m, c.raw_max, c.raw_mean, c.raw_sd, c.log_mean, c.log_sd)
-    m = median_normalize(m) if c.median else m
+    if statistics:
+        m = filter_statistics(settled(m), c.raw_max, c.raw_mean, c.raw_sd, c.log_mean, c.log_sd)
+    m = median_normalize(settled(m)) if c.median else m
     m = scale_ten_thousand(m) if c.ten_thousand else m
     m = unit_magnitude(m) if c.magnitude else m
-    m = stretch(m, c.stretch) if c.stretch is not None else m
-    m = IMPUTE[c.impute](m) if c.impute and c.impute_later else m
+    m = stretch(settled(m), c.stretch) if c.stretch is not None else m
+    m = IMPUTE[c.impute](settled(m)) if c.impute and c.impute_later else m
     m = floor_to_limit(m, limits, c.floor_lod_upper) if limits is not None else m
     m = log2(m) if c.log2 else m
     m = unit_variance(m) if c.unit_variance else mean_center(m) if c.center else m
@@ -291,6 +300,11 @@ def preprocess(m: DataFrame, c: Config) -> DataFrame:
     return transpose(m) if c.transpose_last else m
 
 
+def settled(m: DataFrame) -> DataFrame:
+    """The matrix as a written table, unless it is one."""
+    return m if hasattr(m, "_pw_path") else written(m, "matrix")
+
+
 #: The two passes of the production filter.
 PASSES = (Config(present=(0.01, 0.0), raw_sd=250, floor_lod_upper=True, median=True), Config(log_sd=0.5))
 

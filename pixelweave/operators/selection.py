@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import written
+
+
 def v() -> Column:
     return F.col("intensity")
 
 
+def numbered(df: DataFrame, name: str, *order) -> DataFrame:
+    """Rows numbered from 1 in an order, without a task that holds them all: rows are dealt by ranges of the order, numbered
+    within each, and the ranges' sizes (one row a range) are summed up. Rows equal in the order are numbered at random."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = written(df.repartitionByRange(*order).withColumn("pw_part", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("pw_part").agg(F.count("*").alias("pw_n"))
+    before = F.coalesce(F.sum("pw_n").over(Window.orderBy("pw_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = dealt.join(F.broadcast(sizes.select("pw_part", before.alias("pw_before"))), "pw_part")
+    return own.withColumn(name, F.col("pw_before") + F.row_number().over(Window.partitionBy("pw_part").orderBy(*order))).drop("pw_part", "pw_before")
+
+
 
 # --- features ---------------------------------------------------------------------------------------------------------
 
@@ -28,8 +42,8 @@ def top_mean(m: DataFrame, share: float) -> DataFrame:
     """Features among the top ceil(n * share) by mean."""
     means = m.groupBy("feature").agg(F.avg("intensity").alias("mean"))
     n = means.agg(F.ceil(F.count("*") * F.lit(share)).alias("n_top"))
-    rank = F.row_number().over(Window.orderBy(F.desc("mean"), "feature"))
-    return means.select("feature", "mean", rank.alias("rank")).crossJoin(F.broadcast(n)).where("rank <= n_top").drop("n_top")
+    ranked = numbered(means, "rank", F.desc("mean"), "feature").withColumn("rank", F.col("rank").cast("int"))
+    return ranked.crossJoin(F.broadcast(n)).where("rank <= n_top").drop("n_top")
 
 
 def clean_values(m: DataFrame) -> DataFrame:
@@ -64,7 +78,7 @@ def relabel(p: DataFrame, new: str, pixel_ids: list[str] | None = None, clusters
 
 def row_numbers(p: DataFrame) -> DataFrame:
     """row_id in order of x, then y, then name."""
-    return p.withColumn("row_id", F.row_number().over(Window.orderBy("x_coord", "y_coord", "pixel_id")))
+    return numbered(p.drop("row_id"), "row_id", "x_coord", "y_coord", "pixel_id").withColumn("row_id", F.col("row_id").cast("int"))
 
 
 def display(m: DataFrame, contrast: float) -> DataFrame:
@@ -163,8 +177,8 @@ def volcano(de: DataFrame, cut: float = 1.0, fdr: float = 0.05, top: int = 10) -
     """DE rows with group, height and a mark for the ``top`` highest."""
     y = volcano_height(F.col("test_statistic"), F.col("adj_p_value"))
     own = de.withColumn("height", y).where(F.col("height").isNotNull() & ~F.isnan("height")).withColumn("group", significance(F.col("log_fc"), F.col("adj_p_value"), cut, fdr))
-    rank = F.row_number().over(Window.orderBy(F.desc("height"), "metabolite"))
-    return own.withColumn("labelled", rank <= top)
+    highest = own.select("metabolite", "height").orderBy(F.desc("height"), "metabolite").limit(top).agg(F.collect_set("metabolite").alias("pw_top"))  # ``top`` names
+    return own.crossJoin(F.broadcast(highest)).withColumn("labelled", F.array_contains("pw_top", F.col("metabolite"))).drop("pw_top")
 
 
 # --- cluster aggregates ------------------------------------------------------------------------------------------------------
@@ -227,5 +241,5 @@ def heatmap_scale(means: DataFrame) -> DataFrame:
 
 def contact_sheet(features: DataFrame, columns: int) -> DataFrame:
     """Grid places of features in name order."""
-    k = F.row_number().over(Window.orderBy("feature")) - 1
-    return features.select("feature", F.floor(k / columns).cast("int").alias("row"), (k % columns).cast("int").alias("col"))
+    k = F.col("pw_k") - 1
+    return numbered(features.select("feature"), "pw_k", "feature").select("feature", F.floor(k / columns).cast("int").alias("row"), (k % columns).cast("int").alias("col"))

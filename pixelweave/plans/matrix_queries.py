@@ -29,10 +29,9 @@ def filled(f):
 
 def flagship(s, d):
     """Mean log2 intensity by domain of the 20 most variable features that half of all pixels have."""
-    m = P.log2(P.filter_present(sales_matrix(s, d), 0.5))
-    top = S.top_variable(m, 20)
-    raw = sales_matrix(s, d).join(top, "feature", "left_semi")
-    return S.cluster_means(raw, sales_pixels(s)).join(top, "feature").select("cluster", "feature", "rank", "mean")
+    m = P.settled(sales_matrix(s, d))
+    top = P.settled(S.top_variable(P.log2(P.filter_present(m, 0.5)), 20))
+    return S.cluster_means(m.join(F.broadcast(top), "feature", "left_semi"), sales_pixels(s)).join(F.broadcast(top), "feature").select("cluster", "feature", "rank", "mean")
 
 
 MEDIANS = """s AS (SELECT pixel_id, list_sort(list(intensity)) AS s, len(list(intensity)) AS n, len(list(intensity)) // 2 AS half FROM m WHERE intensity IS NOT NULL GROUP BY pixel_id),
@@ -51,9 +50,9 @@ SELECT hc_orig AS cluster, feature, rank, round(sum(CASE WHEN intensity > 0 THEN
         f"{VM} SELECT feature, count_if(abs(intensity) >= 0.05)::BIGINT AS n, round(sum(intensity) FILTER (WHERE abs(intensity) >= 0.05), 6) AS total FROM v GROUP BY feature"),
     "p2_filter_present": (on_sales(lambda m: P.filter_present(m, 0.95, 20000.0).groupBy("feature").agg(F.count("*").alias("n"))),
         f"{M} SELECT feature, count(*) AS n FROM m GROUP BY feature HAVING count_if(intensity > 20000 + 1e-14) / (SELECT count(DISTINCT pixel_id) FROM m) >= 0.95 - 1e-14"),
-    "p2_filter_present_imputed": (filled(lambda m: P.filter_present(P.impute_global(m), 0.99).groupBy("feature").agg(F.count("*").alias("n"))),
+    "p2_filter_present_imputed": (filled(lambda m: P.filter_present(P.impute_global(m), 0.9).groupBy("feature").agg(F.count("*").alias("n"))),
         f"""{M}, {FULL}, g AS (SELECT min(intensity) AS low FROM m WHERE intensity > 0), i AS (SELECT feature, pixel_id, CASE WHEN {EMPTY} THEN 0.5 * low ELSE intensity END AS intensity FROM c, g)
-SELECT feature, count(*) AS n FROM i GROUP BY feature HAVING count_if(intensity > (SELECT min(intensity) FROM i) + 1e-14) / (SELECT count(DISTINCT pixel_id) FROM i) >= 0.99 - 1e-14"""),
+SELECT feature, count(*) AS n FROM i GROUP BY feature HAVING count_if(intensity > (SELECT min(intensity) FROM i) + 1e-14) / (SELECT count(DISTINCT pixel_id) FROM i) >= 0.9 - 1e-14"""),
     "p3_row_statistics": (on_sales(P.row_statistics),
         f"{M} SELECT feature, round(max(intensity), 6) AS raw_max, round(avg(intensity), 6) AS raw_mean, round(stddev_pop(intensity), 6) AS raw_sd, round(avg(log2(intensity)) FILTER (WHERE intensity > 0), 6) AS log_mean, round(stddev_pop(log2(intensity)) FILTER (WHERE intensity > 0), 6) AS log_sd, coalesce(bool_or(intensity = 0), false) AS has_zero, count(intensity) AS n FROM m GROUP BY feature"),
     "p3_filter_statistics": (on_sales(lambda m: P.filter_statistics(m, raw_mean=160000, log_sd=0.6).select("feature").distinct()),
@@ -87,7 +86,11 @@ SELECT {CELL.format('greatest(coalesce(intensity, u), u)', 'c, l')}"""),
     "p19_transpose": (on_sales(transpose), f"{M} SELECT pixel_id AS feature, feature AS pixel_id, intensity FROM m"),
     "p20_preprocess": (on_sales(lambda m: P.preprocess(m, P.Config(impute="col_geo", log2=True, unit_variance=True))), f"""{M}, {FULL}, i AS (SELECT feature, pixel_id, log2(CASE WHEN {EMPTY} THEN 0.5 * sqrt((SELECT min(intensity) FROM m WHERE intensity > 0) * min(intensity) FILTER (WHERE intensity > 0) OVER (PARTITION BY pixel_id)) ELSE intensity END) AS intensity FROM c)
 SELECT {CELL.format('(intensity - avg(intensity) OVER (PARTITION BY feature)) / stddev_pop(intensity) OVER (PARTITION BY feature)', 'i')}"""),
-    "p21_production_filter": (on_sales(lambda m: P.production_filter(m)), None),
+    "p21_production_filter": (on_sales(lambda m: P.production_filter(m)), f"""{M}, {FULL}, k AS (SELECT ln(min(intensity)) AS c FROM m WHERE intensity > 0 GROUP BY pixel_id), u AS (SELECT exp(avg(c) + 3 * stddev_pop(c)) AS u FROM k),
+a AS (SELECT feature FROM c GROUP BY feature HAVING count_if(intensity > 1e-14) / (SELECT count(DISTINCT pixel_id) FROM c) >= 0.01 - 1e-14 AND stddev_pop(intensity) >= 250 - 1e-14), f1 AS (SELECT * FROM c WHERE feature IN (SELECT feature FROM a)),
+{MEDIANS.replace('FROM m WHERE', 'FROM f1 WHERE')}, t AS (SELECT exp(avg(ln(median))) AS target FROM md WHERE median > 0),
+n AS (SELECT feature, pixel_id, greatest(coalesce(intensity * CASE WHEN median > 0 THEN target / median ELSE 1 END, u), u) AS intensity FROM f1 JOIN md USING (pixel_id), t, u)
+SELECT feature, pixel_id, round(intensity, 6) AS intensity FROM n WHERE feature IN (SELECT feature FROM n GROUP BY feature HAVING bool_or(intensity = 0) OR stddev_pop(log2(intensity)) FILTER (WHERE intensity > 0) >= 0.5 - 1e-14)"""),
     "p22_top_variable": (on_sales(lambda m: S.top_variable(m, 15)), f"{M} SELECT feature, round(stddev_samp(intensity), 6) AS sd, row_number() OVER (ORDER BY stddev_samp(intensity) DESC, feature)::INT AS rank FROM m GROUP BY feature QUALIFY rank <= 15"),
     "t7_top_mean": (on_sales(lambda m: S.top_mean(m, 0.1)), f"{M} SELECT feature, round(avg(intensity), 6) AS mean, row_number() OVER (ORDER BY avg(intensity) DESC, feature)::INT AS rank FROM m GROUP BY feature QUALIFY rank <= ceil(count(*) OVER () * 0.1)"),
     "p24_pixels_in": (lambda s, d: S.pixels_in(sales_pixels(s), "d0", "d3").select("pixel_id", "hc_orig"), f"WITH {PX} SELECT pixel_id, hc_orig FROM p WHERE hc_orig IN ('d0', 'd3')"),
@@ -131,7 +134,17 @@ def pair_sql(expr: str) -> str:
 
 COS = "sum(a * b) / sqrt(sum(a * a) * sum(b * b))"
 RMSD = "sqrt(avg(pow(a - b, 2)))"
+
+def apart(s, d):
+    """Suppliers of even number on even pixels only, the others on odd ones: no column in common."""
+    k, x = F.regexp_replace("feature", "mz_", "").cast("int"), F.regexp_extract("pixel_id", "x([0-9]+)", 1).cast("int")
+    return sales_matrix(s, d).where((k + x) % 2 == 0)
+
+
 QUERIES |= {
+    "x13_no_overlap": (lambda s, d: D.pairwise(D.vectors(apart(s, d)), block=64), f"""{M}, f AS (SELECT *, replace(feature, 'mz_', '')::INT % 2 AS odd FROM m WHERE (replace(feature, 'mz_', '')::INT + regexp_extract(pixel_id, 'x([0-9]+)', 1)::INT) % 2 = 0),
+q AS (SELECT a.feature AS i, b.feature AS j, sqrt(avg(pow(a.intensity - b.intensity, 2))) AS dist FROM f a JOIN f b ON a.pixel_id = b.pixel_id AND a.feature > b.feature GROUP BY ALL), n AS (SELECT DISTINCT feature FROM f)
+SELECT a.feature AS i, b.feature AS j, round(coalesce(dist, 2 * (SELECT max(dist) FROM q)), 6) AS dist FROM n a JOIN n b ON a.feature > b.feature LEFT JOIN q ON q.i = a.feature AND q.j = b.feature"""),
     "x1_rmsd": (distances(D.Metric()), pair_sql(RMSD)),
     "x2_euclidian": (distances(D.Metric("euclidian")), pair_sql("sqrt(sum(pow(a - b, 2)))")),
     "x3_cityblock": (distances(D.Metric("cityblock")), pair_sql("avg(abs(a - b))")),
@@ -143,12 +156,12 @@ QUERIES |= {
     "x8_heuristic": (distances(D.Metric(mix="heuristic")), pair_sql(f"sqrt({RMSD} * (1 + sqrt(1 - abs({COS}))))")),
     "x9_mostly_trig": (distances(D.Metric(mix="mostly")), pair_sql(f"0.001 * {RMSD} + 0.999 * sqrt((1 - {COS}) / 2)")),
     "x14_power": (distances(D.Metric(power=2.0)), pair_sql(f"pow({RMSD}, 2)")),
-    "x1_rmsd_missing": (lambda s, d: D.pairwise(D.vectors(sales_matrix(s, d).where(F.regexp_replace("feature", "mz_", "").cast("int") <= 60)), block=24), f"{M} SELECT a.feature AS i, b.feature AS j, round(sqrt(avg(pow(a.intensity - b.intensity, 2))), 6) AS dist FROM m a JOIN m b ON a.pixel_id = b.pixel_id AND a.feature > b.feature WHERE replace(a.feature, 'mz_', '')::INT <= 60 AND replace(b.feature, 'mz_', '')::INT <= 60 GROUP BY ALL"),
-    "x11_similarity": (lambda s, d: D.pairwise(D.vectors(sales_matrix(s, d).where(F.regexp_replace("feature", "mz_", "").cast("int") <= 60)), D.Metric("cosine", similarity=True), block=24), f"""{M}, f AS (SELECT * FROM m WHERE replace(feature, 'mz_', '')::INT <= 60), n AS (SELECT feature, count(*) AS n FROM f GROUP BY feature),
+    "x1_rmsd_missing": (lambda s, d: D.pairwise(D.vectors(sales_matrix(s, d)), block=24), f"{M} SELECT a.feature AS i, b.feature AS j, round(sqrt(avg(pow(a.intensity - b.intensity, 2))), 6) AS dist FROM m a JOIN m b ON a.pixel_id = b.pixel_id AND a.feature > b.feature GROUP BY ALL"),
+    "x11_similarity": (lambda s, d: D.pairwise(D.vectors(sales_matrix(s, d)), D.Metric("cosine", similarity=True), block=24), f"""{M}, f AS (SELECT * FROM m), n AS (SELECT feature, count(*) AS n FROM f GROUP BY feature),
 q AS (SELECT a.feature AS i, b.feature AS j, count(*) AS c, sum(a.intensity * b.intensity) / sqrt(sum(a.intensity * a.intensity) * sum(b.intensity * b.intensity)) AS r FROM f a JOIN f b ON a.pixel_id = b.pixel_id AND a.feature > b.feature GROUP BY ALL)
 SELECT i, j, round(sqrt((1 - r) / 2) / sqrt(c / sqrt(x.n * y.n)), 6) AS dist FROM q JOIN n x ON x.feature = i JOIN n y ON y.feature = j"""),
-    "x12_spatial": (lambda s, d: D.pairwise(D.vectors(transpose(vector_matrix(s, d)).where(F.regexp_replace("feature", "p", "").cast("int") < 120)), D.Metric(spatial=True), coords=vector_pixels(s, d).select(F.col("pixel_id").alias("name"), F.col("x_coord").alias("x"), F.col("y_coord").alias("y")), block=50), f"""{VM}, {VP}, w AS (SELECT v.*, x_coord AS x, y_coord AS y FROM v JOIN q USING (pixel_id) WHERE vec_id < 120)
+    "x12_spatial": (lambda s, d: D.pairwise(D.vectors(transpose(vector_matrix(s, d))), D.Metric(spatial=True), coords=vector_pixels(s, d).select(F.col("pixel_id").alias("name"), F.col("x_coord").alias("x"), F.col("y_coord").alias("y")), block=50), f"""{VM}, {VP}, w AS (SELECT v.*, x_coord AS x, y_coord AS y FROM v JOIN q USING (pixel_id))
 SELECT a.pixel_id AS i, b.pixel_id AS j, round(pow(sqrt(avg(pow(a.intensity - b.intensity, 2))), 1 + pow(0.5, any_value(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))))), 6) AS dist FROM w a JOIN w b ON a.feature = b.feature AND a.pixel_id > b.pixel_id GROUP BY ALL"""),
-    "x15_weighted": (lambda s, d: D.pairwise(D.vectors(transpose(vector_matrix(s, d)).where(F.regexp_replace("feature", "p", "").cast("int") < 80)), weights=[1.0 + k % 3 for k in range(64)], block=50), f"""{VM}, f AS (SELECT feature, 1.0 + (row_number() OVER (ORDER BY feature) - 1) % 3 AS w FROM (SELECT DISTINCT feature FROM v))
-SELECT a.pixel_id AS i, b.pixel_id AS j, round(sqrt(sum(w * pow(a.intensity - b.intensity, 2)) / sum(w)), 6) AS dist FROM v a JOIN v b ON a.feature = b.feature AND a.pixel_id > b.pixel_id JOIN f ON f.feature = a.feature WHERE replace(a.pixel_id, 'p', '')::INT < 80 AND replace(b.pixel_id, 'p', '')::INT < 80 GROUP BY ALL"""),
+    "x15_weighted": (lambda s, d: D.pairwise(D.vectors(transpose(vector_matrix(s, d))), weights=[1.0 + k % 3 for k in range(64)], block=50), f"""{VM}, f AS (SELECT feature, 1.0 + (row_number() OVER (ORDER BY feature) - 1) % 3 AS w FROM (SELECT DISTINCT feature FROM v))
+SELECT a.pixel_id AS i, b.pixel_id AS j, round(sqrt(sum(w * pow(a.intensity - b.intensity, 2)) / sum(w)), 6) AS dist FROM v a JOIN v b ON a.feature = b.feature AND a.pixel_id > b.pixel_id JOIN f ON f.feature = a.feature GROUP BY ALL"""),
 }

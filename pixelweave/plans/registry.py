@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import matrix_queries, statistic_queries, table_queries
+from . import file_queries, matrix_queries, statistic_queries, table_queries
 
-_ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = matrix_queries.QUERIES | statistic_queries.QUERIES | table_queries.QUERIES
+_ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = matrix_queries.QUERIES | statistic_queries.QUERIES | table_queries.QUERIES | file_queries.QUERIES
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -26,44 +26,41 @@ def library(s, d):
 LIB_SQL = "lib AS (SELECT p_partkey, p_partkey::VARCHAR AS mol_id, CASE WHEN p_partkey % 2 = 0 THEN 'HMDB' ELSE 'LMAPS' END AS source, p_retailprice AS mass, p_name AS name, 'I' || p_partkey % 50 AS inchi, CASE WHEN p_partkey % 3 = 0 THEN 'K' || p_partkey END AS kegg, CASE WHEN p_partkey % 3 = 0 THEN 150.0 + p_partkey % 40 END AS ccs_db FROM part WHERE p_partkey % 17 <> 0)"
 
 
-def all_peaks(s, d):
-    """Prices of all parts, off by a few ppm, protonated."""
-    k = F.col("p_partkey")
-    return read(s, d, "part").select(k.alias("peak"), (F.col("p_retailprice") * (1 + (k % 41 - 20) * 1e-6) + A.PROTON).alias("mz"), (150.0 + k % 40).alias("ccs"))
-
-
 def peaks(s, d):
-    """Every tenth of them, as in PEAK_SQL."""
-    return all_peaks(s, d).where(F.col("peak") % 10 == 3)
+    """Prices of all parts, off by up to 30 ppm, protonated."""
+    k = F.col("p_partkey")
+    return read(s, d, "part").select(k.alias("peak"), (F.col("p_retailprice") * (1 + (k % 61 - 30) * 1e-6) + A.PROTON).alias("mz"), (150.0 + k % 7 * 10).alias("ccs"))
 
 
-PEAK_SQL = f"pk AS (SELECT p_partkey AS peak, p_retailprice * (1 + (p_partkey % 41 - 20) * 1e-6) + {A.PROTON!r} AS mz, 150.0 + p_partkey % 40 AS ccs FROM part WHERE p_partkey % 10 = 3)"
-HIT_SQL = f"h AS (SELECT peak, mz, ccs, lib.*, adduct, mass + o AS mz_db, 1e6 * abs(mass + o - mz) / (mass + o) AS ppm FROM pk, lib, a WHERE 1e6 * abs(mass + o - mz) / (mass + o) <= 20 + 1e-5)"
+PEAK_SQL = f"pk AS (SELECT p_partkey AS peak, p_retailprice * (1 + (p_partkey % 61 - 30) * 1e-6) + {A.PROTON!r} AS mz, 150.0 + p_partkey % 7 * 10 AS ccs FROM part)"
+# a molecule stands in its whole mass's bin and in both beside it, a peak in one: no product of all peaks and molecules
+HIT_SQL = f"""lm AS (SELECT lib.*, adduct, mass + o AS mz_db, unnest([floor(mass + o) - 1, floor(mass + o), floor(mass + o) + 1]) AS bin FROM lib, a),
+h AS MATERIALIZED (SELECT peak, mz, ccs, lm.*, 1e6 * abs(mz_db - mz) / mz_db AS ppm FROM pk JOIN lm ON lm.bin = floor(pk.mz) WHERE 1e6 * abs(mz_db - mz) / mz_db <= 20 + 1e-5)"""
 STEP_SQL = "CASE WHEN ppm <= 5 + 1e-5 THEN 5 WHEN ppm <= 10 + 1e-5 THEN 10 WHEN ppm <= 15 + 1e-5 THEN 15 ELSE 20 END"
 BEST_SQL = f"""t AS (SELECT *, {STEP_SQL} AS tolerance, CASE WHEN coalesce(abs(ccs - ccs_db) / ccs_db <= 0.03 + 1e-5, false) THEN 1 WHEN ccs_db IS NULL THEN 2 END AS pass FROM h),
-u AS (SELECT * FROM t WHERE pass IS NOT NULL), b AS (SELECT * FROM u QUALIFY pass * 100 + tolerance = min(pass * 100 + tolerance) OVER (PARTITION BY peak))"""
+u AS (SELECT * FROM t WHERE pass IS NOT NULL), b AS MATERIALIZED (SELECT * FROM u QUALIFY pass * 100 + tolerance = min(pass * 100 + tolerance) OVER (PARTITION BY peak))"""
 
 
-def hits(s, d, of=peaks):
-    found = A.band_join(of(s, d), A.with_adducts(library(s, d)))
+def hits(s, d):
+    found = A.band_join(peaks(s, d), A.with_adducts(library(s, d)))
     return found.withColumn("ppm", A.ppm(F.col("mz"), F.col("mz_db"))).withColumn("has_ccs", F.col("ccs_db").isNotNull())
 
 
-def best(s, d, of=peaks):
-    return A.escalate(hits(s, d, of), ["peak"])
+def best(s, d):
+    return A.escalate(hits(s, d), ["peak"])
 
 
 def matches(s, d):
     p = read(s, d, "part")
-    db = p.where("p_partkey % 4 = 0").select(F.col("p_partkey").cast("string").alias("metabolite_id"), F.col("p_name").alias("metabolite_name"), F.col("p_retailprice").alias("mass"), F.col("p_brand").alias("pathway"))
-    q = p.where("p_partkey % 50 = 0").select(F.upper("p_name").alias("name")).distinct().union(p.where("p_partkey % 97 = 1").select((F.col("p_retailprice") + 0.004).cast("decimal(12,3)").cast("string"))).union(s.createDataFrame([("mz_153.0187",)], "name string"))
+    db = p.select(F.col("p_partkey").cast("string").alias("metabolite_id"), F.col("p_name").alias("metabolite_name"), F.col("p_retailprice").alias("mass"), F.col("p_brand").alias("pathway"))
+    q = p.select(F.upper("p_name").alias("name")).distinct().union(p.select((F.col("p_retailprice") + 0.004).cast("decimal(12,3)").cast("string"))).union(s.createDataFrame([("mz_153.0187",)], "name string"))
     return A.match_metabolites(q.distinct(), db)
 
 
-MATCH_SQL = """WITH db AS (SELECT p_partkey::VARCHAR AS metabolite_id, p_name AS metabolite_name, p_retailprice AS mass, p_brand AS pathway FROM part WHERE p_partkey % 4 = 0),
-q AS (SELECT DISTINCT upper(p_name) AS name FROM part WHERE p_partkey % 50 = 0 UNION SELECT (p_retailprice + 0.004)::DECIMAL(12,3)::VARCHAR FROM part WHERE p_partkey % 97 = 1 UNION SELECT 'mz_153.0187'),
+MATCH_SQL = """WITH db AS (SELECT p_partkey::VARCHAR AS metabolite_id, p_name AS metabolite_name, p_retailprice AS mass, p_brand AS pathway FROM part),
+q AS (SELECT DISTINCT upper(p_name) AS name FROM part UNION SELECT (p_retailprice + 0.004)::DECIMAL(12,3)::VARCHAR FROM part UNION SELECT 'mz_153.0187'),
 n AS (SELECT name, db.*, 'name' AS match_type FROM q JOIN db ON lower(name) = lower(metabolite_name)), r AS (SELECT name, try_cast(name AS DOUBLE) AS mz FROM q WHERE name NOT IN (SELECT name FROM n)),
-m AS (SELECT name, db.*, 'mass' AS match_type FROM r JOIN db ON abs(mass - mz) <= 0.01)
+w AS (SELECT db.*, unnest([floor(mass) - 1, floor(mass), floor(mass) + 1]) AS bin FROM db), m AS (SELECT name, w.* EXCLUDE (bin), 'mass' AS match_type FROM r JOIN w ON bin = floor(mz) WHERE abs(mass - mz) <= 0.01)
 SELECT * FROM n UNION ALL SELECT * FROM m UNION ALL SELECT name, NULL, NULL, NULL, NULL, 'no_match' FROM r WHERE name NOT IN (SELECT name FROM m)"""
 
 
@@ -71,8 +68,8 @@ def priority_sql() -> str:
     return "kegg IS NULL, name IS NULL, length(name), name, mol_id"
 
 
-def annotated(s, d, of=peaks):
-    own = A.prefer_first_source(best(s, d, of), ["peak"], "HMDB", "LMAPS", ["inchi", "kegg"])
+def annotated(s, d):
+    own = A.prefer_first_source(best(s, d), ["peak"], "HMDB", "LMAPS", ["inchi", "kegg"])
     return A.annotation_table(own, ["peak"])
 
 
@@ -96,22 +93,23 @@ QUERIES = {
     "j9_band_join": (lambda s, d: hits(s, d).select("peak", "mol_id", "adduct", "ppm"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL} SELECT peak, mol_id, adduct, round(ppm, 6) AS ppm FROM h"),
     "j10_escalate": (lambda s, d: best(s, d).select("peak", "mol_id", "adduct", F.col("tolerance"), "ccs_matched"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, mol_id, adduct, tolerance, pass = 1 AS ccs_matched FROM b"),
     "j11_prefer_source": (lambda s, d: A.prefer_first_source(best(s, d), ["peak"], "HMDB", "LMAPS", ["inchi", "kegg"]).select("peak", "mol_id", "adduct"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, mol_id, adduct FROM b x WHERE source = 'HMDB' OR NOT EXISTS (SELECT 1 FROM b y WHERE y.source = 'HMDB' AND y.peak = x.peak AND (y.inchi = x.inchi OR y.kegg = x.kegg))"),
-    "j12_rematch": (lambda s, d: A.rematch(peaks(s, d).select(F.col("peak").alias("vendor"), F.col("mz").alias("vendor_mz")), peaks(s, d).where("peak % 20 = 3").select("peak", "mz")).select("peak", "vendor", "ppm"), f"WITH {PEAK_SQL} SELECT a.peak, b.peak AS vendor, round(1e6 * abs(b.mz - a.mz) / b.mz, 6) AS ppm FROM pk a, pk b WHERE a.peak % 20 = 3 AND 1e6 * abs(b.mz - a.mz) / b.mz <= 40 + 1e-5"),
-    "j13_unannotated": (lambda s, d: A.novel_peaks(peaks(s, d), best(s, d)).select("peak"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak FROM pk WHERE mz NOT IN (SELECT mz FROM b)"),
-    "j14_novel_peaks": (lambda s, d: A.band_join(A.novel_peaks(peaks(s, d), best(s, d)), A.with_adducts(library(s, d), ["[M+H]+"])).select("peak", "mol_id"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, mol_id FROM h WHERE adduct = '[M+H]+' AND mz NOT IN (SELECT mz FROM b)"),
+    "j12_rematch": (lambda s, d: A.rematch(peaks(s, d).select(F.col("peak").alias("vendor"), F.col("mz").alias("vendor_mz")), peaks(s, d).select("peak", "mz")).select("peak", "vendor", "ppm"), f"WITH {PEAK_SQL}, v AS (SELECT peak AS vendor, mz AS vendor_mz, unnest([floor(mz) - 1, floor(mz), floor(mz) + 1]) AS bin FROM pk) SELECT peak, vendor, round(1e6 * abs(vendor_mz - mz) / vendor_mz, 6) AS ppm FROM pk JOIN v ON bin = floor(mz) WHERE 1e6 * abs(vendor_mz - mz) / vendor_mz <= 40 + 1e-5"),
+    "j13_unannotated": (lambda s, d: A.novel_peaks(peaks(s, d), best(s, d)).select("peak"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak FROM pk ANTI JOIN (SELECT DISTINCT mz FROM b) k USING (mz)"),
+    "j14_novel_peaks": (lambda s, d: A.band_join(A.novel_peaks(peaks(s, d), best(s, d)), A.with_adducts(library(s, d), ["[M+H]+"])).select("peak", "mol_id"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, mol_id FROM h ANTI JOIN (SELECT DISTINCT mz FROM b) k USING (mz) WHERE adduct = '[M+H]+'"),
     "j15_nearest": (lambda s, d: A.nearest(sales_pixels(s), 4), f"WITH {PX}, k AS (SELECT a.pixel_id AS i, b.pixel_id AS j, sqrt(pow(a.x_coord - b.x_coord, 2) + pow(a.y_coord - b.y_coord, 2)) AS d FROM p a JOIN p b ON a.pixel_id <> b.pixel_id) SELECT i, j, round(d, 6) AS d FROM k QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, j) <= 4"),
     "j16_inverse_distances": (lambda s, d: A.inverse_distance_weights(sales_pixels(s)), f"WITH {PX}, k AS (SELECT a.pixel_id AS i, b.pixel_id AS j, sqrt(pow(a.x_coord - b.x_coord, 2) + pow(a.y_coord - b.y_coord, 2)) AS d FROM p a JOIN p b ON a.pixel_id <> b.pixel_id) SELECT i, j, round((SELECT max(d) FROM k) / d, 6) AS w FROM k"),
     "j17_distance_to_domain": (lambda s, d: A.distance_to_domain(sales_pixels(s), "d0", "min"), f"WITH {PX} SELECT a.pixel_id, round(min(sqrt(pow(a.x_coord - b.x_coord, 2) + pow(a.y_coord - b.y_coord, 2))), 6) AS dist FROM p a JOIN p b ON b.hc_orig = 'd0' WHERE a.hc_orig <> 'd0' GROUP BY a.pixel_id"),
     "a17_polarity": (lambda s, d: A.polarity(best(s, d)), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT count_if(adduct LIKE '%]+')::BIGINT AS n_pos, count_if(adduct LIKE '%]-')::BIGINT AS n_neg, CASE WHEN count_if(adduct LIKE '%]+') >= count_if(adduct LIKE '%]-') THEN '[M+H]+' ELSE '[M-H]-' END AS assumed FROM b"),
     "a19_annotation_table": (lambda s, d: annotated(s, d).select("peak", "n_matches"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, count(*) AS n_matches FROM b x WHERE source = 'HMDB' OR NOT EXISTS (SELECT 1 FROM b y WHERE y.source = 'HMDB' AND y.peak = x.peak AND (y.inchi = x.inchi OR y.kegg = x.kegg)) GROUP BY peak"),
-    "k12_annotated_peaks": (lambda s, d: annotated(s, d, all_peaks), None),
+    "k12_annotated_peaks": (annotated, None),
+    "k13_annotated_matrix": (lambda s, d: A.annotated_peaks(peaks(s, d).withColumn("mean", F.col("ccs") * 2), best(s, d), ["peak"]).select("peak", "mean", F.col("`Number of matches`").alias("n"), F.col("CCS matched").alias("matched"), F.col("`PPM tolerence`").alias("tolerance")), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL}, c AS (SELECT peak, count(*) AS n, bool_or(pass = 1) AS matched, min(tolerance) AS tolerance FROM b GROUP BY peak) SELECT peak, 2 * ccs AS mean, coalesce(n, 0) AS n, matched, tolerance FROM pk LEFT JOIN c USING (peak)"),
     "f1_conform_name": (conformed, None),
     "f2_conform_formula": (formulas, None),
     "f3_natural_key": (lambda s, d: s.createDataFrame([("C2",), ("C10",), ("C1a10",), ("C1a9",), ("x",)], "x string").select("x", N.natural_key(F.col("x")).alias("key")), "SELECT x, key FROM (VALUES ('C2', 'C00000000000000000002'), ('C10', 'C00000000000000000010'), ('C1a10', 'C00000000000000000001a00000000000000000010'), ('C1a9', 'C00000000000000000001a00000000000000000009'), ('x', 'x')) AS t(x, key)"),
     "f4_numbers": (lambda s, d: s.createDataFrame([("1,234.5",), ("12",), ("1e3",), ("abc",), ("",), ("NaN",), ("1,23",), (".5",)], "x string").select("x", N.to_number(F.col("x")).alias("v"), N.is_all_digits(F.col("x")).alias("digits")), "SELECT x, v::DOUBLE AS v, digits FROM (VALUES ('1,234.5', 1234.5, false), ('12', 12, true), ('1e3', 1000, false), ('abc', NULL, false), ('', NULL, false), ('NaN', NULL, false), ('1,23', NULL, false), ('.5', 0.5, false)) AS t(x, v, digits)"),
     "f5_part_names": (lambda s, d: read(s, d, "part").select("p_partkey", N.newick_name(F.col("p_name")).alias("newick"), N.unquote(F.concat(F.lit(' "'), F.col("p_name"), F.lit('"'))).alias("plain")), "SELECT p_partkey, replace(p_name, ' ', '-') AS newick, p_name AS plain FROM part"),
     "f6_entities": (lambda s, d: s.createDataFrame([("a &lt; b &amp;amp; c",), ("&quot;x&quot;",)], "x string").select("x", N.decode_entities(F.col("x")).alias("y")), """SELECT x, y FROM (VALUES ('a &lt; b &amp;amp; c', 'a < b &amp; c'), ('&quot;x&quot;', '"x"')) AS t(x, y)"""),
-    "k1_matrix_lines": (lambda s, d: R.matrix_lines(sales_matrix(s, d)).select("feature", F.length(F.regexp_replace("line", "[^\t]", "")).alias("tabs")), f"{M} SELECT feature, (SELECT count(DISTINCT pixel_id) FROM m)::INT AS tabs FROM m GROUP BY feature"),
+    "k1_matrix_lines": (lambda s, d: R.matrix_lines(sales_matrix(s, d)), f"{M}, c AS (SELECT feature, pixel_id, intensity FROM (SELECT DISTINCT feature FROM m) CROSS JOIN (SELECT DISTINCT pixel_id FROM m) LEFT JOIN m USING (feature, pixel_id)) SELECT feature, feature || chr(9) || string_agg(coalesce(format('{{:.14g}}', intensity), ''), chr(9) ORDER BY pixel_id) AS line FROM c GROUP BY feature"),
     "s15_repair_fields": (lambda s, d: s.createDataFrame([(["1", "a", "b", "2.5", "x"],), (["1", "a", "2.5", "x"],), (["1", "a", "b"],)], "f array<string>").select(F.array_join("f", "|").alias("f"), F.array_join(R.repair_fields(F.col("f"), 1), "|").alias("g")), "SELECT f, g FROM (VALUES ('1|a|b|2.5|x', '1|a;b|2.5|x'), ('1|a|2.5|x', '1|a|2.5|x'), ('1|a|b', '1|a|b')) AS t(f, g)"),
     "d4_unparsed_names": (lambda s, d: read(s, d, "region").select("r_name", pixel_x(F.col("r_name")).alias("x"), pixel_y(F.col("r_name")).alias("y")), "SELECT r_name, -1 AS x, -1 AS y FROM region"),
 }

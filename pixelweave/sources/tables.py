@@ -161,7 +161,7 @@ def read_hmdb(spark: SparkSession, path: str, tag: str = "metabolite") -> DataFr
 def read_sdf(spark: SparkSession, path: str) -> DataFrame:
     """Records of ``> <KEY>`` blocks: LM_ID, fields as a map, CHOSEN_NAME (the shorter of NAME and SYSTEMATIC_NAME, else
     the finest class) and the isotope mark of ``[isoN]``."""
-    blocks = spark.read.option("lineSep", "$$$$").text(path).where(F.trim("value") != "")
+    blocks = spark.read.option("lineSep", "$$$$").text(path).where(F.col("value").rlike(r"\S"))
     keys = F.regexp_extract_all("value", F.lit(r"> <([^>]+)>\r?\n([^\r\n]*)"), F.lit(1))
     vals = F.transform(F.regexp_extract_all("value", F.lit(r"> <([^>]+)>\r?\n([^\r\n]*)"), F.lit(2)), lambda v: F.replace(F.trim(v), F.lit(" / "), F.lit("; ")))
     own = blocks.select(F.map_from_entries(F.array_distinct(F.arrays_zip(keys.alias("k"), vals.alias("v")))).alias("f"))
@@ -248,6 +248,35 @@ def align_peaks(peaks: DataFrame, ppm: float = 10.0) -> DataFrame:
     return named.groupBy("feature", "pixel_id").agg(F.sum("intensity").alias("intensity"))
 
 
+def reference_peaks(peaks: DataFrame, ppm: float = 10.0) -> DataFrame:
+    """Reference m/z values of a set of peaks, in order of m/z without a gap wider than the tolerance: feature, center, by
+    the mean of each run. Bins of the tolerance's width are merged with their neighbour where the peaks at the border are
+    nearer than the tolerance, so that none is split."""
+    b = F.floor(F.ln("mz") / (ppm * 1e-6))
+    bins = peaks.groupBy(b.alias("bin")).agg(F.min("mz").alias("low"), F.max("mz").alias("high"), F.sum("mz").alias("total"), F.count("*").alias("n"))
+    # only bins that follow each other can touch: runs of consecutive bins are the groups within which borders are looked at
+    w = Window.partitionBy(F.floor(F.col("bin") / 4096)).orderBy("bin")
+    fresh = F.coalesce((F.col("low") - F.lag("high").over(w)) > F.col("low") * ppm * 1e-6, F.lit(True))
+    runs = bins.withColumn("run", F.sum(fresh.cast("int")).over(w)).groupBy(F.floor(F.col("bin") / 4096).alias("part"), "run").agg((F.sum("total") / F.sum("n")).alias("center"))
+    return runs.select(F.format_string("mz_%.4f", "center").alias("feature"), "center")
+
+
+def fill_peaks(spectra: DataFrame, reference: DataFrame, ppm: float = 10.0) -> DataFrame:
+    """The second pass: for each spectrum and reference m/z the largest intensity within the tolerance, whether it was
+    picked as a peak or not. No row where a spectrum has no point there."""
+    from ..operators.annotate import band_join
+
+    points = spectra.select("x", "y", F.explode(F.arrays_zip("mz", "intensity")).alias("p")).select("x", "y", "p.mz", "p.intensity")
+    near = band_join(points, reference.withColumn("mz_db", F.col("center")), ppm)
+    pixel = F.concat(F.lit("y"), F.col("y").cast("string"), F.lit("x"), F.col("x").cast("string"))
+    return near.groupBy("feature", pixel.alias("pixel_id")).agg(F.max("intensity").alias("intensity"))
+
+
+def peak_process(spectra: DataFrame, snr: float = 3.0, ppm: float = 10.0) -> DataFrame:
+    """Both passes: peaks are picked, their m/z values become the reference, and every spectrum is read there again."""
+    return fill_peaks(spectra, reference_peaks(pick_peaks(spectra, snr), ppm), ppm)
+
+
 # --- sinks -----------------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -268,9 +297,10 @@ def write_tsv(df: DataFrame, path: str, sep: str = "\t") -> None:
 
 def matrix_lines(m: DataFrame) -> DataFrame:
     """feature and its tab-separated cells over the sorted pixels: the wide matrix without a wide plan."""
-    order = m.select("pixel_id").distinct().agg(F.sort_array(F.collect_set("pixel_id")).alias("cols"))
-    own = m.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("pixel_id", number_text(F.col("intensity")).alias("t")))).alias("v"))
-    return own.crossJoin(F.broadcast(order)).select("feature", F.concat_ws("\t", F.col("feature"), F.array_join(F.transform("cols", lambda c: F.coalesce(F.try_element_at("v", c), F.lit(""))), "\t")).alias("line"))
+    from ..operators.distance import dense
+
+    cells = dense(m, number_text(F.col("intensity")), F.lit(""))
+    return cells.select("feature", F.concat_ws("\t", F.col("feature"), F.array_join("values", "\t", "")).alias("line"))
 
 
 def triangle_lines(d: DataFrame) -> DataFrame:
@@ -286,3 +316,27 @@ def pixel_cluster_rows(p: DataFrame, clusters: DataFrame) -> DataFrame:
     cluster, cluster_size)."""
     own = p.join(clusters, p["pixel_id"] == clusters["leaf"])
     return own.select(F.col("pixel_id").alias("Pixel"), F.col("x_coord").alias("X"), F.col("y_coord").alias("Y"), F.col("leaf_order").alias("tree order"), F.lpad(F.regexp_replace("cluster", "^C0*", ""), 3, "0").alias("cluster"), "cluster_size")
+
+
+#: Headers of a mapping table in their order; fields that no record has are left out.
+MAPPING = ["accession", "name", "chemical_formula", "monisotopic_molecular_weight", "iupac_name", "traditional_iupac", "inchi", "kegg_id", "pubchem_compound_id"]
+
+
+def mapping_table(records: DataFrame) -> DataFrame:
+    """One row an accession in order of accession, each field's distinct values in order, joined by |."""
+    kept = [c for c in MAPPING if c in records.columns]
+    joined = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(F.col(c) != "", F.col(c).cast("string")))), "|").alias(c)
+    return records.where("accession is not null").groupBy("accession").agg(*(joined(c) for c in kept if c != "accession")).select(*kept)
+
+
+def ccs_table(library: DataFrame, adducts: tuple[str, ...] = ("[M+H]+", "[M+Na]+", "[M-H]-")) -> DataFrame:
+    """A library's columns, the formula chosen, and a ``CCS: adduct`` column for each adduct in order of name; no CCS of
+    [M-H]- for a formula without hydrogen."""
+    bare = (F.col("formula") != "") & ~F.col("formula").rlike("H(?![a-z])")
+    value = lambda a: F.when(F.lit(a == "[M-H]-") & F.coalesce(bare, F.lit(False)), None).otherwise(F.try_element_at("ccs", F.lit(a)))
+    return library.select(*(c for c in library.columns if c != "ccs"), F.col("formula").alias("formula_chosen"), *(value(a).alias(f"CCS: {a}") for a in sorted(adducts)))
+
+
+def weight_rows(weights: DataFrame) -> DataFrame:
+    """Leaf and Weight with 14 significant digits."""
+    return weights.select(F.col("leaf").alias("Leaf"), general_text(F.col("weight"), 14).alias("Weight"))

@@ -227,7 +227,7 @@ def test_all_parts_are_annotated(spark):
     from pixelweave.plans.registry import queries
 
     d = "/root/testdata/sf0.001"
-    lib, pk = Q.library(spark, d).where("charge = 0").collect(), Q.all_peaks(spark, d).collect()
+    lib, pk = Q.library(spark, d).where("charge = 0").collect(), Q.peaks(spark, d).collect()
     assert len(pk) == spark.read.parquet(f"{d}/part.parquet").count()
     want = set()
     for p in pk:
