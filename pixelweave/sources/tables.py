@@ -57,8 +57,10 @@ def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     a, x, y, c = ("Pixel", "X", "Y", "cluster") if t.columns[:7] == SEVEN else t.columns[:4]
     color = F.col("color") if "color" in t.columns else F.concat(F.lit("x"), F.upper(F.substring(F.md5(F.concat(F.lit("12345:"), F.col(f"`{c}`")).cast("binary")), 1, 6)))
     own = t.select(F.col(f"`{a}`").alias("pixel_id"), F.col(f"`{x}`").try_cast("int").alias("x_coord"), F.col(f"`{y}`").try_cast("int").alias("y_coord"), F.col(f"`{c}`").alias("hc_orig"), color.alias("color"))
-    order = F.row_number().over(Window.orderBy("y_coord", "x_coord", "pixel_id"))
-    return own.select(order.alias("row_id"), "pixel_id", "x_coord", "y_coord", "hc_orig", F.lit("Default").alias("hc_manual"), F.lit("Default").alias("mz_manual"), "color")
+    from ..operators.selection import numbered
+
+    rows = numbered(own, "row_id", "y_coord", "x_coord", "pixel_id")
+    return rows.select(F.col("row_id").cast("int"), "pixel_id", "x_coord", "y_coord", "hc_orig", F.lit("Default").alias("hc_manual"), F.lit("Default").alias("mz_manual"), "color")
 
 
 def read_pipeline_pixels(spark: SparkSession, path: str) -> DataFrame:
