@@ -6,8 +6,8 @@
   and computes features.
 * ``decode_adpcm`` decodes blocks of an IMA ADPCM stream, all blocks at once, one nibble position a step.
 
-Files and PCM are written to the shared folder as tables; the query's rows come from what is read there. Texts of any
-length are one file, up to the 4 GB of the format.
+Files are written to the shared folder as a table, and results come from what is read there; the resampled PCM is a
+column of the result, to be stored with it. Texts of any length are one file, up to the 4 GB of the format.
 
 Nulls and empty texts give one unit of 64 zero bytes. Equal payloads give equal rows, whatever stands beside them.
 Extra columns are ignored; repeated rows are kept; an empty table gives an empty table.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, discard, id_text, map_batches, slices, written
+from .common import arrow_batch, id_text, map_batches, slices, written
 
 UNIT = 64
 FORMATS = {"alaw": 6, "mulaw": 7}
@@ -181,11 +181,9 @@ def read_audio(stored: DataFrame) -> DataFrame:
 
 
 def telephony_audio(docs: DataFrame) -> DataFrame:
-    """Rows of ``read_audio`` by way of both stored forms, with length and digest of the stored PCM in its place."""
-    files = written(store_audio(docs), "audio-files", "zstd")
-    pcm = written(read_audio(files), "audio-pcm", "zstd")
-    discard(files)
-    return pcm.select("*", F.octet_length("pcm").cast("long").alias("pcm_bytes"), F.sha2("pcm", 256).alias("pcm_sha256")).drop("pcm")
+    """Rows of ``read_audio`` from stored files, with length and digest of the resampled PCM beside it."""
+    found = read_audio(written(store_audio(docs), "audio-files", "zstd"))
+    return found.withColumns({"pcm_bytes": F.octet_length("pcm").cast("long"), "pcm_sha256": F.sha2("pcm", 256)})
 
 
 def op1_telephony_audio(spark, sf_dir: str) -> DataFrame:

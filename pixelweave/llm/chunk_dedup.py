@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import apart, apply_groups, arrow_batch, bitmap, discard, filter_bits, id_text, map_batches, marked, slices, written
 from .hashing import U, WHITE, byte_values, span_hashes
 from .jaccard_join import COUNT_BITS, blobs_of, bucket_bits, bucketed, flush_size, from_planes, planes, steps
+from .pii import bind
 
 WORD_BITS, WIDE_BITS = 2, 3
 MIN_WORDS = 16
@@ -231,12 +232,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = docs["doc_id"].cast("long")
     maybe, sure = apart(docs, key(own, text64(docs["text"])), gone, "pw_key")
     joined = maybe.join(gone.drop("pw_key"), maybe["doc_id"].cast("long").eqNullSafe(gone["pw_id"]) & (text64(maybe["text"]) == gone["pw_text"]), "left").drop("pw_id", "pw_text")
-    raw = F.encode("text", "UTF-8")
-    piece = lambda a, b: F.decode(F.substr(raw, (a + 1).cast("int"), (b - a).cast("int")), "UTF-8")
-    # what stays lies between the end of one removed chunk and the start of the next
+    # what stays lies between the end of one removed chunk and the start of the next; the bytes are made once a text
     edges = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))), F.col("pw_gone"))
     starts = F.concat(F.transform("pw_gone", lambda x: x["start"]), F.array(F.octet_length("text").cast("long")))
-    new = F.array_join(F.zip_with(edges, starts, lambda e, s: piece(e["end"], s)), "")
+    piece = lambda raw, a, b: F.substr(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string")
+    new = bind(F.col("text").cast("binary"), lambda raw: F.array_join(F.zip_with(edges, starts, lambda e, s: piece(raw, e["end"], s)), ""))
     out = joined.withColumn("text", F.when(F.col("pw_gone").isNotNull() & F.col("text").isNotNull(), new).otherwise(F.col("text"))).drop("pw_gone")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -61,7 +61,7 @@ def apart(docs: DataFrame, key: Column, keys: DataFrame, name: str) -> tuple[Dat
 
 
 #: Rows of an Arrow batch: texts of tens of kilobytes still make batches of tens of megabytes.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def id_text(docs: DataFrame, *columns: str) -> DataFrame:

@@ -52,7 +52,7 @@ SMALL = 8
 TRIE_SETS, TRIE_ITEMS = 1000, 1 << 21
 #: Sets of a block's group that stand for it before blocks are compared, and the least group that they stand for.
 STAND_FOR, LEAST_GROUP = 4, 16
-FLUSH = 1 << 19
+FLUSH = 300_000
 MAX_BUCKET_BITS = 18
 
 META = "doc_id long, n long, digest long, again long, sketch binary"

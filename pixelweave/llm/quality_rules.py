@@ -3,7 +3,8 @@
 ``measures`` turns a text into counts with built-in array and string functions; ``verdict`` turns rows of the threshold
 table (measure, least, most) into one boolean expression. A ratio whose base is zero passes.
 
-Null and empty texts have no words and fail. Repeated rows are kept; an empty table gives an empty table. Columns of
+Null and empty texts have no words and fail. Texts of any length are read whole: words and their windows are sorted, not
+compared pairwise. Repeated rows are kept; an empty table gives an empty table. Columns of
 the input don't clash: measures are fields of one struct under a name of its own.
 """
 

@@ -2,7 +2,8 @@
 
 Messages are nodes with a parent. Iterative self-joins double the distance of ancestor pointers, then add to each leaf's
 path the ancestors at these distances, so that paths of any depth need a logarithmic number of joins and rows in
-proportion to the paths. Branches rank by the sum of their scores (ties: smaller leaf); the chosen paths are formatted.
+proportion to the paths. Branches rank by the sum of their scores (ties: smaller leaf); only the chosen paths meet their
+texts and are formatted.
 
 Template: a turn is ``### role: text</turn>`` and a line break. In texts a backslash becomes ``\\b``, ``###`` ``\\h`` and
 ``</turn>`` ``\\t``; in roles a colon also becomes ``\\c`` and a line break ``\\n``. Every backslash of the result has its letter
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
+from .pii import bind, pair, running
 
 HEAD, END = "### ", "</turn>\n"
 
@@ -74,20 +76,22 @@ def format_trees(nodes: DataFrame, best: int = 1) -> DataFrame:
     """
     nodes = written(nodes.select("conv_id", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"), "role", "text"), "nodes")
     depth = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 1
-    same = F.col("a.conv_id").eqNullSafe(F.col("b.conv_id"))
-    paths = leaf_paths(nodes, depth).alias("a").join(nodes.alias("b"), same & (F.col("a.node") == F.col("b.node"))).select("a.conv_id", "a.leaf", "a.level", "b.score", "b.role", "b.text")
-    turns = F.sort_array(F.collect_list(F.struct((-F.col("level")).alias("at"), escape_role(F.col("role")).alias("role"), escape(F.col("text")).alias("text"))))
-    whole = paths.groupBy("conv_id", "leaf").agg(F.sum("score").alias("score"), turns.alias("turns"))
+    paths = leaf_paths(nodes, depth)
+    on = lambda *names: [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]
+    scored = paths.alias("a").join(nodes.alias("b"), on("conv_id", "node")).groupBy("a.conv_id", "a.leaf").agg(F.sum("b.score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("score"), "leaf"))
-    chosen = whole.withColumn("branch", rank).where(F.col("branch") <= best)
+    chosen = scored.withColumn("branch", rank).where(F.col("branch") <= best)
+    own = paths.alias("a").join(chosen.alias("b"), on("conv_id", "leaf")).select("a.conv_id", "a.leaf", "a.node", "a.level", "b.branch", "b.score")
+    own = own.alias("a").join(nodes.alias("b"), on("conv_id", "node")).select("a.conv_id", "a.leaf", "a.level", "a.branch", "a.score", "b.role", "b.text")
+    turns = F.sort_array(F.collect_list(F.struct((-F.col("level")).alias("at"), escape_role(F.col("role")).alias("role"), escape(F.col("text")).alias("text"))))
+    whole = own.groupBy("conv_id", "leaf", "branch", "score").agg(turns.alias("turns"))
     head = lambda t: F.concat(F.lit(HEAD), t["role"], F.lit(": "))
     formatted = F.array_join(F.transform("turns", lambda t: F.concat(head(t), t["text"], F.lit(END))), "")
-    size = lambda t: F.length(head(t)) + F.length(t["text"]) + len(END)
-    walk = F.aggregate(
-        "turns", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda s, t: F.struct((s["at"] + size(t)).alias("at"), F.when(t["role"] == "assistant", F.concat(s["spans"], F.array(F.struct((s["at"] + F.length(head(t))).alias("start"), (s["at"] + F.length(head(t)) + F.length(t["text"])).alias("end"))))).otherwise(s["spans"]).alias("spans")),
-    )
-    return written(chosen.select("conv_id", "leaf", "branch", "score", formatted.alias("formatted"), walk["spans"].alias("loss")), "formatted")
+    sizes = F.transform("turns", lambda t: pair(F.length(head(t)) + F.length(t["text"]) + len(END), F.lit(0)))
+    begun = bind(sizes, lambda x: running(x, pair(F.lit(0), F.lit(0)), lambda s, y: pair(s["a"] + y["a"], F.lit(0))))
+    spans = F.zip_with("turns", begun, lambda t, at: F.struct((at["a"] + F.length(head(t))).alias("start"), (at["a"] + F.length(head(t)) + F.length(t["text"])).alias("end"), (t["role"] == "assistant").alias("own")))
+    loss = F.transform(F.filter(spans, lambda x: x["own"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    return written(whole.select("conv_id", "leaf", "branch", "score", formatted.alias("formatted"), loss.alias("loss")), "formatted")
 
 
 def read_formatted(df: DataFrame) -> DataFrame:

@@ -84,3 +84,78 @@ def test_conversations(spark):
     assert {k: v.n_turns for k, v in out.items()} == {1: 3, None: 1, 2: 1, 3: 1}
     assert out[2].loss_chars == len("\\h ### </turn>")
     assert reply_trees.format_trees(reply_trees.linear_nodes(c.limit(0))).count() == 0
+
+
+def sorted_rows(df):
+    return sorted(df.collect(), key=repr)
+
+
+RESULTS = ROWWISE | {
+    "packing": lambda d, l: packing.pack_documents(d, WORD).select("doc_id", "start", "length", "ids_crc32", "doc_tokens"),
+    "passages": lambda d, l: chunk_dedup.repeated_passages(d),
+    "mask": lambda d, l: pii.mask(d).select("doc_id", "text"),
+    "keep_good": lambda d, l: quality_rules.keep_good(d).select("doc_id", "text"),
+    "keep_one": lambda d, l: jaccard_join.keep_one(d).select("doc_id", "text"),
+    "remove": lambda d, l: chunk_dedup.remove_repeats(d).select("doc_id", "text"),
+}
+MORE = [(20, "the same passage " * 40, "a"), (21, "before it " + "the same passage " * 40, "a"), (22, "write to x@y.zz or 10.0.0.1 " * 30, "b")]
+
+
+@pytest.mark.parametrize("name", RESULTS)
+def test_clashing_columns_change_no_value(spark, docs, labels, name):
+    more = spark.createDataFrame(MORE, "doc_id long, text string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    for c in docs.columns[4:]:
+        more = more.withColumn(c, F.lit(c))
+    whole = docs.unionByName(more)
+    drop = {"sharding": ["shard"]}.get(name, [])  # whole rows are hashed there
+    got, want = RESULTS[name](whole, labels), RESULTS[name](whole.select("doc_id", "text", "source", "n_chars"), labels)
+    columns = [c for c in want.columns if c not in drop]
+    if name == "sharding":
+        assert got.count() == want.count()
+    else:
+        assert sorted_rows(got.select(*columns)) == sorted_rows(want.select(*columns))
+
+
+def test_scores_of_odd_rows(spark, docs, labels):
+    got = {}
+    for r in qda.quality_scores(docs, labels).collect():
+        got.setdefault(r.doc_id, set()).add((r.held_out, r.score, r.predicted))
+    assert {s for _, s, _ in got[1]} == {s for _, s, _ in got[2]} and len(got[4]) == 1  # null is empty; equal rows are equal
+    assert all(0 <= s <= 1 and p == int(s >= qda.THRESHOLD) for rows in got.values() for _, s, p in rows)
+    none = qda.quality_scores(docs, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5} and {r.predicted for r in none} == {0}
+    one = qda.quality_scores(docs, spark.createDataFrame([(4, 1)], "doc_id long, quality int")).collect()
+    assert {r.score for r in one} <= {0.5, 1.0}
+
+
+def test_ties_between_branches(spark):
+    """Equal scores: the smaller leaf is the better branch; of a score that is missing nothing is added."""
+    nodes = spark.createDataFrame([(1, 1, None, 0.0, "user", "q"), (1, 3, 1, 2.0, "assistant", "b"), (1, 2, 1, 2.0, "assistant", "a"), (1, 4, 1, None, "assistant", "c")], "conv_id long, node long, parent long, score double, role string, text string")
+    got = {r.branch: r.leaf for r in reply_trees.format_trees(nodes, 3).collect()}
+    assert got == {1: 2, 2: 3, 3: 4}
+
+
+def test_long_conversations(spark):
+    n = 3000
+    rows = [(1, k, "assistant" if k % 2 else "user", f"t{k}") for k in range(n)]
+    r = reply_trees.read_back(reply_trees.format_trees(reply_trees.linear_nodes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))).collect()[0]
+    assert (r.n_turns, r.loss_chars) == (n, sum(len(f"t{k}") for k in range(1, n, 2)))
+
+
+def test_texts_of_megabytes(spark, labels):
+    """One text of many words, and one long word, whole in every operator."""
+    words = [f"w{k % 5000}" for k in range(200_000)]
+    long = [(1, " ".join(words), "a"), (2, "x" * 2_000_000, "a"), (3, "short", "b")]
+    d = spark.createDataFrame(long, "doc_id long, text string, source string").repartition(2)
+    assert {r.doc_id: r.n_bytes for r in audio.telephony_audio(d).collect()} == {k: len(t) for k, t, _ in long}
+    assert {r.doc_id: r.n_shingles for r in jaccard_join.jaccard_classes(d).collect()} == {1: 5000, 2: 1, 3: 1}
+    assert {r.doc_id: r.n_words for r in quality_rules.quality_report(d).collect()} == {1: 200_000, 2: 1, 3: 1}
+    assert {r.doc_id for r in qda.quality_scores(d, labels).collect()} == {1, 2, 3}
+    assert all(r.n_email == 0 for r in pii.pii_report(d).collect())
+    import hashlib
+
+    assert {r.doc_id: r.decoded_sha256 for r in bpe.round_trip(d, BYTE, public_tokenizers.PATTERN).collect()} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t, _ in long}
+    rows = packing.pack_documents(d, WORD).collect()
+    assert sum(r.length for r in rows) == sum({r.doc_id: r.doc_tokens for r in rows}.values())
+    # within a text every window of 5000 words comes again: its first copy stays
+    assert {r.doc_id: len(r.text) for r in chunk_dedup.remove_repeats(d).collect()}[1] < 0.1 * len(long[0][1])
