@@ -136,6 +136,22 @@ q AS (SELECT pathway, pathway_size, overlap_count, overlap_metabolites, pathway_
 t AS (SELECT pathway, pathway_size, overlap_count, overlap_metabolites, least(1.0, sum({hypergeometric_sql()})) AS p_value FROM q GROUP BY ALL),
 k AS (SELECT *, count(*) OVER () AS n, count(*) OVER (ORDER BY p_value) AS k FROM t), o AS (SELECT *, {BH} AS adj_p_value FROM k)"""
 
+G_SQL = f"""WITH {VECTOR_PIXELS_SQL}, l AS (SELECT hc_manual AS label, row_number() OVER (ORDER BY pixel_id) AS k FROM q),
+w AS (SELECT pixel_id, x_coord AS x, y_coord AS y, s, row_number() OVER (PARTITION BY s ORDER BY md5(pixel_id || ':' || s), pixel_id) AS k FROM q, range(0, 5) AS r(s)),
+e AS (SELECT -1 AS s, hc_manual AS label, pixel_id, x_coord AS x, y_coord AS y FROM q UNION ALL SELECT s, label, pixel_id, x, y FROM w JOIN l USING (k)),
+b AS (SELECT s, label, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM e GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT a.s, a.label, a.pixel_id, any_value(a.x) AS x, any_value(a.y) AS y, min(sqrt(pow(a.x - c.x, 2) + pow(a.y - c.y, 2))) AS d FROM e a JOIN e c ON a.s = c.s AND a.label = c.label AND a.pixel_id <> c.pixel_id GROUP BY ALL),
+i AS (SELECT s, label, d, least(x - x0, x1 - x, y - y0, y1 - y) AS edge FROM n JOIN b USING (s, label)),
+g AS (SELECT s, label, r, count_if(edge >= r AND d <= r) / nullif(count_if(edge >= r), 0) AS g FROM i, (VALUES (1.0), (1.5), (2.0), (2.5), (3.0)) AS t(r) GROUP BY ALL),
+m AS (SELECT label, r, avg(g) AS permed FROM g WHERE s >= 0 GROUP BY ALL)
+SELECT label, r::DOUBLE AS r, round(g, 6) AS observed, round(permed, 6) AS permed, round(g - permed, 6) AS fundiff, (SELECT count(*) FROM q) AS n_pixels FROM g LEFT JOIN m USING (label, r) WHERE s < 0"""
+GRADIENT_SQL = f"""{DIST}, o AS (SELECT feature, intensity AS y, round(dist, 6) AS x, quantile_cont(intensity, 0.25) OVER f AS q1, quantile_cont(intensity, 0.75) OVER f AS q3 FROM m JOIN t USING (pixel_id) WINDOW f AS (PARTITION BY feature)),
+k AS (SELECT feature, x, y FROM o WHERE y >= q1 - 1.5 * (q3 - q1) AND y <= q3 + 1.5 * (q3 - q1)), r AS (SELECT feature, x, y, {RANKS.format('feature', 'x')} AS rx, {RANKS.format('feature', 'y')} AS ry FROM k),
+s AS (SELECT feature, regr_slope(y, x) AS b, sqrt((regr_syy(y, x) - pow(regr_slope(y, x), 2) * regr_sxx(y, x)) / (count(*) - 2) / regr_sxx(y, x)) AS se, count(*) - 2.0 AS df, corr(rx, ry) AS rho FROM r GROUP BY feature),
+u AS (SELECT *, rho * sqrt(df / (1 - rho * rho)) AS t, b / se AS tb FROM s), p2 AS (SELECT feature, b, rho, {student_two_sided_sql('tb', 'df')} AS lm_pval, {student_two_sided_sql('t', 'df')} AS p_value FROM u),
+h AS (SELECT *, count(*) OVER () AS n, count(*) OVER (ORDER BY p_value) AS k FROM p2)
+SELECT feature AS molecule, round(b, 6) AS lm_coef, round(lm_pval, 6) AS lm_pval, round(rho, 6) AS spearman_r, round(p_value, 6) AS spearman_r_pval, NULL::VARCHAR AS pval_comment, round({BH}, 6) AS spearman_r_pval_adj FROM h"""
+
 QUERIES = {
     "t1_wilcoxon": (de("wilcoxon"), f"{RANKED_SQL} SELECT feature AS metabolite, 'd0_vs_d3' AS cluster, round(mean1, 6) AS avg_log_itx1, round(mean2, 6) AS avg_log_itx2, round({RATIO.format('median1', 'median2')}, 6) AS log_fc, round(w, 6) AS test_statistic, round(p_value, 6) AS p_value, round(adj_p_value, 6) AS adj_p_value FROM de"),
     "t1_rank_sums": (lambda s, d: T.rank_sums(groups(s, d)).select("feature", "n1", "n2", "w", "z", "mean1", "mean2", "median1", "median2"), f"{WSUM} SELECT feature, n1, n2, round(w, 6) AS w, round((c - sign(c) * 0.5) / sigma, 6) AS z, round(mean1, 6) AS mean1, round(mean2, 6) AS mean2, round(median1, 6) AS median1, round(median2, 6) AS median2 FROM z"),
@@ -155,7 +171,7 @@ SELECT feature, round(any_value(n) / (SELECT count(*) FROM e) * sum(a.z * b.z) /
     "t11_gradient_reference": (lambda s, d: T.gradient_reference(sales_pixels(s), "d0", 4), f"WITH {PX}, r AS (SELECT * FROM p WHERE hc_orig = 'd0'), k AS (SELECT a.pixel_id AS i, b.pixel_id AS j, sqrt(pow(a.x_coord - b.x_coord, 2) + pow(a.y_coord - b.y_coord, 2)) AS d FROM r a CROSS JOIN r b), c AS (SELECT min(d) FILTER (WHERE i <> j) AS least, quantile_cont(d, 0.2) AS q20 FROM k) SELECT i AS pixel_id FROM k, c WHERE i <> j AND d >= 0.25 * least AND d <= q20 GROUP BY i HAVING count(*) >= 4"),
     "t11_spatial_gradient": (lambda s, d: T.spatial_gradient(sales_matrix(s, d), A.distance_to_domain(sales_pixels(s), "d0"), log_dist=True), None),
     "t12_gradient_lines": (lambda s, d: T.gradient_lines(sales_matrix(s, d), A.distance_to_domain(sales_pixels(s), "d0")), f"{DIST} SELECT feature, round(regr_slope(intensity, dist), 6) AS slope, round(regr_intercept(intensity, dist), 6) AS intercept, round(regr_r2(intensity, dist), 6) AS r2 FROM m JOIN t USING (pixel_id) GROUP BY feature"),
-    "t13_gradient_without_outliers": (lambda s, d: T.spatial_gradient(sales_matrix(s, d), A.distance_to_domain(sales_pixels(s), "d0"), robust=False, out_rm=True), None),
+    "t13_gradient_without_outliers": (lambda s, d: T.spatial_gradient(sales_matrix(s, d), A.distance_to_domain(sales_pixels(s), "d0").withColumn("dist", F.round("dist", 6)), robust=False, out_rm=True), GRADIENT_SQL),
     "t15_spearman": (lambda s, d: T.spearman(sales_matrix(s, d), A.distance_to_domain(sales_pixels(s), "d0").select("pixel_id", F.round("dist", 6).alias("dist"))), f"{DIST}, u AS (SELECT pixel_id, round(dist, 6) AS dist FROM t), r AS (SELECT feature, {RANKS.format('feature', 'intensity')} AS a, {RANKS.format('feature', 'dist')} AS b FROM m JOIN u USING (pixel_id)) SELECT feature, round(corr(a, b), 6) AS spearman_r FROM r GROUP BY feature"),
     "t17_pca": (pca_shares, None),
     "t17_pca_scores": (lambda s, d: T.pca(vector_matrix(s, d), 3)[0], None),
@@ -163,7 +179,7 @@ SELECT feature, round(any_value(n) / (SELECT count(*) FROM e) * sum(a.z * b.z) /
     "t19_scatter_fit": (lambda s, d: T.scatter_fit(T.scatter(vector_matrix(s, d), "f0", "f1")), f"{V}, x AS (SELECT pixel_id, max(intensity) FILTER (WHERE feature = 'f0') AS x, max(intensity) FILTER (WHERE feature = 'f1') AS y FROM v GROUP BY pixel_id) SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2, regr_count(y, x)::BIGINT AS n FROM x"),
     "t20_ellipses": (lambda s, d: T.ellipses(T.pca(vector_matrix(s, d), 3)[0], vector_pixels(s, d)), None),
     "t21_distributions": (lambda s, d: T.distributions(vector_matrix(s, d), vector_pixels(s, d)), f"{V}, {VP} SELECT feature, hc_manual AS label, round(min(intensity), 6) AS low, round(quantile_cont(intensity, 0.25), 6) AS q1, round(median(intensity), 6) AS median, round(quantile_cont(intensity, 0.75), 6) AS q3, round(max(intensity), 6) AS high, count(intensity) AS n FROM v JOIN q USING (pixel_id) GROUP BY ALL"),
-    "t22_g_curves": (lambda s, d: T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0]), None),
+    "t22_g_curves": (lambda s, d: T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0]), G_SQL),
     "t22_curve_components": (lambda s, d: T.curve_components(T.g_curves(vector_pixels(s, d).drop("vec_id"), [0.0, 1.0, 1.5, 2.0, 2.5, 3.0]))[0], None),
     "t23_correlations": (lambda s, d: T.correlations(vector_matrix(s, d), vector_matrix(s, d).select("feature").distinct()), f"{V}, f AS (SELECT * FROM v) SELECT a.feature AS a, b.feature AS b, round(corr(a.intensity, b.intensity), 6) AS r FROM f a JOIN f b ON a.pixel_id = b.pixel_id AND a.feature < b.feature GROUP BY ALL"),
     "t23_correlations_spearman": (lambda s, d: T.correlations(vector_matrix(s, d), vector_matrix(s, d).select("feature").distinct(), "spearman"), f"{V}, f AS (SELECT feature, pixel_id, {RANKS.format('feature', 'intensity')} AS r FROM v) SELECT a.feature AS a, b.feature AS b, round(corr(a.r, b.r), 6) AS r FROM f a JOIN f b ON a.pixel_id = b.pixel_id AND a.feature < b.feature GROUP BY ALL"),

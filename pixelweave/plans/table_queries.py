@@ -73,9 +73,16 @@ def annotated(s, d):
     return A.annotation_table(own, ["peak"])
 
 
+#: Names and the form in which their synonyms meet.
+CONFORMED = [
+    ("alpha-D-Glucose", "adglucose"), ("L-Glutamic acid", "glutamate"), ("Butanoic acid", "butyrate"), ("2-Aminoethylphosphonate", "baminoethylphosphonate"), ("N-Acetyl_neuraminic acid (NANA)", "nacetylneuraminate"), ("Sulphuric acid", "sulfurate"),
+    ("Monomethyl glutaric acid", "methylglutarate"), ("D-(+)-Galactosamine", "dgalactosamine"), ("1-(-)-galacturonate", "a-galacturonate"), ("5-Hydroxy-L-tryptophan", "ehydroxytryptophan"), ("Benzoates", "benzoate"), ("glycineglycine", "glycine"),
+    ("Acids, palmitic", "palmitate"), ("β-Alanine", "balanine"), ("(±)-Menthol", "menthol"), ("3,4-Dihydroxy-phenyl", "g,ddihydroxyphenyl"), ("", ""),
+]
+
+
 def conformed(s, d):
-    names = [(x,) for x in ("alpha-D-Glucose", "L-Glutamic acid", "Butanoic acid", "2-Aminoethylphosphonate", "N-Acetyl_neuraminic acid (NANA)", "Sulphuric acid", "Monomethyl glutaric acid", "D-(+)-Galactosamine", "1-(-)-galacturonate", "5-Hydroxy-L-tryptophan", "Benzoates", "glycineglycine", "Acids, palmitic", "β-Alanine", "(±)-Menthol", "3,4-Dihydroxy-phenyl", "")]
-    return s.createDataFrame(names, "name string").select("name", N.conform_name(F.col("name")).alias("conformed"))
+    return s.createDataFrame([(a,) for a, _ in CONFORMED], "name string").select("name", N.conform_name(F.col("name")).alias("conformed"))
 
 
 def formulas(s, d):
@@ -101,10 +108,15 @@ QUERIES = {
     "j17_distance_to_domain": (lambda s, d: A.distance_to_domain(sales_pixels(s), "d0", "min"), f"WITH {PX} SELECT a.pixel_id, round(min(sqrt(pow(a.x_coord - b.x_coord, 2) + pow(a.y_coord - b.y_coord, 2))), 6) AS dist FROM p a JOIN p b ON b.hc_orig = 'd0' WHERE a.hc_orig <> 'd0' GROUP BY a.pixel_id"),
     "a17_polarity": (lambda s, d: A.polarity(best(s, d)), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT count_if(adduct LIKE '%]+')::BIGINT AS n_pos, count_if(adduct LIKE '%]-')::BIGINT AS n_neg, CASE WHEN count_if(adduct LIKE '%]+') >= count_if(adduct LIKE '%]-') THEN '[M+H]+' ELSE '[M-H]-' END AS assumed FROM b"),
     "a19_annotation_table": (lambda s, d: annotated(s, d).select("peak", "n_matches"), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL} SELECT peak, count(*) AS n_matches FROM b x WHERE source = 'HMDB' OR NOT EXISTS (SELECT 1 FROM b y WHERE y.source = 'HMDB' AND y.peak = x.peak AND (y.inchi = x.inchi OR y.kegg = x.kegg)) GROUP BY peak"),
-    "k12_annotated_peaks": (annotated, None),
+    "k12_annotated_peaks": (annotated, f"""WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL},
+x AS (SELECT *, replace(name, ' ', '') AS c FROM b x WHERE source = 'HMDB' OR NOT EXISTS (SELECT 1 FROM b y WHERE y.source = 'HMDB' AND y.peak = x.peak AND (y.inchi = x.inchi OR y.kegg = x.kegg))),
+r AS (SELECT *, row_number() OVER (PARTITION BY peak ORDER BY kegg IS NULL, length(c), c, length(name), name, mol_id) AS r, count(*) OVER (PARTITION BY peak) AS n FROM x), first15 AS (SELECT * FROM r WHERE r <= 15),
+f AS (SELECT peak, kind, string_agg(v, ' | ' ORDER BY r) AS v FROM (SELECT peak, kind, v, min(r) AS r FROM (SELECT peak, 'name' AS kind, name AS v, r FROM first15 UNION ALL SELECT peak, 'inchi', inchi, r FROM first15 UNION ALL SELECT peak, 'kegg', kegg, r FROM first15) WHERE v <> '' GROUP BY ALL) GROUP BY ALL)
+SELECT t.peak, any_value(n) AS n_matches, 'C6H12O6' AS formula, max(v) FILTER (WHERE kind = 'name') AS name, max(v) FILTER (WHERE kind = 'inchi') AS inchi, '' AS hmdb, coalesce(max(v) FILTER (WHERE kind = 'kegg'), '') AS kegg, '' AS cid FROM first15 t JOIN f ON f.peak = t.peak GROUP BY t.peak"""),
     "k13_annotated_matrix": (lambda s, d: A.annotated_peaks(peaks(s, d).withColumn("mean", F.col("ccs") * 2), best(s, d), ["peak"]).select("peak", "mean", F.col("`Number of matches`").alias("n"), F.col("CCS matched").alias("matched"), F.col("`PPM tolerence`").alias("tolerance")), f"WITH {PEAK_SQL}, {LIB_SQL}, {ADDUCT_SQL}, {HIT_SQL}, {BEST_SQL}, c AS (SELECT peak, count(*) AS n, bool_or(pass = 1) AS matched, min(tolerance) AS tolerance FROM b GROUP BY peak) SELECT peak, 2 * ccs AS mean, coalesce(n, 0) AS n, matched, tolerance FROM pk LEFT JOIN c USING (peak)"),
-    "f1_conform_name": (conformed, None),
-    "f2_conform_formula": (formulas, None),
+    "f1_conform_name": (conformed, "SELECT name, conformed FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in CONFORMED) + ") AS t(name, conformed)"),
+    "f2_conform_formula": (formulas, """SELECT f, plain, h, minus_h, na, common FROM (VALUES ('C6H12O6', 'C6H12O6', 'C6H13O6', 'C6H11O6', 'C6H12NaO6', true), ('H2O', 'H2O', 'H3O', 'HO', 'H2NaO', true), ('C10H16N5O13P3', 'C10H16N5O13P3', 'C10H17N5O13P3', 'C10H15N5O13P3', 'C10H16N5NaO13P3', true),
+('NaCl', 'ClNa', 'ClHNa', NULL, 'ClNa2', false), ('CH3CH2OH', NULL, NULL, NULL, NULL, true), ('C2H5Br', 'C2H5Br', 'C2H6Br', 'C2H4Br', 'C2H5BrNa', false), ('', NULL, NULL, NULL, NULL, false), ('X?', NULL, NULL, NULL, NULL, false)) AS t(f, plain, h, minus_h, na, common)"""),
     "f3_natural_key": (lambda s, d: s.createDataFrame([("C2",), ("C10",), ("C1a10",), ("C1a9",), ("x",)], "x string").select("x", N.natural_key(F.col("x")).alias("key")), "SELECT x, key FROM (VALUES ('C2', 'C00000000000000000002'), ('C10', 'C00000000000000000010'), ('C1a10', 'C00000000000000000001a00000000000000000010'), ('C1a9', 'C00000000000000000001a00000000000000000009'), ('x', 'x')) AS t(x, key)"),
     "f4_numbers": (lambda s, d: s.createDataFrame([("1,234.5",), ("12",), ("1e3",), ("abc",), ("",), ("NaN",), ("1,23",), (".5",)], "x string").select("x", N.to_number(F.col("x")).alias("v"), N.is_all_digits(F.col("x")).alias("digits")), "SELECT x, v::DOUBLE AS v, digits FROM (VALUES ('1,234.5', 1234.5, false), ('12', 12, true), ('1e3', 1000, false), ('abc', NULL, false), ('', NULL, false), ('NaN', NULL, false), ('1,23', NULL, false), ('.5', 0.5, false)) AS t(x, v, digits)"),
     "f5_part_names": (lambda s, d: read(s, d, "part").select("p_partkey", N.newick_name(F.col("p_name")).alias("newick"), N.unquote(F.concat(F.lit(' "'), F.col("p_name"), F.lit('"'))).alias("plain")), "SELECT p_partkey, replace(p_name, ' ', '-') AS newick, p_name AS plain FROM part"),
