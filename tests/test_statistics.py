@@ -244,3 +244,42 @@ def test_permuted_query_shuffles_as_often_as_the_operator_does(spark):
 
     p = [r.raw_p for r in queries()["t27_preferential_permuted"](spark, "/root/testdata/sf0.001").collect()]
     assert p and all(abs(x * 501 - round(x * 501)) < 1e-3 for x in p) and any(abs(x * 51 - round(x * 51)) > 1e-3 for x in p)
+
+
+def plain_tree(dist, method):
+    """Leaves and height of every merge by the textbook coefficients, over a dictionary of pairs."""
+    square = method.endswith("2")
+    d = {frozenset((frozenset([i]), frozenset([j]))): dist[i][j] ** (2 if square else 1) for i in range(len(dist)) for j in range(i)}
+    groups, out = {frozenset([i]) for i in range(len(dist))}, []
+    while len(groups) > 1:
+        pair = min(d, key=d.get)
+        a, b = pair
+        low, n = d[pair], len(a) + len(b)
+        kind = method.rstrip("2u")
+        for c in groups - {a, b}:
+            x, y, k = d[frozenset((a, c))], d[frozenset((b, c))], len(c)
+            d[frozenset((a | b, c))] = {
+                "upgma": (len(a) * x + len(b) * y) / n, "wpgma": (x + y) / 2, "slink": min(x, y), "clink": max(x, y), "upgmc": (len(a) * x + len(b) * y) / n - len(a) * len(b) * low / n**2, "wpgmc": (x + y) / 2 - low / 4,
+                "ward": ((len(a) + k) * x + (len(b) + k) * y - k * low) / (n + k),
+            }[kind]
+        d = {p: v for p, v in d.items() if a not in p and b not in p}
+        groups = (groups - {a, b}) | {a | b}
+        out.append((a | b, (max(low, 0) ** 0.5 if square else low) / 2))
+    return out
+
+
+@pytest.mark.parametrize("method", H.METHODS)
+def test_tree_queries_against_plain_ones(spark, method):
+    """The registered query's nodes: leaves and heights by the plain version over distances of the table's own vectors."""
+    import duckdb
+
+    from pixelweave.plans.registry import queries
+
+    d = "/root/testdata/sf0.001"
+    x = np.array([r[0] for r in duckdb.sql(f"SELECT embedding FROM '{d}/embeddings.parquet'").fetchall()], float).T
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).mean(axis=2))
+    want = sorted((len(g), round(h, 5)) for g, h in plain_tree(dist.tolist(), method))
+    rows = queries()[f"h2_tree_{method}"](spark, d).collect()
+    assert len(rows) == 2 * len(x) - 1 and sorted(r.name for r in rows if r.num_members == 1) == sorted(f"f{k}" for k in range(len(x)))
+    got = sorted((r.num_members, r.avg_length) for r in rows if r.num_members > 1)
+    assert [g for g, _ in got] == [g for g, _ in want] and np.allclose([h for _, h in got], [h for _, h in want], atol=2e-5)
