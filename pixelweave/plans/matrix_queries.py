@@ -69,9 +69,9 @@ r AS (SELECT feature, list_sort(list(intensity)) AS s FROM m GROUP BY feature),
 h AS (SELECT feature, low, coalesce(list_filter(s[greatest(floor(0.99 * (n - 1))::INT - (n - len(s)), 0) + 1:], lambda x: x <> low)[1], s[1]) AS high FROM r, g)
 SELECT feature, pixel_id, round(CASE WHEN high <> low THEN 1 / (high - low) ELSE 0 END * (intensity - low), 6) AS intensity FROM m JOIN h USING (feature)"""),
     "p12_column_medians": (on_sales(P.column_medians), f"{M}, {MEDIANS} SELECT pixel_id, round(median, 6) AS median FROM md"),
-    "p12_median_normalize": (filled(lambda m: P.median_normalize(P.impute_global(m))), f"""{M}, {FULL}, i AS (SELECT feature, pixel_id, CASE WHEN {EMPTY} THEN 0.5 * (SELECT min(intensity) FROM m WHERE intensity > 0) ELSE intensity END AS intensity FROM c),
+    "p12_median_normalize": (filled(lambda m: P.put(P.median_normalize(P.impute_global(m)), F.round("intensity", 3))), f"""{M}, {FULL}, i AS (SELECT feature, pixel_id, CASE WHEN {EMPTY} THEN 0.5 * (SELECT min(intensity) FROM m WHERE intensity > 0) ELSE intensity END AS intensity FROM c),
 {MEDIANS.replace('FROM m WHERE', 'FROM i WHERE')}, t AS (SELECT exp(avg(ln(median))) AS target FROM md WHERE median > 0)
-SELECT feature, pixel_id, round(intensity * CASE WHEN median > 0 THEN target / median ELSE 1 END, 6) AS intensity FROM i JOIN md USING (pixel_id), t"""),
+SELECT feature, pixel_id, round(intensity * CASE WHEN median > 0 THEN target / median ELSE 1 END, 3) AS intensity FROM i JOIN md USING (pixel_id), t"""),
     "p13_impute_global": (filled(P.impute_global), f"{M}, {FULL} SELECT {CELL.format(f'CASE WHEN {EMPTY} THEN 0.5 * (SELECT min(intensity) FROM m WHERE intensity > 0) ELSE intensity END', 'c')}"),
     "p14_impute_column": (filled(P.impute_column), f"{M}, {FULL} SELECT {CELL.format(f'CASE WHEN {EMPTY} THEN 0.5 * min(intensity) FILTER (WHERE intensity > 0) OVER (PARTITION BY pixel_id) ELSE intensity END', 'c')}"),
     "p15_impute_column_global": (filled(P.impute_column_global), f"{M}, {FULL} SELECT {CELL.format(f'CASE WHEN {EMPTY} THEN 0.5 * sqrt((SELECT min(intensity) FROM m WHERE intensity > 0) * min(intensity) FILTER (WHERE intensity > 0) OVER (PARTITION BY pixel_id)) ELSE intensity END', 'c')}"),
@@ -86,11 +86,11 @@ SELECT {CELL.format('greatest(coalesce(intensity, u), u)', 'c, l')}"""),
     "p19_transpose": (on_sales(transpose), f"{M} SELECT pixel_id AS feature, feature AS pixel_id, intensity FROM m"),
     "p20_preprocess": (on_sales(lambda m: P.preprocess(m, P.Config(impute="col_geo", log2=True, unit_variance=True))), f"""{M}, {FULL}, i AS (SELECT feature, pixel_id, log2(CASE WHEN {EMPTY} THEN 0.5 * sqrt((SELECT min(intensity) FROM m WHERE intensity > 0) * min(intensity) FILTER (WHERE intensity > 0) OVER (PARTITION BY pixel_id)) ELSE intensity END) AS intensity FROM c)
 SELECT {CELL.format('(intensity - avg(intensity) OVER (PARTITION BY feature)) / stddev_pop(intensity) OVER (PARTITION BY feature)', 'i')}"""),
-    "p21_production_filter": (on_sales(lambda m: P.production_filter(m)), f"""{M}, {FULL}, k AS (SELECT ln(min(intensity)) AS c FROM m WHERE intensity > 0 GROUP BY pixel_id), u AS (SELECT exp(avg(c) + 3 * stddev_pop(c)) AS u FROM k),
+    "p21_production_filter": (on_sales(lambda m: P.put(P.production_filter(m), F.round("intensity", 3))), f"""{M}, {FULL}, k AS (SELECT ln(min(intensity)) AS c FROM m WHERE intensity > 0 GROUP BY pixel_id), u AS (SELECT exp(avg(c) + 3 * stddev_pop(c)) AS u FROM k),
 a AS (SELECT feature FROM c GROUP BY feature HAVING count_if(intensity > 1e-14) / (SELECT count(DISTINCT pixel_id) FROM c) >= 0.01 - 1e-14 AND stddev_pop(intensity) >= 250 - 1e-14), f1 AS (SELECT * FROM c WHERE feature IN (SELECT feature FROM a)),
 {MEDIANS.replace('FROM m WHERE', 'FROM f1 WHERE')}, t AS (SELECT exp(avg(ln(median))) AS target FROM md WHERE median > 0),
 n AS (SELECT feature, pixel_id, greatest(coalesce(intensity * CASE WHEN median > 0 THEN target / median ELSE 1 END, u), u) AS intensity FROM f1 JOIN md USING (pixel_id), t, u)
-SELECT feature, pixel_id, round(intensity, 6) AS intensity FROM n WHERE feature IN (SELECT feature FROM n GROUP BY feature HAVING bool_or(intensity = 0) OR stddev_pop(log2(intensity)) FILTER (WHERE intensity > 0) >= 0.5 - 1e-14)"""),
+SELECT feature, pixel_id, round(intensity, 3) AS intensity FROM n WHERE feature IN (SELECT feature FROM n GROUP BY feature HAVING bool_or(intensity = 0) OR stddev_pop(log2(intensity)) FILTER (WHERE intensity > 0) >= 0.5 - 1e-14)"""),
     "p22_top_variable": (on_sales(lambda m: S.top_variable(m, 15)), f"{M} SELECT feature, round(stddev_samp(intensity), 6) AS sd, row_number() OVER (ORDER BY stddev_samp(intensity) DESC, feature)::INT AS rank FROM m GROUP BY feature QUALIFY rank <= 15"),
     "t7_top_mean": (on_sales(lambda m: S.top_mean(m, 0.1)), f"{M} SELECT feature, round(avg(intensity), 6) AS mean, row_number() OVER (ORDER BY avg(intensity) DESC, feature)::INT AS rank FROM m GROUP BY feature QUALIFY rank <= ceil(count(*) OVER () * 0.1)"),
     "p24_pixels_in": (lambda s, d: S.pixels_in(sales_pixels(s), "d0", "d3").select("pixel_id", "hc_orig"), f"WITH {PX} SELECT pixel_id, hc_orig FROM p WHERE hc_orig IN ('d0', 'd3')"),
