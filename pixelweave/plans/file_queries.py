@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from ..model import SALES_PIXELS_SQL, SALES_SQL, VECTOR_SQL, read, sales_matrix, sales_pixels, vector_matrix
 from ..operators import distance as D
 from ..shared import shared_dir
+from ..sources import imzml
 from ..sources import tables as R
 
 M, PX = f"WITH {SALES_SQL}", SALES_PIXELS_SQL
@@ -151,7 +153,16 @@ SPECTRA_SQL = """c AS (SELECT l_suppkey, 100.0 + l_orderkey % 97 AS mz, round(su
 n AS (SELECT *, lag(v) OVER w AS a, lead(v) OVER w AS b FROM c WINDOW w AS (PARTITION BY l_suppkey ORDER BY mz)), k AS (SELECT l_suppkey, list_sort(list(v))[count(*) // 2 + 1] AS middle FROM c GROUP BY l_suppkey),
 pk AS (SELECT (l_suppkey % 10)::INT AS x, (l_suppkey // 10)::INT AS y, mz, v AS intensity FROM n JOIN k USING (l_suppkey) WHERE v > a AND v >= b AND v > 1.5 * middle)"""
 
+def spectrum_file(s, d):
+    """The spectra written by the driver, as they are few, and read by ranges."""
+    path = imzml.local_path(place(s, "spectra"))
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    imzml.write_files(path, [tuple(r) for r in spectra(s, d).collect()])
+    return R.read_imzml(s, path).select("x", "y", F.explode(F.arrays_zip("mz", "intensity")).alias("p")).select("x", "y", "p.mz", "p.intensity")
+
+
 QUERIES = {
+    "s1_spectrum_file": (spectrum_file, f"WITH {SPECTRA_SQL} SELECT (l_suppkey % 10)::INT AS x, (l_suppkey // 10)::INT AS y, mz, v AS intensity FROM c"),
     "s3_matrix_file": (matrix_file, f"{M} SELECT feature, pixel_id, intensity FROM (SELECT DISTINCT feature FROM m) CROSS JOIN (SELECT DISTINCT pixel_id FROM m) LEFT JOIN m USING (feature, pixel_id)"),
     "s4_distance_file": (distance_file, f"WITH {VECTOR_SQL} SELECT a.feature AS i, b.feature AS j, round(sqrt(avg(pow(a.intensity - b.intensity, 2))), 6) AS dist FROM v a JOIN v b ON a.pixel_id = b.pixel_id AND a.feature > b.feature GROUP BY ALL"),
     "s6_weight_file": (weight_file, "SELECT n_name AS name, n_nationkey / 4 AS weight FROM nation WHERE n_nationkey % 3 <> 0"),

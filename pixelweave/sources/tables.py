@@ -6,8 +6,8 @@ become long at once: the number of pixels never is the width of a plan beyond th
 
 from __future__ import annotations
 
+import io
 import re
-import xml.etree.ElementTree as ET
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import decode_entities, to_number, unquote
 from ..model import pixel_x, pixel_y
+from . import imzml
 
 
 def _text(spark: SparkSession, path: str, sep: str = "\t", header: bool = True, comment: str | None = None) -> DataFrame:
@@ -191,44 +192,21 @@ def repair_fields(fields: Column, at: int) -> Column:
 # --- imzML --------------------------------------------------------------------------------------------------------------------------------------
 
 
-def parse_imzml(xml: bytes) -> list[tuple[int, int, int, int, str, int, int, str]]:
-    """x, y and (offset, length, type) of the m/z and the intensity array of each spectrum."""
-    types = {"MS:1000521": "<f4", "MS:1000523": "<f8", "MS:1000519": "<i4", "MS:1000522": "<i8"}
-    groups: dict[str, dict[str, str]] = {}
-    root = ET.fromstring(xml)
-    name = lambda e: e.tag.rpartition("}")[2]
-    params = lambda e: {c.get("accession"): c.get("value", "") for c in e.iter() if name(c) == "cvParam"}
-    for e in root.iter():
-        if name(e) == "referenceableParamGroup":
-            groups[e.get("id")] = params(e)
-    out = []
-    for s in root.iter():
-        if name(s) != "spectrum":
-            continue
-        at = params(s)
-        arrays = {}
-        for a in (e for e in s.iter() if name(e) == "binaryDataArray"):
-            own = params(a)
-            for ref in (e for e in a if name(e) == "referenceableParamGroupRef"):
-                own = groups.get(ref.get("ref"), {}) | own
-            kind = "mz" if "MS:1000514" in own else "int"
-            arrays[kind] = (int(own["IMS:1000102"]), int(own["IMS:1000103"]), next(t for k, t in types.items() if k in own))
-        out.append((int(at["IMS:1000050"]), int(at["IMS:1000051"]), *arrays["mz"], *arrays["int"]))
-    return out
-
-
 def read_imzml(spark: SparkSession, path: str) -> DataFrame:
-    """x, y, mz and intensity arrays of the spectra of ``<path>.imzML`` and ``<path>.ibd`` (files that fit a row)."""
+    """x, y, mz and intensity arrays of the spectra of ``<path>.imzML`` and ``<path>.ibd``: by ranges where these are files
+    to the driver, and so to the executors; else whole, in one row of bytes, which bounds the .ibd by 2 GB."""
+    if imzml.is_file(path):
+        imzml.register(spark)
+        return spark.read.format("imzml").load(imzml.local_path(path))
     both = spark.read.format("binaryFile").load([f"{path}.imzML", f"{path}.ibd"]).select(F.regexp_extract("path", r"([^/]+)\.[^.]+$", 1).alias("stem"), F.col("path").endswith(".ibd").alias("is_ibd"), "content")
 
     def decode(df: pd.DataFrame) -> pd.DataFrame:
         xml, ibd = df[~df.is_ibd].content.iloc[0], df[df.is_ibd].content.iloc[0]
-        rows = []
-        for x, y, mo, ml, mt, io, il, it in parse_imzml(xml):
-            rows.append((x, y, np.frombuffer(ibd, mt, ml, mo).astype(float).tolist(), np.frombuffer(ibd, it, il, io).astype(float).tolist()))
+        array = lambda offset, length, kind: imzml.decoded(ibd[offset : offset + length * np.dtype(kind).itemsize], kind)
+        rows = [(s.x, s.y, array(*s.mz), array(*s.intensity)) for s in imzml.spectra(io.BytesIO(xml))]
         return pd.DataFrame(rows, columns=["x", "y", "mz", "intensity"])
 
-    return both.groupBy("stem").applyInPandas(decode, "x int, y int, mz array<double>, intensity array<double>")
+    return both.groupBy("stem").applyInPandas(decode, imzml.SCHEMA)
 
 
 def pick_peaks(spectra: DataFrame, snr: float = 3.0) -> DataFrame:

@@ -230,3 +230,17 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared.shared_dir(Session())
+
+
+def test_spectra_by_ranges_and_whole(spark, tmp_path, monkeypatch):
+    from pixelweave.sources import imzml
+
+    rnd = random.Random(9)
+    rows = [(k % 7, k // 7, sorted(rnd.random() for _ in range(k % 5)), [rnd.random() for _ in range(k % 5)]) for k in range(40)]
+    imzml.write_files(str(tmp_path / "s"), rows)
+    monkeypatch.setattr(imzml, "SPECTRA", 9)
+    assert len(imzml.Reader(str(tmp_path / "s")).partitions()) == 5
+    first = sorted(tuple(r) for r in R.read_imzml(spark, str(tmp_path / "s")).collect())
+    monkeypatch.setattr(imzml, "is_file", lambda path: False)
+    second = sorted(tuple(r) for r in R.read_imzml(spark, str(tmp_path / "s")).collect())
+    assert first == second == sorted(rows)
