@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..model import SALES_PIXELS_SQL, SALES_SQL, VECTOR_SQL, read, sales_matrix, sales_pixels, vector_matrix
+from ..functions.strings import newick_name
 from ..operators import distance as D
+from ..operators import tree as H
 from ..shared import shared_dir
 from ..sources import imzml
 from ..sources import tables as R
@@ -161,7 +163,41 @@ def spectrum_file(s, d):
     return R.read_imzml(s, path).select("x", "y", F.explode(F.arrays_zip("mz", "intensity")).alias("p")).select("x", "y", "p.mz", "p.intensity")
 
 
+def nation_tree(s, d):
+    """Nations below regions below a root, edges by keys, written as Newick text and read back."""
+    n, r = read(s, d, "nation"), read(s, d, "region")
+    name = lambda c: newick_name(F.col(c))
+    leaves = n.groupBy("n_regionkey").agg(F.array_join(F.sort_array(F.collect_list(F.concat(name("n_name"), F.lit(":"), (F.col("n_nationkey") / 8 + 1).cast("string")))), ",").alias("t"))
+    inner = leaves.join(r, leaves["n_regionkey"] == r["r_regionkey"]).agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("("), F.col("t"), F.lit(")x:"), (F.col("r_regionkey") / 4 + 2).cast("string")))), ",").alias("t"))
+    path = text_file(s, inner.select(F.concat(F.lit("("), F.col("t"), F.lit("):0;")).alias("value")), "tree")
+    return H.from_newick(H.to_newick(H.from_newick(s.read.text(path).first()[0])))
+
+
+def tree_rows(s, d):
+    return H.tree_table(s, nation_tree(s, d)).select("name", "edge_length", "avg_length", "clevel", "num_members")
+
+
+def plain_heights(s, d):
+    root = nation_tree(s, d)
+    H.depower(root, 2.0)
+    return H.tree_table(s, root).where("num_members > 1").select("name", "avg_length", "num_members")
+
+
+def leaf_rows(s, d):
+    leaves = H.tree_table(s, nation_tree(s, d)).where("num_members = 1").select(F.col("name").alias("leaf"), "leaf_order")
+    data = read(s, d, "nation").select(newick_name(F.col("n_name")).alias("key"), "n_nationkey", "n_regionkey")
+    return H.leaf_table(leaves.repartition(4), data, "key").select("leaf", "n_nationkey", "n_regionkey", (F.col("tree_order") == F.col("leaf_order")).alias("in_order"))
+
+
+TREE_SQL = """l AS (SELECT replace(n_name, ' ', '-') AS name, n_regionkey, n_nationkey / 8 + 1 AS e FROM nation),
+r AS (SELECT n_regionkey, min(name) AS name, count(*) AS k, avg(e) AS h, any_value(n_regionkey) / 4 + 2 AS e FROM l GROUP BY n_regionkey),
+t AS (SELECT min(name) AS name, sum(k) AS n, sum((h + e) * k) / sum(k) AS h, count(*) AS k FROM r)"""
+
 QUERIES = {
+    "s5_newick_file": (tree_rows, f"WITH {TREE_SQL} SELECT name, e::DOUBLE AS edge_length, 0.0::DOUBLE AS avg_length, 0 AS clevel, 1 AS num_members FROM l UNION ALL SELECT name, e, round(h, 6), 1, k FROM r UNION ALL SELECT name, 0.0, round(h, 6), 2, n FROM t"),
+    "h8_depower": (plain_heights, f"WITH {TREE_SQL} SELECT name, round(sqrt(h * k) / k, 6) AS avg_length, k AS num_members FROM r UNION ALL SELECT name, round(sqrt(h * k) / k, 6), n FROM t"),
+    "h15_selection": (lambda s, d: s.createDataFrame([(t, k) for t in ("1,3-5;7", "9-7 2", "x, 4;4", "") for k in H.parse_selection(t)], "text string, k int"), "SELECT text, k FROM (VALUES ('1,3-5;7', 1), ('1,3-5;7', 3), ('1,3-5;7', 4), ('1,3-5;7', 5), ('1,3-5;7', 7), ('9-7 2', 2), ('9-7 2', 7), ('9-7 2', 8), ('9-7 2', 9), ('x, 4;4', 4)) AS v(text, k)"),
+    "j5_leaf_rows": (leaf_rows, "SELECT replace(n_name, ' ', '-') AS leaf, n_nationkey, n_regionkey, true AS in_order FROM nation"),
     "s1_spectrum_file": (spectrum_file, f"WITH {SPECTRA_SQL} SELECT (l_suppkey % 10)::INT AS x, (l_suppkey // 10)::INT AS y, mz, v AS intensity FROM c"),
     "s3_matrix_file": (matrix_file, f"{M} SELECT feature, pixel_id, intensity FROM (SELECT DISTINCT feature FROM m) CROSS JOIN (SELECT DISTINCT pixel_id FROM m) LEFT JOIN m USING (feature, pixel_id)"),
     "s4_distance_file": (distance_file, f"WITH {VECTOR_SQL} SELECT a.feature AS i, b.feature AS j, round(sqrt(avg(pow(a.intensity - b.intensity, 2))), 6) AS dist FROM v a JOIN v b ON a.pixel_id = b.pixel_id AND a.feature > b.feature GROUP BY ALL"),
