@@ -86,6 +86,11 @@ SELECT {CELL.format('greatest(coalesce(intensity, u), u)', 'c, l')}"""),
     "p19_transpose": (on_sales(transpose), f"{M} SELECT pixel_id AS feature, feature AS pixel_id, intensity FROM m"),
     "p20_preprocess": (on_sales(lambda m: P.preprocess(m, P.Config(impute="col_geo", log2=True, unit_variance=True))), f"""{M}, {FULL}, i AS (SELECT feature, pixel_id, log2(CASE WHEN {EMPTY} THEN 0.5 * sqrt((SELECT min(intensity) FROM m WHERE intensity > 0) * min(intensity) FILTER (WHERE intensity > 0) OVER (PARTITION BY pixel_id)) ELSE intensity END) AS intensity FROM c)
 SELECT {CELL.format('(intensity - avg(intensity) OVER (PARTITION BY feature)) / stddev_pop(intensity) OVER (PARTITION BY feature)', 'i')}"""),
+    "p20_floor_and_center": (on_sales(lambda m: P.preprocess(m, P.Config(floor_value=50000.0, ten_thousand=True, center=True))), f"""{M}, {FULL}, f AS (SELECT feature, pixel_id, greatest(coalesce(intensity, 50000.0), 50000.0) AS v FROM c), t AS (SELECT feature, pixel_id, 10000 * v / max(v) OVER (PARTITION BY feature) AS v FROM f)
+SELECT feature, pixel_id, round(v - avg(v) OVER (PARTITION BY feature), 6) AS intensity FROM t"""),
+    "p20_columns": (on_sales(lambda m: P.preprocess(m, P.Config(transpose_first=True, magnitude=True, transpose_last=True))), f"{M} SELECT feature, pixel_id, round(intensity / max(abs(intensity)) OVER (PARTITION BY pixel_id), 6) AS intensity FROM m"),
+    "p20_filter_and_scale": (on_sales(lambda m: P.preprocess(m, P.Config(present=(0.9, 20000.0), impute="col_min", impute_later=True, log2=True))), f"""{M}, {FULL}, k AS (SELECT feature FROM c GROUP BY feature HAVING count_if(intensity > 20000 + 1e-14) / (SELECT count(DISTINCT pixel_id) FROM c) >= 0.9 - 1e-14), f AS (SELECT * FROM c WHERE feature IN (SELECT feature FROM k))
+SELECT feature, pixel_id, round(log2(CASE WHEN {EMPTY} THEN 0.5 * min(intensity) FILTER (WHERE intensity > 0) OVER (PARTITION BY pixel_id) ELSE intensity END), 6) AS intensity FROM f"""),
     "p21_production_filter": (on_sales(lambda m: P.put(P.production_filter(m), F.round("intensity", 3))), f"""{M}, {FULL}, k AS (SELECT ln(min(intensity)) AS c FROM m WHERE intensity > 0 GROUP BY pixel_id), u AS (SELECT exp(avg(c) + 3 * stddev_pop(c)) AS u FROM k),
 a AS (SELECT feature FROM c GROUP BY feature HAVING count_if(intensity > 1e-14) / (SELECT count(DISTINCT pixel_id) FROM c) >= 0.01 - 1e-14 AND stddev_pop(intensity) >= 250 - 1e-14), f1 AS (SELECT * FROM c WHERE feature IN (SELECT feature FROM a)),
 {MEDIANS.replace('FROM m WHERE', 'FROM f1 WHERE')}, t AS (SELECT exp(avg(ln(median))) AS target FROM md WHERE median > 0),

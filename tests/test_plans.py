@@ -244,3 +244,63 @@ def test_spectra_by_ranges_and_whole(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(imzml, "is_file", lambda path: False)
     second = sorted(tuple(r) for r in R.read_imzml(spark, str(tmp_path / "s")).collect())
     assert first == second == sorted(rows)
+
+
+def test_components_and_ellipses_against_numpy(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(40, 5)) @ rng.normal(size=(5, 5))
+    m = cells(spark, [(f"f{d}", f"p{k:02d}", float(x[k, d])) for k in range(40) for d in range(5)])
+    scores, parts = T.pca(m, 3)
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    val, vec = np.linalg.eigh(z.T @ z / 39)
+    val, vec = val[::-1], vec[:, ::-1]
+    vec = vec * np.sign(vec[np.abs(vec).argmax(axis=0), np.arange(5)])
+    got = {(r.pixel_id, r.component): r.score for r in scores.collect()}
+    for k in range(3):
+        want = z @ vec[:, k]
+        assert np.allclose([got[f"p{i:02d}", k + 1] for i in range(40)], want, atol=1e-8)
+    rows = sorted(parts.collect(), key=lambda r: r.component)
+    assert np.allclose([r.sd for r in rows], np.sqrt(val[:3]), atol=1e-8)
+    p = spark.createDataFrame([(f"p{k:02d}", "ab"[k % 2]) for k in range(40)], "pixel_id string, hc_manual string")
+    for r in T.ellipses(scores, p).collect():
+        own = np.array([[got[f"p{i:02d}", c] for c in (1, 2)] for i in range(40) if "ab"[i % 2] == r.label])
+        cov = np.cov(own.T)
+        assert np.allclose([r.ma, r.mb, r.va, r.vb, r.cab], [*own.mean(axis=0), cov[0, 0], cov[1, 1], cov[0, 1]])
+
+
+def test_curve_components_against_numpy(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6, 4))
+    curves = spark.createDataFrame([(f"l{i}", float(j), float(x[i, j])) for i in range(6) for j in range(4)], "label string, r double, fundiff double")
+    scores, parts = T.curve_components(curves, 1.0)
+    c = x - x.mean(axis=0)
+    val = np.linalg.svd(c, compute_uv=False) ** 2
+    assert np.allclose([r.share for r in sorted(parts.collect(), key=lambda r: r.component)], val / val.sum())
+    got = np.zeros((6, 4))
+    for r in scores.collect():
+        got[int(r.label[1]), r.component - 1] = r.score
+    assert np.allclose(got @ got.T, c @ c.T)  # the scores keep all distances
+
+
+def test_leaf_weights_of_random_trees():
+    """Each edge is shared among the leaves below in proportion to what they have; the sum of weights is bounded by the leaves."""
+    rng = np.random.default_rng(12)
+    for _ in range(5):
+        x = rng.normal(size=(9, 3))
+        root = H.build_tree([f"l{k}" for k in range(9)], np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)))
+        w, n = H.gsc_weights(root)
+
+        def share(node):
+            if node.leaf:
+                return {node.name: 0.0}
+            out = {}
+            for c in node.children:
+                below = share(c)
+                total = sum(below.values())
+                out |= {k: v + c.edge * (v / total if total else 1 / len(below)) for k, v in below.items()}
+            return out
+
+        own = share(root)
+        scale = max(own.values()) / max(w.values())
+        assert w.keys() == own.keys() and all(v / scale == pytest.approx(w[k], rel=1e-6) for k, v in own.items())
+        assert n == pytest.approx(sum(w.values())) and 1 < n <= 9
