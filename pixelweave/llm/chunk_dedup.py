@@ -34,6 +34,8 @@ WORD_BITS, WIDE_BITS = 2, 3
 MIN_WORDS = 16
 FAR, FAR_ASCII, WIDE_WORD = 32, 256, 4
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)
+#: log2 of the most slots of the bitmap. Some 5 million repeated windows a GB fill an eighth of it at 30 GB.
+MOST_BITS = 30
 SEED_A, SEED_B = 0xA11CE, 0xB0B
 NONE = -(1 << 63)
 
@@ -130,10 +132,10 @@ def repeated_keys(docs: DataFrame) -> tuple[DataFrame, int]:
 
 
 def repeat_bitmap(docs: DataFrame) -> np.ndarray:
-    """Marks the first bits of the digests that may be repeated: 16 slots a digest, 64 MB at most."""
+    """Marks the first bits of the digests that may be repeated: 16 slots a digest, 128 MB at most."""
     found, bits = repeated_keys(docs)
     found = written(found, "repeats")
-    own = filter_bits(found.count())
+    own = filter_bits(found.count(), MOST_BITS)
     out = bitmap(found.select(F.shiftright("key", bits - own).alias("slot")), own)
     discard(found)
     return out
@@ -183,7 +185,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     """Pieces of repeated passages: row, doc_id, text64, ord, run (its passage), start, size (bytes), chunks, words, the first
     place (its own where it stays), places of its window, removed. A piece goes from the start of a window to that of the next
     one or to its end, cut where windows end that stay."""
-    marks = docs.sparkSession.sparkContext.broadcast(repeat_bitmap(docs))  # 64 MB at most
+    marks = docs.sparkSession.sparkContext.broadcast(repeat_bitmap(docs))  # 128 MB at most
     places = written(candidate_places(docs, marks), "places")
     marks.unpersist()
     place = F.struct(F.coalesce("doc_id", F.lit(NONE)).alias("doc"), "text64", "start")

@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def filter_bits(n: int, most: int = 29) -> int:
-    """log2 of the slots of a bitmap for n keys: about 16 a key, 64 MB at most."""
+    """log2 of the slots of a bitmap for n keys: about 16 a key, 64 MB (2**29 bits) at most unless said otherwise."""
     return min(most, max(16, math.ceil(math.log2(max(1, n))) + 4))
 
 
@@ -38,7 +38,7 @@ def bitmap_blocks(slots: DataFrame) -> DataFrame:
 def bitmap(slots: DataFrame, bits: int) -> np.ndarray:
     """That bitmap as an array of 2**bits / 8 bytes: bit k & 7 of byte k >> 3 is that of slot k."""
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in bitmap_blocks(slots).collect():  # 64 MB at most
+    for r in bitmap_blocks(slots).collect():  # as large as the bitmap
         out[(r["block"] - 1) << 12 : r["block"] << 12] = np.frombuffer(r["bits"], np.uint8)
     return out
 

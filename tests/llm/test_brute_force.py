@@ -545,7 +545,7 @@ def test_removals_against_plain_ones(spark, monkeypatch, bits):
     if bits == 255:
         monkeypatch.setattr(chunk_dedup, "repeat_bitmap", lambda docs: np.full(1 << 13, 255, np.uint8))
     elif bits == 0:
-        monkeypatch.setattr(chunk_dedup, "filter_bits", lambda n: 16)
+        monkeypatch.setattr(chunk_dedup, "filter_bits", lambda n, most: 16)
     rows = passages_of_common_words()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in chunk_dedup.remove_repeats(docs).collect())
