@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import apart, apply_groups, arrow_batch, bitmap, discard, filter_bits, id_text, map_batches, marked, slices, written
-from .hashing import U, WHITE, byte_values, span_hashes
+from .hashing import U, WHITE, byte_values, mix, span_hashes
 from .jaccard_join import COUNT_BITS, blobs_of, bucket_bits, bucketed, flush_size, from_planes, planes, steps
 from .pii import bind
 
@@ -96,10 +96,10 @@ def windows(size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(fits), last[fits]
 
 
-def repeated_keys(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The first bits of the digests of all windows that occur twice or more in all texts (one column, key), and how many
-    bits. Each task first reduces its windows to two entries a key at most, so that a window that is everywhere costs two a task."""
-    bits = bucket_bits(docs)
+def repeated_keys(docs: DataFrame, bits: int) -> DataFrame:
+    """A hash of the first bits + COUNT_BITS bits of the digests of all windows that occur twice or more in all texts (one
+    column, h). Each task first reduces its windows to two entries a key at most, so that a window that is everywhere
+    costs two a task."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -125,22 +125,27 @@ def repeated_keys(docs: DataFrame) -> tuple[DataFrame, int]:
     def gather(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         low = np.sort(np.concatenate([np.cumsum(from_planes(x, len(x) // 4), dtype=np.uint32) for x in blobs_of(table)]))
-        again = np.unique(low[1:][low[1:] == low[:-1]]).astype(np.int64)
-        return pa.table({"key": pa.array((bucket << COUNT_BITS) + again, pa.int64())})
+        again = np.unique(low[1:][low[1:] == low[:-1]]).astype(U)
+        return pa.table({"h": pa.array(mix((U(bucket) << U(COUNT_BITS)) + again).view(np.int64), pa.int64())})
 
-    return apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", gather, "key long"), bits + COUNT_BITS
+    return apply_groups(map_batches(id_text(docs, "text"), emit, "bucket int, blob binary"), "bucket", gather, "h long")
 
 
-def repeat_bitmap(docs: DataFrame) -> np.ndarray:
-    """Marks the first bits of the digests that may be repeated: 16 slots a digest, 128 MB at most."""
-    found, bits = repeated_keys(docs)
-    found = written(found, "repeats")
+def repeat_bitmap(docs: DataFrame, bits: int) -> np.ndarray:
+    """Marks two slots of each key that may be repeated, the top and the low bits of its hash: 16 slots a key, 128 MB at most."""
+    found = written(repeated_keys(docs, bits), "repeats")
     own = filter_bits(found.count(), MOST_BITS)
-    out = bitmap(found.select(F.shiftright("key", bits - own).alias("slot")), own)
+    out = bitmap(found.select(F.explode(F.array(F.shiftrightunsigned("h", 64 - own), F.col("h").bitwiseAND((1 << own) - 1))).alias("slot")), own)
     discard(found)
     return out
 
 
+def may_repeat(digest: np.ndarray, bits: int, marks: np.ndarray) -> np.ndarray:
+    own = len(marks).bit_length() + 2
+    h = mix(digest >> U(64 - bits - COUNT_BITS))
+    return marked(marks, (h >> U(64 - own)).astype(np.int64)) & marked(marks, (h & U((1 << own) - 1)).astype(np.int64))
+
+
 PLACES = pa.schema([(c, pa.int64()) for c in ("row", "doc_id", "text64")] + [(c, pa.int32()) for c in ("ord", "chunks", "word", "words")] + [("start", pa.int64()), ("size", pa.int32()), ("a", pa.int64()), ("b", pa.int32())])
 
 
@@ -149,14 +154,12 @@ def text64(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("long")
 
 
-def candidate_places(docs: DataFrame, marks) -> DataFrame:
+def candidate_places(docs: DataFrame, marks, bits: int) -> DataFrame:
     """Windows that may be repeated: row (a number of its text in this scan), first chunk, chunks, words before and words,
     place, digests."""
     from pyspark import TaskContext
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = marks.value
-        shift = U(64 - (len(bits).bit_length() + 2))
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for rows, data, offs in slices(batch):
@@ -165,7 +168,7 @@ def candidate_places(docs: DataFrame, marks) -> DataFrame:
                     size = chunk_words(data, offs, starts, ends)
                     p, q = windows(size, own)
                     a = span_hashes(data, starts[p], ends[q], SEED_A)
-                    hit = marked(bits, (a >> shift).astype(np.int64))
+                    hit = may_repeat(a, bits, marks.value)
                     p, q, a = p[hit], q[hit], a[hit]
                     begun = np.searchsorted(starts, offs[own[p]])
                     total = np.r_[0, np.cumsum(size)]
@@ -185,8 +188,9 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     """Pieces of repeated passages: row, doc_id, text64, ord, run (its passage), start, size (bytes), chunks, words, the first
     place (its own where it stays), places of its window, removed. A piece goes from the start of a window to that of the next
     one or to its end, cut where windows end that stay."""
-    marks = docs.sparkSession.sparkContext.broadcast(repeat_bitmap(docs))  # 128 MB at most
-    places = written(candidate_places(docs, marks), "places")
+    bits = bucket_bits(docs)
+    marks = docs.sparkSession.sparkContext.broadcast(repeat_bitmap(docs, bits))  # 128 MB at most
+    places = written(candidate_places(docs, marks, bits), "places")
     marks.unpersist()
     place = F.struct(F.coalesce("doc_id", F.lit(NONE)).alias("doc"), "text64", "start")
     firsts = places.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("places")).where("places > 1")

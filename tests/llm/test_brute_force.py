@@ -543,7 +543,7 @@ def passages_of_common_words(seed=9):
 def test_removals_against_plain_ones(spark, monkeypatch, bits):
     """Equal rows, however full the bitmap is; 0 marks nothing but what is repeated, in the least number of slots."""
     if bits == 255:
-        monkeypatch.setattr(chunk_dedup, "repeat_bitmap", lambda docs: np.full(1 << 13, 255, np.uint8))
+        monkeypatch.setattr(chunk_dedup, "repeat_bitmap", lambda docs, bits: np.full(1 << 13, 255, np.uint8))
     elif bits == 0:
         monkeypatch.setattr(chunk_dedup, "filter_bits", lambda n, most: 16)
     rows = passages_of_common_words()
