@@ -14,6 +14,7 @@ from ..operators import tree as H
 from ..shared import shared_dir
 from ..sources import imzml
 from ..sources import tables as R
+from . import production
 
 M, PX = f"WITH {SALES_SQL}", SALES_PIXELS_SQL
 
@@ -189,12 +190,23 @@ def leaf_rows(s, d):
     return H.leaf_table(leaves.repartition(4), data, "key").select("leaf", "n_nationkey", "n_regionkey", (F.col("tree_order") == F.col("leaf_order")).alias("in_order"))
 
 
+def feature_table(s, d):
+    """Rows of the result table of features for clusters by number, pixel clusters by quadrant."""
+    m, k = sales_matrix(s, d), F.regexp_replace("feature", "mz_", "").cast("int")
+    clusters = m.select("feature").distinct().select(F.col("feature").alias("leaf"), k.alias("leaf_order"), F.concat(F.lit("C0"), (k % 5).cast("string")).alias("cluster"), F.lit(20).alias("cluster_size"))
+    return production.feature_cluster_rows(m, clusters, sales_pixels(s)).withColumn("d2", F.try_element_at("means", F.lit("d2"))).drop("means")
+
+
 TREE_SQL = """l AS (SELECT replace(n_name, ' ', '-') AS name, n_regionkey, n_nationkey / 8 + 1 AS e FROM nation),
 r AS (SELECT n_regionkey, min(name) AS name, count(*) AS k, avg(e) AS h, any_value(n_regionkey) / 4 + 2 AS e FROM l GROUP BY n_regionkey),
 t AS (SELECT min(name) AS name, sum(k) AS n, sum((h + e) * k) / sum(k) AS h, count(*) AS k FROM r)"""
 
 QUERIES = {
     "s5_newick_file": (tree_rows, f"WITH {TREE_SQL} SELECT name, e::DOUBLE AS edge_length, 0.0::DOUBLE AS avg_length, 0 AS clevel, 1 AS num_members FROM l UNION ALL SELECT name, e, round(h, 6), 1, k FROM r UNION ALL SELECT name, 0.0, round(h, 6), 2, n FROM t"),
+    "j7_feature_table": (feature_table, f"""{M}, {PX}, n AS (SELECT hc_orig, count(*) AS n FROM p GROUP BY hc_orig), k AS (SELECT hc_orig, feature, sum(CASE WHEN intensity > 0 THEN log2(intensity) ELSE 0 END) / any_value(n) AS mean FROM m JOIN p USING (pixel_id) JOIN n USING (hc_orig) GROUP BY ALL),
+a AS (SELECT feature, min(log2(intensity)) AS row_min, avg(log2(intensity)) AS row_mean, max(log2(intensity)) AS row_max, stddev_pop(log2(intensity)) AS row_sd FROM m WHERE intensity > 0 GROUP BY feature),
+b AS (SELECT feature, min(mean) AS c_min, avg(mean) AS c_mean, max(mean) AS c_max, stddev_pop(mean) AS c_sd, max(mean) FILTER (WHERE hc_orig = 'd2') AS d2 FROM k GROUP BY feature)
+SELECT feature, replace(feature, 'mz_', '')::INT AS tree_order, 'C0' || replace(feature, 'mz_', '')::INT % 5 AS cluster, 20 AS cluster_size, round(row_min, 6) AS row_min, round(row_mean, 6) AS row_mean, round(row_max, 6) AS row_max, round(row_sd, 6) AS row_sd, round(c_min, 6) AS c_min, round(c_mean, 6) AS c_mean, round(c_max, 6) AS c_max, round(c_sd, 6) AS c_sd, round(d2, 6) AS d2 FROM a JOIN b USING (feature)"""),
     "h8_depower": (plain_heights, f"WITH {TREE_SQL} SELECT name, round(sqrt(h * k) / k, 6) AS avg_length, k AS num_members FROM r UNION ALL SELECT name, round(sqrt(h * k) / k, 6), n FROM t"),
     "h15_selection": (lambda s, d: s.createDataFrame([(t, k) for t in ("1,3-5;7", "9-7 2", "x, 4;4", "") for k in H.parse_selection(t)], "text string, k int"), "SELECT text, k FROM (VALUES ('1,3-5;7', 1), ('1,3-5;7', 3), ('1,3-5;7', 4), ('1,3-5;7', 5), ('1,3-5;7', 7), ('9-7 2', 2), ('9-7 2', 7), ('9-7 2', 8), ('9-7 2', 9), ('x, 4;4', 4)) AS v(text, k)"),
     "j5_leaf_rows": (leaf_rows, "SELECT replace(n_name, ' ', '-') AS leaf, n_nationkey, n_regionkey, true AS in_order FROM nation"),
