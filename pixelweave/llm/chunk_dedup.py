@@ -36,6 +36,8 @@ FAR, FAR_ASCII, WIDE_WORD = 32, 256, 4
 GEAR = (byte_values(0x6EA4) >> U(32)).astype(np.uint32)
 #: log2 of the most slots of the bitmap. Some 5 million repeated windows a GB fill an eighth of it at 30 GB.
 MOST_BITS = 30
+#: Text bytes of one step: each takes some seventy bytes while chunks are found.
+SLICE = 1 << 18
 SEED_A, SEED_B = 0xA11CE, 0xB0B
 NONE = -(1 << 63)
 
@@ -112,7 +114,7 @@ def repeated_keys(docs: DataFrame, bits: int) -> DataFrame:
             yield from bucketed(bits, key << U(64 - bits - COUNT_BITS), lambda a, b: planes(steps(low[a:b])))
 
         for batch in batches:
-            for _, data, offs in slices(batch):
+            for _, data, offs in slices(batch, limit=SLICE):
                 if len(data):
                     starts, ends, own = chunks(data, offs)
                     p, q = windows(chunk_words(data, offs, starts, ends), own)
@@ -162,7 +164,7 @@ def candidate_places(docs: DataFrame, marks, bits: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for rows, data, offs in slices(batch):
+            for rows, data, offs in slices(batch, limit=SLICE):
                 if len(data):
                     starts, ends, own = chunks(data, offs)
                     size = chunk_words(data, offs, starts, ends)
