@@ -59,13 +59,12 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.longest = max(map(len, ranks))
         self.prefixes = {t[:k] for t in ranks for k in range(1, len(t))}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.spines: dict[bytes, tuple | None] = {}
         self.keys: list[tuple[bytes, bytes]] = []
         self.ids: dict[tuple[bytes, bytes], int] = {}
-        self.trees: list[tuple[list[bytes], list[int]]] = []
+        self.trees: list[tuple[list[bytes], list[int], list[int]]] = []
         self.moves: dict[int, tuple[int, bytes]] = {}
         self.finals: list[bytes | None] = []
         self.reset()
@@ -74,9 +73,11 @@ class Transducer:
         """Nothing but the first state."""
         for x in (self.keys, self.ids, self.trees, self.moves, self.finals):
             x.clear()
-        self.state((b"", b""), ([b""], [-1]))
+        self.state((b"", b""), ([b""], [-1], []))
 
-    def state(self, key: tuple[bytes, bytes], tree: tuple[list[bytes], list[int]]) -> int:
+    def state(self, key: tuple[bytes, bytes], tree: tuple[list[bytes], list[int], list[int]]) -> int:
+        """tree: of each prefix of the open bytes the last token and where it begins, and the places from which on the open
+        bytes begin a longer vocabulary entry."""
         to = self.ids[key] = len(self.keys)
         self.keys.append(key)
         self.trees.append(tree)
@@ -132,26 +133,27 @@ class Transducer:
         """A new transition: where it leads and the ids that it emits."""
         before, opened = self.keys[state]
         opened += BYTES[byte]
-        last, parent = self.trees[state]
-        n, ranks = len(opened), self.ranks
-        ends = [opened[j:] for j in range(max(0, n - self.longest), n)]
-        begin = n - len(ends)
-        for j, token in enumerate(ends, begin):
-            if token in ranks and self.beside(last[j], token):
-                last, parent = [*last, token], [*parent, j]
-                break
-        else:
-            raise ValueError("a byte is missing from the vocabulary")
-        cut, prefixes = n, self.prefixes
-        for j, token in enumerate(ends, begin):
+        last, parent, live = self.trees[state]
+        n, ranks, prefixes = len(opened), self.ranks, self.prefixes
+        # an entry that ends here begins where one was begun before this byte, or at it; so does one that goes on
+        begins, still = -1, []
+        for j in (*live, n - 1):
+            token = opened[j:]
+            if begins < 0 and token in ranks and self.beside(last[j], token):
+                begins, last, parent = j, [*last, token], [*parent, j]
             if token in prefixes:
-                while j != cut:
-                    if j > cut:
-                        j = parent[j]
-                    else:
-                        cut = parent[cut]
-                if not cut:
-                    break
+                still.append(j)
+        if begins < 0:
+            raise ValueError("a byte is missing from the vocabulary")
+        cut = n
+        for j in still:
+            while j != cut:
+                if j > cut:
+                    j = parent[j]
+                else:
+                    cut = parent[cut]
+            if not cut:
+                break
         emitted, k = b"", cut
         while k > 0:
             emitted = ranks[last[k]].to_bytes(4, "little") + emitted
@@ -160,7 +162,7 @@ class Transducer:
         to = self.ids.get(key)
         if to is None:
             # Only positions that hang below the settled one can still be a parent.
-            tree = ([key[0], *last[cut + 1 :]], [-1, *[k - cut for k in parent[cut + 1 :]]]) if cut else (last, parent)
+            tree = ([key[0], *last[cut + 1 :]], [-1, *[k - cut for k in parent[cut + 1 :]]], [k - cut for k in still]) if cut else (last, parent, still)
             if len(self.keys) > MEMO_STATES:
                 self.reset()
                 return self.state(key, tree), emitted
@@ -173,7 +175,7 @@ class Transducer:
 
     def final(self, state: int) -> bytes:
         if (found := self.finals[state]) is None:
-            last, parent = self.trees[state]
+            last, parent, _ = self.trees[state]
             out, k = [], len(last) - 1
             while k > 0:
                 out.append(self.ranks[last[k]].to_bytes(4, "little"))
