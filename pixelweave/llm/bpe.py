@@ -300,11 +300,13 @@ _encoders: dict[tuple[str, str], Encoder] = {}
 
 @contextlib.contextmanager
 def without_gc() -> Iterator[None]:
-    """The transducer's tables hold no cycles but so many objects that looking for cycles costs a third of the time."""
+    """The transducer's tables hold no cycles but so many objects that looking for cycles costs a third of the time; those
+    that are there are left out of later searches too."""
     gc.disable()
     try:
         yield
     finally:
+        gc.freeze()
         gc.enable()
 
 
