@@ -20,7 +20,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, f=f: rounded(f(spark, sf_dir))) for name, (f, _) in _ALL.items()}
+    return {name: f if name in matrix_queries.ROUNDED else (lambda spark, sf_dir, f=f: rounded(f(spark, sf_dir))) for name, (f, _) in _ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
